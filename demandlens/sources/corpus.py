@@ -1,0 +1,70 @@
+"""Labelled postings and students drawn from ids.
+
+The draws are hashes of the id, so a corpus of any size is built in parallel
+and is the same in every run; the true skills of each text are known.
+"""
+
+import json
+
+from pyspark.sql import functions as F
+
+from ..functions.hashing import draw_gauss, draw_int, draw_subset, draw_unit
+from ..taxonomy import flat_skills, SKILL_TAXONOMY
+
+TITLES = ("Data Engineer", "Platform Engineer", "Analytics Consultant", "Web Developer",
+          "Site Reliability Engineer", "Quality Analyst", "Research Scientist")
+COMPANIES = ("Northwind", "Contoso", "Fabrikam", "Tailspin", "Litware", "Proseware")
+TEMPLATES = (
+    "{company} needs a {title}. You work daily with {core}. It helps to know {extra}. "
+    "{soft} matters to us.",
+    "Open position: {title}. Requirements: {core}. Nice extras: {extra}. We expect {soft}.",
+    "Join {company} as {title} and bring {core}; {extra} would be welcome, and so is {soft}.",
+)
+
+
+def _pool(values):
+    return F.from_json(F.lit(json.dumps(list(values), ensure_ascii=False)), "array<string>")
+
+
+def _pick(values, *parts):
+    return F.get(_pool(values), draw_int(0, len(values) - 1, *parts))
+
+
+def labelled_postings(ids, key="id", taxonomy=None, soft="Soft Skills", seed=42):
+    """One posting per row of ``ids``: 4 core, 2 extra and 1 soft skill in the
+    text, all of them in ``true_skills``."""
+    at = F.col(key)
+    drawn = (ids.select(
+        F.format_string("JP%04d", at.cast("bigint")).alias("posting_id"),
+        _pick(TITLES, seed, "title", at).alias("title"),
+        _pick(COMPANIES, seed, "company", at).alias("company"),
+        draw_subset(_pool(flat_skills(taxonomy)), 6, seed, "skills", at).alias("_skills"),
+        _pick((taxonomy or SKILL_TAXONOMY)[soft], seed, "soft", at).alias("_soft"),
+        _pick(TEMPLATES, seed, "template", at).alias("_text")))
+    fill = {"company": F.col("company"), "title": F.col("title"), "soft": F.col("_soft"),
+            "core": F.array_join(F.slice("_skills", 1, 4), ", "),
+            "extra": F.array_join(F.slice("_skills", 5, 2), ", ")}
+    text = F.col("_text")
+    for name, value in fill.items():
+        text = F.replace(text, F.lit("{" + name + "}"), value)
+    return drawn.select("posting_id", "title", "company", text.alias("description"),
+                        F.concat("_skills", F.array("_soft")).alias("true_skills"))
+
+
+def labelled_students(ids, key="id", taxonomy=None, seed=42):
+    """One student per row of ``ids``: 3 to 9 skills, grade 5.5 to 9.8, counts,
+    and an outcome that follows them with noise."""
+    at = F.col(key)
+    drawn = ids.select(
+        F.format_string("S%04d", at.cast("bigint")).alias("student_id"),
+        F.round(draw_unit(seed, "cgpa", at) * 4.3 + 5.5, 2).alias("cgpa"),
+        draw_int(0, 6, seed, "projects", at).alias("projects_count"),
+        draw_int(0, 4, seed, "certifications", at).alias("certifications_count"),
+        draw_int(0, 3, seed, "internships", at).alias("internships_count"),
+        F.slice(draw_subset(_pool(flat_skills(taxonomy)), 9, seed, "student", at), 1,
+                draw_int(3, 9, seed, "n", at)).alias("skills"),
+        draw_gauss(seed, "noise", at).alias("_noise"))
+    score = (F.col("cgpa") * 0.15 + F.col("projects_count") * 0.3
+             + F.col("certifications_count") * 0.3 + F.col("internships_count") * 0.4
+             + F.size("skills") * 0.2 + F.col("_noise") * 1.5)
+    return (drawn.withColumn("placed", F.when(score > 4.5, 1).otherwise(0)).drop("_noise"))
