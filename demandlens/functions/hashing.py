@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 _SPAN = 2 ** 48
 
 
+def draw_text(*parts):
+    """MD5 text of the parts, joined by ``|``; sorts in random order."""
+    return F.md5(F.concat_ws("|", *[p.cast("string") if hasattr(p, "cast") else F.lit(p)
+                                    for p in parts]))
+
+
 def draw_long(*parts):
-    """Integer in [0, 2**48) from the parts, which are joined by ``|``."""
-    text = F.concat_ws("|", *[F.lit(p) if not hasattr(p, "cast") else p.cast("string")
-                              for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+    """Integer in [0, 2**48) from the parts."""
+    return F.conv(F.substring(draw_text(*parts), 1, 12), 16, 10).cast("long")
 
 
 def draw_unit(*parts):
@@ -38,5 +42,5 @@ def draw_gauss(*parts):
 
 def draw_subset(pool, size, *parts):
     """``size`` different elements of the array ``pool``, in random order."""
-    keyed = F.transform(pool, lambda s: F.struct(draw_long(*parts, s).alias("h"), s.alias("s")))
+    keyed = F.transform(pool, lambda s: F.struct(draw_text(*parts, s).alias("h"), s.alias("s")))
     return F.transform(F.slice(F.array_sort(keyed), 1, size), lambda x: x["s"])

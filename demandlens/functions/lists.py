@@ -31,3 +31,19 @@ def or_empty(skills):
 def ordered_union(first, second):
     """Elements of both lists, first occurrence kept, in order."""
     return F.array_distinct(F.concat(first, second))
+
+
+def each(df, elements, out, *keep, position=None):
+    """One row per list element, with the columns ``keep``.
+
+    A plain ``explode`` lets the optimizer put a "list is not empty" filter
+    below it, which computes the list a second time; for a list that comes out
+    of text extraction that doubles the job. The outer form has no such filter,
+    and the row it adds for an empty list is dropped here.
+    """
+    elements = F.col(elements) if isinstance(elements, str) else elements
+    if position:
+        rows = df.select(*keep, F.posexplode_outer(elements).alias(position, out))
+    else:
+        rows = df.select(*keep, F.explode_outer(elements).alias(out))
+    return rows.where(F.col(out).isNotNull())

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..fixed_values import TIER_BOUNDS, TOP_GAPS_COHORT, TOP_GAPS_LISTED
+from ..functions.lists import each
 from ..functions.numbers import risk_tier
 
 INDICATORS = ("cgpa", "projects_count", "certifications_count", "internships_count",
@@ -57,7 +58,7 @@ def alignment_scatter(cohort):
 
 def common_gaps(gaps, top=15, per_student=TOP_GAPS_COHORT):
     """Skills most often among a student's first gaps."""
-    return (gaps.select(F.explode(F.slice("missing_skills_ranked", 1, per_student)).alias("skill"))
+    return (each(gaps, F.slice("missing_skills_ranked", 1, per_student), "skill")
             .groupBy("skill").agg(F.count("*").alias("students"))
             .orderBy(F.desc("students"), "skill").limit(top))
 

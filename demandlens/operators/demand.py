@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..fixed_values import OTHER_CATEGORY
+from ..functions.lists import each
 from ..functions.sizing import SMALL_ROWS, broadcast_if_small, fetch_small
 
 
@@ -23,7 +24,7 @@ def market_demand(postings, skills="extracted_skills"):
     Counts list elements; blanks do not count. No posting gives an empty table
     with the same columns.
     """
-    long = (postings.select(F.explode(skills).alias("skill")).where(F.col("skill") != ""))
+    long = each(postings, skills, "skill").where(F.col("skill") != "")
     return count_skills(long, postings.agg(F.count("*").alias("n")))
 
 

@@ -230,22 +230,30 @@ def job_skills(extracted, id_col="posting_id"):
         id_col, "skill", "category", "first_pos")
 
 
+def _quality(df, predicted, truth):
+    found, real = or_empty(predicted), or_empty(truth)
+    sized = df.withColumns({"n_found": F.size(F.array_distinct(found)),
+                            "n_true": F.size(F.array_distinct(real)),
+                            "n_both": F.size(F.array_intersect(found, real))})
+    share = lambda whole: F.when(F.col(whole) > 0, F.col("n_both") / F.col(whole)).otherwise(0.0)
+    return sized.withColumns({"precision": share("n_found"), "recall": share("n_true")})
+
+
 def extraction_quality(df, predicted="extracted_skills", truth="true_skills"):
     """Per row: precision and recall of the distinct skills, 0 if a side is
     empty; rows where both are empty are left out."""
-    found, real = or_empty(predicted), or_empty(truth)
-    sized = (df.withColumn("n_found", F.size(F.array_distinct(found)))
-             .withColumn("n_true", F.size(F.array_distinct(real)))
-             .withColumn("n_both", F.size(F.array_intersect(found, real)))
-             .where(F.col("n_found") + F.col("n_true") > 0))
-    share = lambda whole: F.when(F.col(whole) > 0, F.col("n_both") / F.col(whole)).otherwise(0.0)
-    return sized.withColumn("precision", share("n_found")).withColumn("recall", share("n_true"))
+    return _quality(df, predicted, truth).where(F.col("n_found") + F.col("n_true") > 0)
 
 
 def quality_summary(df, predicted="extracted_skills", truth="true_skills"):
-    """Means over the rows; no row at all when no posting is labelled."""
-    labelled = df.agg(F.count(truth).alias("n")).where(F.col("n") > 0)
-    scored = extraction_quality(df, predicted, truth).agg(
-        F.avg("precision").alias("mean_precision"), F.avg("recall").alias("mean_recall"),
-        F.count("*").alias("n_rows")).where(F.col("n_rows") > 0)
-    return scored.where(labelled.exists())
+    """Means over the rows; no row at all when no posting is labelled.
+
+    Rows that do not count are skipped inside the means: a filter on the lists
+    would be moved below the extraction and run it twice.
+    """
+    counts = F.col("n_found") + F.col("n_true") > 0
+    return _quality(df, predicted, truth).agg(
+        F.avg(F.when(counts, F.col("precision"))).alias("mean_precision"),
+        F.avg(F.when(counts, F.col("recall"))).alias("mean_recall"),
+        F.count_if(counts).alias("n_rows"), F.count(truth).alias("_labelled"),
+    ).where((F.col("n_rows") > 0) & (F.col("_labelled") > 0)).drop("_labelled")

@@ -8,7 +8,7 @@ joined in long form. Both ways give the same table.
 from pyspark.sql import functions as F
 
 from ..fixed_values import OTHER_CATEGORY, TOP_GAPS_STORED
-from ..functions.lists import or_empty
+from ..functions.lists import each, or_empty
 from ..functions.sizing import fetch_small
 from .demand import DemandProfile, with_category
 
@@ -36,7 +36,7 @@ def skill_gaps(students, market, top=TOP_GAPS_STORED, profile=None):
 
 
 def _skill_gaps_long(students, market, top):
-    own = students.select("student_id", F.explode(own_skills()).alias("skill"))
+    own = each(students, own_skills(), "skill", "student_id")
     ranked = market.select("skill", "posting_count", "demand_rank")
     found = (own.join(ranked, "skill").groupBy("student_id").agg(
         F.array_sort(F.collect_list(F.struct("demand_rank", "skill"))).alias("hits"),
@@ -52,7 +52,7 @@ def _skill_gaps_long(students, market, top):
     # ``top + matched`` ranks.
     lacking = F.slice(F.array_except(F.sequence(F.lit(1), F.size("ranks") + top), F.col("ranks")), 1, top)
     lacking = F.filter(lacking, lambda r: r <= F.col("totals")["skills"])
-    missing = (base.select("student_id", F.explode(lacking).alias("demand_rank"))
+    missing = (each(base, lacking, "demand_rank", "student_id")
                .join(ranked.select("demand_rank", "skill"), "demand_rank")
                .groupBy("student_id").agg(F.transform(
                    F.array_sort(F.collect_list(F.struct("demand_rank", "skill"))),
@@ -72,7 +72,7 @@ def market_alignment(students, market, out="alignment", skills="skills", profile
     profile = profile or DemandProfile.load(market)
     if profile is not None:
         return students.withColumn(out, profile.alignment(own_skills(skills)))
-    own = students.select("student_id", F.explode(own_skills(skills)).alias("skill"))
+    own = each(students, own_skills(skills), "skill", "student_id")
     covered = (own.join(market.select("skill", "posting_count"), "skill")
                .groupBy("student_id").agg(F.sum("posting_count").alias("_covered")))
     demand = market.agg(F.sum("posting_count")).scalar()
@@ -89,7 +89,7 @@ def off_market_skills(skills, matched):
 def gap_detail(gaps, market, taxonomy):
     """One row per student and missing skill: rank in the list, category,
     demand share and posting count."""
-    long = gaps.select("student_id", F.posexplode("missing_skills_ranked").alias("at", "skill"))
+    long = each(gaps, "missing_skills_ranked", "skill", "student_id", position="at")
     demand = with_category(market.select("skill", "pct_postings", "posting_count"), taxonomy)
     return (long.join(demand, "skill", "left").select(
         "student_id", (F.col("at") + 1).alias("gap_rank"), "skill",
@@ -125,7 +125,7 @@ def category_coverage(students, market, taxonomy):
 
 def _category_coverage_long(students, market, taxonomy):
     demand = with_category(market.select("skill", "posting_count"), taxonomy)
-    own = students.select("student_id", F.explode(own_skills()).alias("skill"))
+    own = each(students, own_skills(), "skill", "student_id")
     covered = (own.join(demand, "skill").groupBy("student_id", "category")
                .agg(F.sum("posting_count").alias("covered")))
     totals = demand.groupBy("category").agg(F.sum("posting_count").alias("total"))
@@ -145,7 +145,7 @@ def cohort_coverage(students, market, taxonomy):
     sum(students with skill * postings with skill) / (students * demand): one
     count per skill instead of one row per student and category.
     """
-    holders = (students.select(F.explode(own_skills()).alias("skill"))
+    holders = (each(students, own_skills(), "skill")
                .groupBy("skill").agg(F.count("*").alias("holders")))
     wide = "decimal(38,0)"
     per_category = (with_category(market.select("skill", "posting_count"), taxonomy)

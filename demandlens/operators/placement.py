@@ -18,6 +18,7 @@ from .cohort import feature_frame
 from .ranking import running_total
 
 training_table = feature_frame
+ROWS_PER_TASK = 50_000
 
 
 def complete_rows(df, features=FEATURES):
@@ -70,7 +71,7 @@ def candidates(n_train, rounds=200):
             standardization=False),
         "boosted_trees": GBTClassifier(
             labelCol="placed", maxIter=rounds, maxDepth=3, stepSize=0.1, seed=42,
-            cacheNodeIds=True, checkpointInterval=10),
+            checkpointInterval=20),
     }
 
 
@@ -163,9 +164,11 @@ def train(df, features=FEATURES, rounds=200):
     parts = durable(split(rows.select("student_id", *features, "placed")))
     training = parts.where(~F.col("is_test")).drop("is_test")
     held_out = parts.where(F.col("is_test")).drop("is_test")
-    scaling = Pipeline(stages=feature_stages(training.count(), features)).fit(training)
-    ready = scaling.transform(training).select("features", "placed").persist()
-    n_train = ready.count()
+    n_train = training.count()
+    scaling = Pipeline(stages=feature_stages(n_train, features)).fit(training)
+    # Hundreds of small jobs follow: no more tasks than the rows are worth.
+    ready = (scaling.transform(training).select("features", "placed")
+             .coalesce(max(1, math.ceil(n_train / ROWS_PER_TASK))).persist())
     results, models = {}, {}
     for name, learner in candidates(n_train, rounds).items():
         models[name] = PipelineModel(stages=[*scaling.stages, learner.fit(ready)])

@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..fixed_values import TOP_GAPS_SEARCHED, UNKNOWN_COMPANY
-from ..functions.lists import or_empty
+from ..functions.lists import each, or_empty
 from ..functions.sizing import broadcast_if_small
 
 
@@ -18,8 +18,7 @@ def search_documents(extracted):
 
 def posting_index(documents):
     """Inverted table: one row per skill and posting."""
-    return documents.select(F.explode("extracted_skills").alias("skill"),
-                            "posting_id", "title", "company")
+    return each(documents, "extracted_skills", "skill", "posting_id", "title", "company")
 
 
 def write_index(index, path):
@@ -55,8 +54,8 @@ def first_hits(index, size):
 
 def gap_postings(gaps, index, size=6, searched=TOP_GAPS_SEARCHED):
     """For each of a student's first gaps, the first postings that ask for it."""
-    wanted = gaps.select("student_id", F.posexplode(
-        F.slice("missing_skills_ranked", 1, searched)).alias("at", "skill"))
+    wanted = each(gaps, F.slice("missing_skills_ranked", 1, searched), "skill", "student_id",
+                  position="at")
     hits = broadcast_if_small(first_hits(index, size))
     return (wanted.join(hits, "skill")
             .select("student_id", (F.col("at") + 1).alias("gap_rank"), "skill", "hit_rank",

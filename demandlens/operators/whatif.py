@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..fixed_values import STUDENT_NUMERIC, TOP_GAPS_SIMULATED
-from ..functions.lists import or_empty, ordered_union
+from ..functions.lists import each, or_empty, ordered_union
 from ..functions.numbers import risk_tier
 from .cohort import INDICATORS, deltas_to_median
 from .demand import DemandProfile
@@ -57,15 +57,15 @@ def levers(cohort, gaps, market, scorer):
             .join(gaps.select("student_id", "missing_skills_ranked"), "student_id"))
     profile = DemandProfile.load(market)
     if profile is not None:
-        rows = (long.withColumn("_covered", profile.covered(own_skills()))
-                .withColumn("skill", F.explode("missing_skills_ranked"))
+        own = long.withColumn("_covered", profile.covered(own_skills()))
+        rows = (each(own, "missing_skills_ranked", "skill", "*")
                 .withColumn("market_alignment_score",
                             (F.col("_covered") + profile.count_of(F.col("skill")))
                             / F.lit(float(profile.total or 1))))
     else:
         demand = market.agg(F.sum("posting_count")).scalar()
-        rows = (market_alignment(long, market, "_own")
-                .withColumn("skill", F.explode("missing_skills_ranked"))
+        own = market_alignment(long, market, "_own")
+        rows = (each(own, "missing_skills_ranked", "skill", "*")
                 .join(market.select("skill", "posting_count"), "skill", "left")
                 .withColumn("market_alignment_score", F.col("_own")
                             + F.coalesce("posting_count", F.lit(0)) / demand))

@@ -25,7 +25,7 @@ from ..sources.messages import decode, folder_stream
 from ..streaming.extraction import process_postings, start_extraction
 from ..taxonomy import taxonomy_table
 from .star import (OrderWorld, customer_students, document_postings, document_taxonomy,
-                   frozen_scorer, order_postings, order_skills, part_taxonomy, spread_text, table)
+                   frozen_scorer, order_postings, order_skills, part_taxonomy, spread, table)
 
 
 def _six(df, *columns):
@@ -84,7 +84,7 @@ def stream_extract(spark, sf_dir):
 
 
 def split_text_cells(spark, sf_dir):
-    docs = spread_text(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.size(split_skills("text")).alias("n_parts"),
                        F.md5(join_skills(split_skills("text"))).alias("parts_md5"))
 
@@ -306,7 +306,7 @@ def quality_summary(spark, sf_dir):
 
 def _corpus(spark, sf_dir):
     ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    return labelled_postings(ids)
+    return labelled_postings(spread(ids))
 
 
 def labelled_corpus(spark, sf_dir):
@@ -315,7 +315,7 @@ def labelled_corpus(spark, sf_dir):
 
 def labelled_students_corpus(spark, sf_dir):
     ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    return _six(_text(labelled_students(ids), "skills"), "cgpa")
+    return _six(_text(labelled_students(spread(ids)), "skills"), "cgpa")
 
 
 def corpus_quality(spark, sf_dir):

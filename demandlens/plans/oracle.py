@@ -31,9 +31,12 @@ def _number(text):
 
 # --- hash draws ---------------------------------------------------------------
 
+def _md5(*parts):
+    return f"""md5({" || '|' || ".join(parts)})"""
+
+
 def _draw(*parts):
-    text = " || '|' || ".join(parts)
-    return f"('0x' || substr(md5({text}), 1, 12))::BIGINT"
+    return f"('0x' || substr({_md5(*parts)}, 1, 12))::BIGINT"
 
 
 def _unit(*parts):
@@ -50,7 +53,7 @@ def _pick(values, *parts):
 
 def _subset(values, size, *parts):
     return (f"list_transform(list_sort(list_transform({_list(values)}, lambda s: "
-            f"{{'h': {_draw(*parts, 's')}, 's': s}}))[1:{size}], lambda x: x.s)")
+            f"{{'h': {_md5(*parts, 's')}, 's': s}}))[1:{size}], lambda x: x.s)")
 
 
 # --- extraction ---------------------------------------------------------------

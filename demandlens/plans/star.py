@@ -41,10 +41,10 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_text(df):
-    """A text table of very few files is dealt out to all cores: one file with
-    one row group is one task, whatever its size. Tables of many files are
-    read as they lie, without a shuffle."""
+def spread(df):
+    """Rows of a table of very few files, dealt out to all cores before costly
+    work on each row: one file with one row group is one task. Tables of many
+    files are read as they lie, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     few = len(df.inputFiles()) < min(FEW_FILES, cores)
     return df.repartition(cores) if few else df
@@ -54,7 +54,7 @@ def document_postings(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("posting_id"), F.col("lang").alias("title"),
         F.col("source").alias("company"), F.col("text").alias("description"))
-    return spread_text(docs)
+    return spread(docs)
 
 
 def document_taxonomy(spark):
