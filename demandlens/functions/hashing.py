@@ -43,4 +43,4 @@ def draw_gauss(*parts):
 def draw_subset(pool, size, *parts):
     """``size`` different elements of the array ``pool``, in random order."""
     keyed = F.transform(pool, lambda s: F.struct(draw_text(*parts, s).alias("h"), s.alias("s")))
-    return F.transform(F.slice(F.array_sort(keyed), 1, size), lambda x: x["s"])
+    return F.transform(F.slice(F.sort_array(keyed), 1, size), lambda x: x["s"])

@@ -3,10 +3,15 @@
 from pyspark.sql import functions as F
 
 
+def _strip(text):
+    """Without white space of any kind at both ends."""
+    return F.btrim(text, F.lit(" \t\n\r\x0b\f"))
+
+
 def split_skills(cell):
     """``;`` text to array: trimmed, without blanks and the text ``nan``."""
     parts = F.transform(F.split(F.coalesce(F.col(cell) if isinstance(cell, str) else cell,
-                                           F.lit("")), ";"), F.trim)
+                                           F.lit("")), ";"), _strip)
     return F.filter(parts, lambda p: (p != "") & (F.lower(p) != "nan"))
 
 
@@ -14,7 +19,7 @@ def split_cells(cell, trim=False):
     """``;`` text to array keeping every non-blank element, ``nan`` included."""
     parts = F.split(F.coalesce(F.col(cell) if isinstance(cell, str) else cell, F.lit("")), ";")
     if trim:
-        parts = F.transform(parts, F.trim)
+        parts = F.transform(parts, _strip)
     return F.filter(parts, lambda p: p != "")
 
 

@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 # A word keeps inner "&" and ".x" (R&D, Node.js) and a trailing "++" or "#"
 # (C++, C#); every other non-blank character is a token of its own. Unicode
-# classes keep "R" from matching inside a longer accented word. There is no
-# look-around, so RE2 engines accept the same text.
+# classes keep "R" from matching inside a longer accented word. All repeats are
+# possessive: what follows never needs to step back, and Java then iterates
+# instead of recursing, so a very long dotted chain cannot overflow the stack.
 _WORD = r"[\p{L}\p{M}\p{N}_]"
-TOKEN_PATTERN = (rf"{_WORD}+(?:(?:&{_WORD}|\.\p{{Ll}}){_WORD}*+)*+(?:\+\+|#)?"
-                 r"|[^\s\p{L}\p{M}\p{N}_]")
+TOKEN_PATTERN = rf"{_WORD}++(?:(?:&{_WORD}|\.\p{{Ll}}){_WORD}*+)*+(?:\+\+|#)?+|\S"
 
 
 def tokens(text):

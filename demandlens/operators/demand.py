@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import OTHER_CATEGORY
 from ..functions.lists import each
+from ..functions.lookup import lookup
 from ..functions.sizing import SMALL_ROWS, broadcast_if_small, fetch_small
 
 
@@ -91,6 +92,7 @@ class DemandProfile:
 
     def __init__(self, rows):
         self.rows = sorted(rows, key=lambda r: r["demand_rank"])
+        self._counts = lookup({r["skill"]: r["posting_count"] for r in self.rows}, "bigint")
 
     @classmethod
     def load(cls, market, limit=INLINE):
@@ -111,16 +113,13 @@ class DemandProfile:
         names = [r["skill"] for r in self.rows if keep(r)]
         return F.from_json(F.lit(json.dumps(names, ensure_ascii=False)), "array<string>")
 
-    def _map(self, column, kind):
-        pairs = {r["skill"]: r[column] for r in self.rows}
-        return F.from_json(F.lit(json.dumps(pairs, ensure_ascii=False)), f"map<string,{kind}>")
-
     def count_of(self, skill):
         """Posting count, 0 for a skill no posting asks for."""
-        return F.coalesce(F.try_element_at(self._map("posting_count", "bigint"), skill), F.lit(0))
+        return F.coalesce(self._counts(skill), F.lit(0))
 
     def share_of(self, skill):
-        return F.coalesce(F.try_element_at(self._map("pct_postings", "double"), skill), F.lit(0.0))
+        shares = lookup({r["skill"]: r["pct_postings"] for r in self.rows}, "double")
+        return F.coalesce(shares(skill), F.lit(0.0))
 
     def covered(self, skills):
         """Summed posting count of the market skills in a list, each once."""

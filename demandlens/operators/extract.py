@@ -9,13 +9,13 @@ is no shuffle, every posting gives one row, and the same columns run on a
 stream. A vocabulary beyond ``INLINE_PHRASES`` goes through a join instead.
 """
 
-import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
 
 from ..fixed_values import OTHER_CATEGORY
 from ..functions.lists import or_empty
+from ..functions.lookup import lookup
 from ..functions.sizing import fetch_small
 from ..functions.text import phrase_key, tokens
 
@@ -28,18 +28,28 @@ _SPAN = "struct<start:int,end:int,n:int,key:string,raw:string>"
 class Phrases:
     """A vocabulary small enough to be part of the plan."""
 
-    folded: list = field(default_factory=list)      # lower-case keys
-    exact: list = field(default_factory=list)       # keys with their case
-    skill_of: dict = field(default_factory=dict)    # lower-case key -> spelling
-    category_of: dict = field(default_factory=dict)  # lower-case key -> category
+    folded: list = field(default_factory=list)  # lower-case keys
+    exact: list = field(default_factory=list)   # keys with their case
+    names: dict = field(default_factory=dict)   # lower-case key -> skill, category
 
     @property
-    def lengths(self):
-        return sorted({len(k.split(" ")) for k in self.folded + self.exact})
+    def first_tokens(self):
+        """Phrase lengths -> the first tokens that start phrases of exactly
+        these lengths."""
+        lengths = {}
+        for key in self.folded + self.exact:
+            words = key.lower().split(" ")
+            lengths.setdefault(words[0], set()).add(len(words))
+        groups = {}
+        for word, sizes in sorted(lengths.items()):
+            groups.setdefault(tuple(sorted(sizes)), []).append(word)
+        return groups
 
     @property
-    def first_tokens(self):
-        return sorted({k.lower().split(" ")[0] for k in self.folded + self.exact})
+    def reach(self):
+        """Most matches that can start within the longest phrase."""
+        lengths = {n for sizes in self.first_tokens for n in sizes}
+        return max(lengths) * len(lengths)
 
 
 def phrase_table(taxonomy):
@@ -61,23 +71,25 @@ def small_phrases(taxonomy, limit=INLINE_PHRASES):
             found.exact.append(row["phrase"])
         else:
             found.folded.append(row["key"])
-        found.skill_of[row["key"]] = row["skill"]
-        found.category_of[row["key"]] = row["category"] or OTHER_CATEGORY
+        found.names[row["key"]] = {"skill": row["skill"],
+                                   "category": row["category"] or OTHER_CATEGORY}
     return found
 
 
-def _literal_map(mapping):
-    return F.from_json(F.lit(json.dumps(mapping, ensure_ascii=False)), "map<string,string>")
-
-
 def _spans_in_row(toks, phrases):
     """Every match of the vocabulary in a token list, by start and length."""
+    words = [w for group in phrases.first_tokens.values() for w in group]
     starts = F.array_compact(F.transform(
-        toks, lambda t, i: F.when(F.lower(t).isin(phrases.first_tokens), i)))
-    lengths = F.array(*[F.lit(n) for n in phrases.lengths])
+        toks, lambda t, i: F.when(F.lower(t).isin(words), i)))
+
+    def lengths(token):
+        cases = F
+        for sizes, group in phrases.first_tokens.items():
+            cases = cases.when(F.lower(token).isin(group), F.array(*[F.lit(n) for n in sizes]))
+        return cases
 
     def grams(start):
-        return F.transform(lengths, lambda n: F.struct(
+        return F.transform(lengths(F.get(toks, start)), lambda n: F.struct(
             start.alias("start"), (start + n).alias("end"), n.alias("n"),
             F.array_join(F.slice(toks, start + 1, n), " ").alias("raw")))
 
@@ -117,7 +129,7 @@ def _clusters(spans, reach):
 
 def _longest_first(cluster):
     """Keep the longest, then earliest spans that do not overlap."""
-    ranked = F.array_sort(F.transform(cluster, lambda s: F.struct(
+    ranked = F.sort_array(F.transform(cluster, lambda s: F.struct(
         (-s["n"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"),
         s["n"].alias("n"), s["key"].alias("key"), s["raw"].alias("raw"))))
     spans = F.transform(ranked, lambda s: F.struct(
@@ -132,11 +144,11 @@ def _longest_first(cluster):
 
 def _first_mentions(spans):
     """One entry per key with its first position, by position."""
-    by_key = F.array_sort(F.transform(spans, lambda s: F.struct(
+    by_key = F.sort_array(F.transform(spans, lambda s: F.struct(
         s["key"].alias("key"), s["start"].alias("first_pos"))))
     first = _bind(by_key, lambda m: F.filter(
         m, lambda x, i: (i == 0) | (F.get(m, i - 1)["key"] != x["key"])))
-    return F.array_sort(F.transform(first, lambda m: F.struct(
+    return F.sort_array(F.transform(first, lambda m: F.struct(
         m["first_pos"].alias("first_pos"), m["key"].alias("key"))))
 
 
@@ -149,12 +161,11 @@ def _resolve(spans, reach):
 
 def mentions_in_row(text, phrases):
     """Array of (first_pos, key), one per skill, in order of first mention."""
-    if not phrases.lengths:
+    if not phrases.names:
         return F.array().cast("array<struct<first_pos:int,key:string>>")
-    reach = max(phrases.lengths) * len(phrases.lengths)
     return _bind(tokens(text), lambda toks: _bind(
         _spans_in_row(toks, phrases), lambda spans: _bind(
-            _resolve(spans, reach), _first_mentions)))
+            _resolve(spans, phrases.reach), _first_mentions)))
 
 
 def extract_skills(postings, taxonomy, text="description", id_col="posting_id"):
@@ -163,17 +174,17 @@ def extract_skills(postings, taxonomy, text="description", id_col="posting_id"):
     phrases = small_phrases(taxonomy)
     if phrases is None:
         return _extract_by_join(postings, taxonomy, text, id_col)
-    skill_of, category_of = _literal_map(phrases.skill_of), _literal_map(phrases.category_of)
-    keyed = postings.withColumn("mentions", mentions_in_row(F.col(text), phrases))
-    return _with_lists(keyed.withColumn("mentions", F.transform("mentions", lambda m: F.struct(
-        m["first_pos"].alias("first_pos"),
-        F.element_at(skill_of, m["key"]).alias("skill"),
-        F.element_at(category_of, m["key"]).alias("category")))))
+    name_of = lookup(phrases.names, "struct<skill:string,category:string>")
+    keyed = F.transform(mentions_in_row(F.col(text), phrases), lambda m: F.struct(
+        m["first_pos"].alias("first_pos"), name_of(m["key"]).alias("name")))
+    return _with_lists(postings.withColumn("mentions", F.transform(keyed, lambda m: F.struct(
+        m["first_pos"].alias("first_pos"), m["name"]["skill"].alias("skill"),
+        m["name"]["category"].alias("category")))))
 
 
 def _with_lists(df):
     return (df.withColumn("extracted_skills", F.transform("mentions", lambda m: m["skill"]))
-            .withColumn("skill_categories", F.array_sort(F.array_distinct(
+            .withColumn("skill_categories", F.sort_array(F.array_distinct(
                 F.transform("mentions", lambda m: m["category"])))))
 
 
@@ -205,7 +216,7 @@ def _extract_by_join(postings, taxonomy, text, id_col):
     hits = (spread.join(names, "key")
             .where(F.col("any_case") | F.array_contains("exact", F.col("raw"))))
     reach = max(lengths, default=1) * max(len(lengths), 1)
-    spans = F.array_sort(F.collect_list(F.struct(
+    spans = F.sort_array(F.collect_list(F.struct(
         *[F.col(c).cast(t).alias(c) for c, t in
           (("start", "int"), ("end", "int"), ("n", "int"), ("key", "string"), ("raw", "string"))])))
     resolved = (hits.groupBy(id_col).agg(

@@ -39,7 +39,7 @@ def _skill_gaps_long(students, market, top):
     own = each(students, own_skills(), "skill", "student_id")
     ranked = market.select("skill", "posting_count", "demand_rank")
     found = (own.join(ranked, "skill").groupBy("student_id").agg(
-        F.array_sort(F.collect_list(F.struct("demand_rank", "skill"))).alias("hits"),
+        F.sort_array(F.collect_list(F.struct("demand_rank", "skill"))).alias("hits"),
         F.sum("posting_count").alias("covered")))
     totals = market.agg(F.struct(F.sum("posting_count").alias("demand"),
                                  F.max("demand_rank").alias("skills"))).scalar()
@@ -55,7 +55,7 @@ def _skill_gaps_long(students, market, top):
     missing = (each(base, lacking, "demand_rank", "student_id")
                .join(ranked.select("demand_rank", "skill"), "demand_rank")
                .groupBy("student_id").agg(F.transform(
-                   F.array_sort(F.collect_list(F.struct("demand_rank", "skill"))),
+                   F.sort_array(F.collect_list(F.struct("demand_rank", "skill"))),
                    lambda h: h["skill"]).alias("missing")))
     demand = F.col("totals")["demand"]
     return base.join(missing, "student_id", "left").select(

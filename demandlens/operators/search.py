@@ -18,7 +18,8 @@ def search_documents(extracted):
 
 def posting_index(documents):
     """Inverted table: one row per skill and posting."""
-    return each(documents, "extracted_skills", "skill", "posting_id", "title", "company")
+    return each(documents, "extracted_skills", "skill", "posting_id", "title", "company").select(
+        "skill", "posting_id", "title", "company")
 
 
 def write_index(index, path):

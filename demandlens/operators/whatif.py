@@ -88,7 +88,7 @@ def student_view(cohort, gaps, market, taxonomy):
     compared = deltas_to_median(cohort, exact_medians(cohort, list(INDICATORS)))
     ranked = strict_percentile(compared, "probability", "percentile")
     table = gap_detail(gaps, market, taxonomy).groupBy("student_id").agg(
-        F.array_sort(F.collect_list(F.struct("gap_rank", "skill", "category", "demand")))
+        F.sort_array(F.collect_list(F.struct("gap_rank", "skill", "category", "demand")))
         .alias("gap_table"))
     return (ranked.join(gaps.select("student_id", "matched_skills", "missing_skills_ranked"),
                         "student_id")

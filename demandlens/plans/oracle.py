@@ -220,7 +220,7 @@ ORACLE = {
     "LEFT JOIN lists USING (posting_id)",
     "split_text_cells": _with(
         "parts AS (SELECT doc_id, list_filter(list_transform(string_split(text, ';'), "
-        "lambda x: trim(x, ' ')), lambda x: x <> '' AND lower(x) <> 'nan') AS l FROM documents)") +
+        "lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '' AND lower(x) <> 'nan') AS l FROM documents)") +
     "SELECT doc_id, len(l)::INT AS n_parts, md5(array_to_string(l, ';')) AS parts_md5 FROM parts",
     "market_demand_ranked": _with(*_MARKET) + f"SELECT {_DEMAND_COLS} FROM market",
     "top_skills": _with(*_MARKET) + f"SELECT {_DEMAND_COLS} FROM market WHERE demand_rank <= 20",

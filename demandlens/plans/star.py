@@ -72,7 +72,7 @@ def order_skills(spark, sf_dir):
 def order_postings(spark, sf_dir):
     """One row per order; orders without items keep an empty list."""
     lists = order_skills(spark, sf_dir).groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list("skill")).alias("extracted_skills"))
+        F.sort_array(F.collect_list("skill")).alias("extracted_skills"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     return (orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.format_string("JP%04d", "o_orderkey").alias("posting_id"),
@@ -112,7 +112,7 @@ def customer_students(spark, sf_dir):
     owners = orders.select("o_orderkey", F.col("o_custkey").alias("s_custkey"))
     skills = (returned.join(parts, F.col("l_partkey") == F.col("p_partkey"))
               .join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-              .groupBy("s_custkey").agg(F.array_sort(F.collect_set("p_name")).alias("skills")))
+              .groupBy("s_custkey").agg(F.sort_array(F.collect_set("p_name")).alias("skills")))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     zero = F.lit(0)
     return (customers.join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")

@@ -40,7 +40,7 @@ def normalise_students(raw, degree_skills=None, specialisation_skills=None):
         F.round(mean, 2).alias("cgpa"),
         zero.alias("projects_count"), zero.alias("certifications_count"),
         F.when(F.col("workex") == "Yes", 1).otherwise(0).alias("internships_count"),
-        F.array_sort(F.array_union(or_empty("by_degree"), or_empty("by_spec"))).alias("skills"),
+        F.sort_array(F.array_union(or_empty("by_degree"), or_empty("by_spec"))).alias("skills"),
         F.when(F.col("status") == "Placed", 1).otherwise(0).alias("placed")))
 
 

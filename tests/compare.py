@@ -8,7 +8,6 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-BEGUN = time.time()
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -28,7 +27,6 @@ def normal(rows, columns):
 def difference(spark_df, con, sql):
     """``None`` if both results agree, else a short text."""
     got = [tuple(r) for r in spark_df.collect()]
-    print(f"{time.time() - BEGUN:8.1f}", end=" ")
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     want = result.fetchall()
