@@ -168,12 +168,12 @@ def mentions_in_row(text, phrases):
             _resolve(spans, phrases.reach), _first_mentions)))
 
 
-def extract_skills(postings, taxonomy, text="description", id_col="posting_id"):
+def extract_skills(postings, taxonomy, text="description"):
     """One output row per posting with ``mentions``, ``extracted_skills`` and
     ``skill_categories``; postings without any skill keep empty lists."""
     phrases = small_phrases(taxonomy)
     if phrases is None:
-        return _extract_by_join(postings, taxonomy, text, id_col)
+        return _extract_by_join(postings, taxonomy, text)
     name_of = lookup(phrases.names, "struct<skill:string,category:string>")
     keyed = F.transform(mentions_in_row(F.col(text), phrases), lambda m: F.struct(
         m["first_pos"].alias("first_pos"), name_of(m["key"]).alias("name")))
@@ -188,48 +188,46 @@ def _with_lists(df):
                 F.transform("mentions", lambda m: m["category"])))))
 
 
-def _extract_by_join(postings, taxonomy, text, id_col):
+def _extract_by_join(postings, taxonomy, text):
     """The same result for a vocabulary too large for the plan.
 
     All n-grams meet the phrase table in one equi-join; Spark chooses the
-    strategy. Only matched spans are shuffled back to their posting, and a
-    posting's spans are bounded by its own text.
+    strategy. Matched spans are grouped by a digest of their text, so copies of
+    a text, however many, fall together before the shuffle, and a group is
+    never larger than one text. Ids need not be unique.
     """
     table = phrase_table(taxonomy)
-    lengths = [r["n"] for r in table.select("n").distinct().collect()]
+    lengths = sorted(r["n"] for r in table.select("n").distinct().collect())
     names = (table.withColumn("at", F.struct("category_pos", "skill_pos"))
              .groupBy("key").agg(
-                 F.max_by("skill", "at").alias("skill"),
-                 F.max_by(F.coalesce("category", F.lit(OTHER_CATEGORY)), "at").alias("category"),
+                 F.max_by(F.struct("skill", F.coalesce("category", F.lit(OTHER_CATEGORY))
+                                   .alias("category")), "at").alias("name"),
                  F.max(~F.col("case_sensitive")).alias("any_case"),
                  F.collect_set(F.when(F.col("case_sensitive"), F.col("phrase"))).alias("exact")))
 
     def grams(toks):
-        return F.flatten(F.transform(toks, lambda _, i: F.transform(
-            F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: F.struct(
+        every = F.flatten(F.transform(toks, lambda _, i: F.transform(
+            F.array(*[F.lit(n) for n in lengths]), lambda n: F.struct(
                 i.alias("start"), (i + n).alias("end"), n.alias("n"),
-                F.lower(F.array_join(F.slice(toks, i + 1, n), " ")).alias("key"),
                 F.array_join(F.slice(toks, i + 1, n), " ").alias("raw")))))
+        return F.filter(every, lambda g: g["end"] <= F.size(toks))
 
-    spread = postings.select(F.col(id_col), F.inline(_bind(
-        tokens(F.col(text)), lambda toks: F.filter(grams(toks), lambda g: g["end"] <= F.size(toks)))))
-    hits = (spread.join(names, "key")
+    keyed = postings.withColumn("_digest", F.md5(text))
+    hits = (keyed.select("_digest", F.inline_outer(_bind(tokens(F.col(text)), grams)))
+            .withColumn("key", F.lower("raw")).join(names, "key")
             .where(F.col("any_case") | F.array_contains("exact", F.col("raw"))))
     reach = max(lengths, default=1) * max(len(lengths), 1)
-    spans = F.sort_array(F.collect_list(F.struct(
-        *[F.col(c).cast(t).alias(c) for c, t in
-          (("start", "int"), ("end", "int"), ("n", "int"), ("key", "string"), ("raw", "string"))])))
-    resolved = (hits.groupBy(id_col).agg(
-        spans.alias("spans"),
-        F.map_from_entries(F.collect_set(F.struct("key", F.struct("skill", "category")))).alias("names"))
-        .select(id_col, F.transform(_bind(F.col("spans"), lambda s: _bind(
-            _resolve(s, reach), _first_mentions)), lambda m: F.struct(
-                m["first_pos"].alias("first_pos"),
-                F.element_at("names", m["key"])["skill"].alias("skill"),
-                F.element_at("names", m["key"])["category"].alias("category"))).alias("mentions")))
+    found = hits.groupBy("_digest").agg(
+        F.sort_array(F.collect_set(F.struct("start", "end", "n", "key", "raw"))).alias("spans"),
+        F.map_from_entries(F.collect_set(F.struct("key", "name"))).alias("names"))
+    mentions = F.transform(
+        _bind(F.col("spans"), lambda s: _bind(_resolve(s, reach), _first_mentions)),
+        lambda m: F.struct(m["first_pos"].alias("first_pos"),
+                           F.element_at("names", m["key"])["skill"].alias("skill"),
+                           F.element_at("names", m["key"])["category"].alias("category")))
     empty = F.array().cast("array<struct<first_pos:int,skill:string,category:string>>")
-    return _with_lists(postings.join(resolved, id_col, "left")
-                       .withColumn("mentions", F.coalesce("mentions", empty)))
+    return _with_lists(keyed.join(found.select("_digest", mentions.alias("mentions")), "_digest", "left")
+                       .withColumn("mentions", F.coalesce("mentions", empty)).drop("_digest"))
 
 
 def job_skills(extracted, id_col="posting_id"):

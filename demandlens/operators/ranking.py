@@ -91,23 +91,27 @@ def exact_medians(df, columns):
 def hash_sample(df, n, key, seed=42):
     """``min(n, rows)`` rows without replacement; the same rows every time.
 
-    The rows with the smallest hash are taken. A sample too large for a top-n
-    is cut at the hash bucket in which row ``n`` falls.
+    The rows with the smallest hash of the unique ``key`` are taken. Only the
+    hash at which row ``n`` falls is looked for, in two narrow passes, and the
+    rows are then filtered where they lie: a top-n would bring ``n`` full rows
+    of every partition into one task.
     """
     drawn = df.withColumn("_draw", draw_long(seed, F.col(key)))
-    if n <= 10_000:
-        return drawn.orderBy("_draw", key).limit(n).drop("_draw")
-    bucketed = drawn.withColumn("_bucket", F.shiftright("_draw", 32))
+    narrow = drawn.select("_draw", key, F.shiftright("_draw", 32).alias("_bucket"))
     taken, cut = 0, None
     # At most 2**16 rows, however large the table is.
-    for row in sorted(bucketed.groupBy("_bucket").count().collect()):
+    for row in sorted(narrow.groupBy("_bucket").count().collect()):
         if taken + row["count"] > n:
             cut = row["_bucket"]
             break
         taken += row["count"]
     if cut is None:
         return df
-    whole = bucketed.where(F.col("_bucket") < cut)
-    edge = running_total(bucketed.where(F.col("_bucket") == cut).withColumn("_one", F.lit(1)),
-                         ["_draw", key], "_one", "_at").where(F.col("_at") < n - taken)
-    return whole.select(*df.columns).unionByName(edge.select(*df.columns))
+    if n == taken:
+        return drawn.where(F.shiftright("_draw", 32) < cut).drop("_draw")
+    # One bucket holds about 1/65536 of the rows.
+    last = (narrow.where(F.col("_bucket") == cut).orderBy("_draw", key).limit(n - taken)
+            .agg(F.max(F.struct("_draw", key)).alias("last")).first()["last"])
+    before = F.col("_draw") < last["_draw"]
+    same = (F.col("_draw") == last["_draw"]) & (F.col(key) <= last[key])
+    return drawn.where(before | same).drop("_draw")

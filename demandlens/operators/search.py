@@ -38,6 +38,17 @@ def postings_with_skill(documents, skill):
     return documents.where(F.array_contains("extracted_skills", skill))
 
 
+def index_report(documents):
+    """How many documents can be stored, and how many have no id."""
+    return documents.agg(F.count("posting_id").alias("indexed"),
+                         F.count_if(F.col("posting_id").isNull()).alias("rejected"))
+
+
+def search_postings(documents, skill, size=6):
+    """First postings with a skill, straight from the documents."""
+    return postings_with_skill(documents, skill).orderBy("posting_id").limit(size)
+
+
 def search_by_skill(index, skill, size=5):
     return index.where(F.col("skill") == skill).orderBy("posting_id").limit(size)
 

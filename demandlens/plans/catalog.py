@@ -4,6 +4,8 @@ A query takes (spark, sf_dir). List columns leave as ``;`` text and doubles
 rounded, so that results can be compared by value.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..fixed_values import STUDENT_NUMERIC
@@ -19,9 +21,11 @@ from ..operators import validate as V
 from ..operators import whatif as H
 from ..session import scratch_path
 from ..sinks.messages import postings_to_messages, send_to_folder
+from ..sinks.tables import PUBLISHED, export_csv, publish, write_table
 from ..sources.corpus import labelled_postings, labelled_students
 from ..sources.external import normalise_postings, normalise_students
 from ..sources.messages import decode, folder_stream
+from ..sources.tables import postings_from_csv, read_csv
 from ..streaming.extraction import process_postings, start_extraction
 from ..taxonomy import taxonomy_table
 from .star import (OrderWorld, customer_students, document_postings, document_taxonomy,
@@ -276,6 +280,14 @@ def stored_index_lookup(spark, sf_dir):
     return S.search_by_skill(spark.read.parquet(path), "blue ring", size=5)
 
 
+def index_report(spark, sf_dir):
+    return S.index_report(_order_documents(spark, sf_dir))
+
+
+def search_postings(spark, sf_dir):
+    return _text(S.search_postings(_order_documents(spark, sf_dir), "hot gear"), "extracted_skills")
+
+
 def postings_with_skill(spark, sf_dir):
     return _text(S.postings_with_skill(_order_documents(spark, sf_dir), "red plate"),
                  "extracted_skills")
@@ -353,6 +365,41 @@ def external_students(spark, sf_dir):
     return _six(_text(normalise_students(raw), "skills"), "cgpa")
 
 
+def csv_round_trip(spark, sf_dir):
+    """Documents exported as CSV and read again, line breaks and quotes included."""
+    path = scratch_path(spark, "postings-csv")
+    export_csv(document_postings(spark, sf_dir), path)
+    return postings_from_csv(spark, path).select(
+        "posting_id", "title", "company", F.md5("description").alias("description_md5"))
+
+
+def intervention_csv(spark, sf_dir):
+    """The intervention list as the downloadable file."""
+    world, path = OrderWorld(spark, sf_dir), scratch_path(spark, "intervention-csv")
+    export_csv(C.intervention_list(world.cohort, world.stored_gaps, ["At risk"]), path)
+    return read_csv(spark, path, ["student_id", "tier", "top_gaps"])
+
+
+def published_tables(spark, sf_dir):
+    """Stored tables copied to another place; only those that exist."""
+    base, target = scratch_path(spark, "tables"), scratch_path(spark, "export")
+    world = OrderWorld(spark, sf_dir)
+    write_table(world.market, f"{base}/market_skill_demand")
+    write_table(world.gaps, f"{base}/student_skill_gaps")
+    keys = publish(spark, base, "/latest/", target, PUBLISHED)
+    counts = [spark.read.parquet(f"{target}/{key}").agg(
+        F.lit(key).alias("key"), F.count("*").alias("n_rows")) for key in keys]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+def student_lookup(spark, sf_dir):
+    """One student out of the stored view."""
+    path = scratch_path(spark, "cohort")
+    write_table(OrderWorld(spark, sf_dir).cohort, path)
+    found = H.student(spark.read.parquet(path), "S0042")
+    return _six(found.select("student_id", "tier", "probability", "skill_count"), "probability")
+
+
 # --- validation --------------------------------------------------------------
 
 def _upload(spark, sf_dir):
@@ -458,8 +505,10 @@ QUERIES = {f.__name__: f for f in (
     category_coverage, cohort_coverage, feature_frame, score_cohort, alignment_scatter,
     unscored_cohort, tier_counts, cohort_kpis, prob_histogram, percentile, price_percentile,
     cohort_medians, student_deltas, common_gaps, intervention_list, scenarios, levers, no_lever,
-    student_view, search_documents, search_index, stored_index_lookup, postings_with_skill,
+    student_view, search_documents, search_index, stored_index_lookup, index_report,
+    search_postings, postings_with_skill,
     gap_postings, extraction_quality, quality_summary, labelled_corpus, labelled_students_corpus,
-    corpus_quality, corpus_market, external_postings, external_students, validation_report,
+    corpus_quality, corpus_market, external_postings, external_students, csv_round_trip,
+    intervention_csv, published_tables, student_lookup, validation_report,
     numeric_coercion, dup_ids, seq_ids, prepared_postings, random_sample, auc_exact, accuracy,
     class_report, class_guard, placement_rate, train_split, train_best)}

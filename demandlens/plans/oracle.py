@@ -331,6 +331,19 @@ ORACLE = {
     "postings_with_skill": _with(*_ORDER_DOCS) +
     "SELECT posting_id, title, company, array_to_string(skills, ';') AS extracted_skills FROM docs "
     "WHERE list_contains(skills, 'red plate')",
+    "index_report": "SELECT count(*) AS indexed, 0::BIGINT AS rejected FROM orders",
+    "search_postings": _with(*_ORDER_DOCS) +
+    "SELECT posting_id, title, company, array_to_string(skills, ';') AS extracted_skills FROM docs "
+    "WHERE list_contains(skills, 'hot gear') ORDER BY posting_id LIMIT 6",
+    "csv_round_trip": "SELECT doc_id::VARCHAR AS posting_id, lang AS title, source AS company, "
+    "md5(text) AS description_md5 FROM documents",
+    "intervention_csv": _with(*_COHORT) + "SELECT student_id, tier, "
+    "array_to_string(string_split(missing_skills_ranked, ';')[1:3], ', ') AS top_gaps "
+    "FROM cohort WHERE tier = 'At risk'",
+    "published_tables": _with(*_MARKET) + "SELECT 'latest/market_skill_demand' AS key, count(*) AS n_rows "
+    "FROM market UNION ALL SELECT 'latest/student_skill_gaps', count(*) FROM customer",
+    "student_lookup": _with(*_COHORT) + "SELECT student_id, tier, round(p, 6) + 0.0 AS probability, "
+    "skill_count FROM cohort WHERE student_id = 'S0042'",
     "gap_postings": _with(
         *_WORLD, _ORDER_DOCS[1],
         "hits AS (SELECT skill, posting_id, title, company, row_number() OVER (PARTITION BY skill "

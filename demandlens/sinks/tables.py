@@ -27,9 +27,10 @@ def with_text_lists(df):
 
 
 def export_csv(df, path):
-    """CSV with a header, quotes doubled; lists joined by ``;``."""
+    """CSV with a header, quotes doubled, white space kept; lists joined by ``;``."""
     (with_text_lists(df).write.mode("overwrite").option("header", True)
-     .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path))
+     .option("quote", '"').option("escape", '"').option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_metrics(metrics, path):

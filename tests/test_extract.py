@@ -9,8 +9,8 @@ from demandlens.taxonomy import taxonomy_table
 
 def found(spark, taxonomy, text, by_join=False):
     df = spark.createDataFrame([("1", text)], "posting_id string, description string")
-    run = X._extract_by_join if by_join else (lambda d, t, *_: X.extract_skills(d, t))
-    return run(df, taxonomy, "description", "posting_id").first()["extracted_skills"]
+    run = X._extract_by_join if by_join else X.extract_skills
+    return run(df, taxonomy, "description").first()["extracted_skills"]
 
 
 @pytest.mark.parametrize("text, skills", [
@@ -54,7 +54,7 @@ def test_overlaps_equal_brute_force_on_both_paths(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "posting_id int, description string")
     want = {i: greedy(t.split(), phrases) for i, t in enumerate(texts)}
     for result in (X.extract_skills(df, table),
-                   X._extract_by_join(df, table, "description", "posting_id")):
+                   X._extract_by_join(df, table, "description")):
         got = {r["posting_id"]: r["extracted_skills"]
                for r in result.select("posting_id", "extracted_skills").collect()}
         assert got == want
@@ -74,6 +74,13 @@ def test_large_vocabulary_takes_the_join_path(spark, taxonomy, monkeypatch):
     assert result.first()["extracted_skills"] == ["Python", "Docker"]
 
 
+def test_join_path_with_repeated_ids_and_copies(spark, taxonomy):
+    rows = [("x", "Python")] * 20 + [("x", "Docker"), (None, "Go"), (None, "Python and Go")]
+    df = spark.createDataFrame(rows, "posting_id string, description string")
+    key = lambda d: sorted(repr(r) for r in d.select("posting_id", "mentions").collect())
+    assert key(X._extract_by_join(df, taxonomy, "description")) == key(X.extract_skills(df, taxonomy))
+
+
 def test_long_dotted_chain_does_not_overflow(spark, taxonomy):
     assert found(spark, taxonomy, "a" + ".b" * 50_000 + " Python") == ["Python"]
 

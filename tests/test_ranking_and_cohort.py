@@ -107,8 +107,10 @@ def test_levers_follow_the_list_length(small):
     z = -5.0 + 0.5 * 6.0 + 0.3 * 3 + 2.0 * (3 + 4) / 10  # two list entries plus one
     assert rows[("s2", "a")] == pytest.approx(1 / (1 + math.exp(-z)) - base["probability"])
     assert len(rows) == 3 + 3 + 4
+    flat = P.linear_scorer(0, {"cgpa": 0.1})  # does not reward skills
+    unmoved = C.score_cohort(C.feature_frame(students, gaps), flat)
     flags = {r["student_id"]: r["no_lever_helps"] for r in
-             H.without_lever(H.levers(cohort, gaps, table, P.linear_scorer(0, {"cgpa": 0.1}))).collect()}
+             H.without_lever(H.levers(unmoved, gaps, table, flat)).collect()}
     assert flags == {"s1": True, "s2": True, "s3": True}
 
 
