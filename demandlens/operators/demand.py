@@ -85,14 +85,18 @@ class DemandProfile:
     """The demand table within a checked size, ready to be used inside a row.
 
     ``load`` computes the market once. Beyond ``limit`` skills it returns
-    ``None`` and the callers take their long-form path.
+    ``None`` and the callers take their long-form path. The cost per student
+    depends on the student's own list, not on the size of the market.
     """
 
-    INLINE = 512
+    INLINE = 4096
 
     def __init__(self, rows):
         self.rows = sorted(rows, key=lambda r: r["demand_rank"])
-        self._counts = lookup({r["skill"]: r["posting_count"] for r in self.rows}, "bigint")
+        self._entry = lookup(
+            {r["skill"]: {"rank": r["demand_rank"], "n": r["posting_count"],
+                          "share": r["pct_postings"]} for r in self.rows},
+            "struct<rank:int,n:bigint,share:double>")
 
     @classmethod
     def load(cls, market, limit=INLINE):
@@ -108,22 +112,36 @@ class DemandProfile:
     def largest_share(self):
         return max((r["pct_postings"] for r in self.rows), default=0.0)
 
-    def names(self, keep=lambda row: True):
+    def names(self):
         """Skills as an array, by rank."""
-        names = [r["skill"] for r in self.rows if keep(r)]
+        names = [r["skill"] for r in self.rows]
         return F.from_json(F.lit(json.dumps(names, ensure_ascii=False)), "array<string>")
 
     def count_of(self, skill):
         """Posting count, 0 for a skill no posting asks for."""
-        return F.coalesce(self._counts(skill), F.lit(0))
+        return F.coalesce(self._entry(skill)["n"], F.lit(0))
 
     def share_of(self, skill):
-        shares = lookup({r["skill"]: r["pct_postings"] for r in self.rows}, "double")
-        return F.coalesce(shares(skill), F.lit(0.0))
+        return F.coalesce(self._entry(skill)["share"], F.lit(0.0))
+
+    def matched(self, skills):
+        """The market skills of a list of different skills, by rank."""
+        ranked = F.transform(skills, lambda s: F.struct(
+            self._entry(s)["rank"].alias("rank"), s.alias("skill")))
+        return F.transform(F.sort_array(F.filter(ranked, lambda r: r["rank"].isNotNull())),
+                           lambda r: r["skill"])
+
+    def missing(self, skills, top):
+        """The first ``top`` market skills not in the list.
+
+        They lie within the first ``top`` + list length ranks.
+        """
+        head = F.slice(self.names(), 1, F.size(skills) + top)
+        return F.slice(F.array_except(head, skills), 1, top)
 
     def covered(self, skills):
         """Summed posting count of the market skills in a list, each once."""
-        return F.aggregate(F.array_intersect(skills, self.names()), F.lit(0).cast("bigint"),
+        return F.aggregate(F.array_distinct(skills), F.lit(0).cast("bigint"),
                            lambda acc, s: acc + self.count_of(s))
 
     def alignment(self, skills):

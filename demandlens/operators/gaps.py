@@ -26,11 +26,11 @@ def skill_gaps(students, market, top=TOP_GAPS_STORED, profile=None):
     profile = profile or DemandProfile.load(market)
     if profile is None:
         return _skill_gaps_long(students, market, top)
-    mine, names = own_skills(), profile.names()
+    mine = own_skills()
     return students.select(
         "student_id",
-        F.array_intersect(names, mine).alias("matched_skills"),
-        F.slice(F.array_except(names, mine), 1, top).alias("missing_skills_ranked"),
+        profile.matched(mine).alias("matched_skills"),
+        profile.missing(mine, top).alias("missing_skills_ranked"),
         F.round(profile.alignment(mine), 4).alias("market_alignment_score"),
         F.size(mine).alias("skill_count"))
 

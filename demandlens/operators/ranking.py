@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hashing import draw_long
+from ..functions.numbers import nan_to_null
 from ..session import durable
 
 _FIRST, _PREVIOUS = W.unboundedPreceding, -1
@@ -66,24 +67,45 @@ def strict_percentile(df, value, out):
             .withColumn(out, F.col("n_below") / total).drop("n_below"))
 
 
-def exact_medians(df, columns):
-    """Exact medians as one row, nulls skipped.
+def exact_medians(df, columns, accuracy=20_000):
+    """Exact medians as one row, nulls and NaN skipped.
 
-    Values are counted per column first; only the two middle values are kept.
+    An approximate quantile pass brackets each median; rows below the bracket
+    are only counted, and the few values inside it are counted per value and
+    ranked.
     """
-    long = (df.select(*[F.col(c).cast("double") for c in columns])
-            .unpivot([], columns, "indicator", "value").where(F.col("value").isNotNull()))
-    counts = long.groupBy("indicator", "value").agg(F.count("*").alias("n"))
-    placed = running_total(counts, ["value"], "n", "n_below", within=["indicator"])
-    totals = counts.groupBy("indicator").agg(F.sum("n").alias("rows"))
-    lower, upper = F.floor((F.col("rows") - 1) / 2), F.floor(F.col("rows") / 2)
+    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
+    margin = 2.0 / accuracy
+    found = values.agg(*[F.struct(
+        F.count(c).alias("rows"),
+        F.percentile_approx(c, [0.5 - margin, 0.5 + margin], accuracy).alias("at")).alias(c)
+        for c in columns]).first()
+    known = [c for c in columns if found[c]["rows"]]
+    if not known:
+        return df.sparkSession.createDataFrame([(None,) * len(columns)], ", ".join(
+            f"{c} double" for c in columns))
+
+    def per_column(pick):
+        return F.create_map(*[x for c in known for x in (F.lit(c), F.lit(pick(found[c])))])[
+            F.col("indicator")]
+
+    below = values.agg(*[F.count_if(F.col(c) < found[c]["at"][0]).alias(c) for c in known])
+    below = below.unpivot([], known, "indicator", "n_lower")
+    counts = (values.unpivot([], known, "indicator", "value")
+              .where(F.col("value").between(per_column(lambda f: f["at"][0]),
+                                            per_column(lambda f: f["at"][1])))
+              .groupBy("indicator", "value").agg(F.count("*").alias("n")))
+    ranked = (running_total(counts, ["value"], "n", "n_inside", within=["indicator"])
+              .join(F.broadcast(below), "indicator")  # one row per column
+              .withColumn("n_below", F.col("n_inside") + F.col("n_lower"))
+              .withColumn("rows", per_column(lambda f: f["rows"])))
 
     def at(position):
         inside = (F.col("n_below") <= position) & (position < F.col("n_below") + F.col("n"))
         return F.max(F.when(inside, F.col("value")))
 
-    medians = (placed.join(totals, "indicator").groupBy("indicator")
-               .agg(((at(lower) + at(upper)) / 2).alias("median")))
+    lower, upper = F.floor((F.col("rows") - 1) / 2), F.floor(F.col("rows") / 2)
+    medians = ranked.groupBy("indicator").agg(((at(lower) + at(upper)) / 2).alias("median"))
     return medians.agg(*[
         F.max(F.when(F.col("indicator") == c, F.col("median"))).alias(c) for c in columns])
 

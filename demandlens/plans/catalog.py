@@ -138,7 +138,7 @@ def off_market(spark, sf_dir):
                            .drop("demand_rank"))
     students = customer_students(spark, sf_dir)
     profile = D.DemandProfile.load(market)
-    matched = F.array_intersect(profile.names(), G.own_skills())
+    matched = profile.matched(G.own_skills())
     return _text(students.select("student_id", G.off_market_skills(
         "skills", matched).alias("off_market_skills")), "off_market_skills")
 

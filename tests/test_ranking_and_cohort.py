@@ -34,6 +34,15 @@ def test_exact_medians(spark):
     assert found["b"] == pytest.approx(statistics.median(r[1] for r in rows if r[1] is not None))
 
 
+@pytest.mark.parametrize("n, hot", [(1, 0), (2, 0), (3, 2), (100_001, 0), (100_000, 40_000), (99_999, 70_000)])
+def test_medians_of_many_values(spark, n, hot):
+    rng = random.Random(n)
+    values = [7.25] * hot + [rng.gauss(7, 3) for _ in range(n - hot)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    assert R.exact_medians(df, ["v"]).first()["v"] == statistics.median(values)
+    assert R.exact_medians(df.limit(0), ["v"]).first()["v"] is None
+
+
 def test_sequential_ids(spark):
     df = spark.createDataFrame([(f"k{i % 7}", i) for i in range(500)], "k string, i int").repartition(8)
     got = {r["i"]: r["row"] for r in R.sequential_ids(df, "row", "S", ["k", "i"]).collect()}
