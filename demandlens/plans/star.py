@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.sizing import fetch_small
 from ..operators.cohort import feature_frame, score_cohort
 from ..operators.demand import DemandProfile, count_skills
 from ..operators.gaps import skill_gaps
@@ -166,7 +167,9 @@ class OrderWorld:
 
     @cached_property
     def taxonomy(self):
-        return part_taxonomy(self.spark, self.sf_dir)
+        names = part_taxonomy(self.spark, self.sf_dir)
+        rows = fetch_small(names)
+        return names if rows is None else self.spark.createDataFrame(rows, names.schema)
 
     @property
     def features(self):
