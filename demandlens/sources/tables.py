@@ -46,7 +46,7 @@ def read_csv(spark, path, columns=None, multi_line=True):
                         for c in raw.columns])
 
 
-def _typed(df, schema, lists):
+def typed_columns(df, schema, lists):
     """Cast text columns to the schema; columns the file lacks become null."""
     def column(field):
         if field.name not in df.columns:
@@ -61,10 +61,10 @@ def _typed(df, schema, lists):
 
 
 def postings_from_csv(spark, path, multi_line=True):
-    return _typed(read_csv(spark, path, multi_line=multi_line), POSTINGS, split_skills)
+    return typed_columns(read_csv(spark, path, multi_line=multi_line), POSTINGS, split_skills)
 
 
 def students_from_csv(spark, path, multi_line=True):
     """Ids stay text. Skill lists keep every non-blank element."""
-    return _typed(read_csv(spark, path, multi_line=multi_line), STUDENTS,
+    return typed_columns(read_csv(spark, path, multi_line=multi_line), STUDENTS,
                   lambda v: split_cells(v, trim=True))

@@ -1,10 +1,11 @@
 """Uploaded CSV tables: read, check, replace the stored table."""
 
 from ..fixed_values import POSTING_REQUIRED, STUDENT_REQUIRED
+from ..functions.lists import split_cells, split_skills
 from ..operators.validate import missing_tables, validate_and_prepare
-from ..sinks.tables import replace_table
 from ..schemas import POSTINGS, STUDENTS
-from .tables import _typed, read_csv, split_cells, split_skills, table_exists
+from ..sinks.tables import replace_table
+from .tables import read_csv, table_exists, typed_columns
 
 
 def accept_uploads(spark, stored, postings_csv=None, students_csv=None):
@@ -25,7 +26,7 @@ def accept_uploads(spark, stored, postings_csv=None, students_csv=None):
         if checked.error:
             errors.append(f"{label}: {checked.error}")
         else:
-            prepared[label] = _typed(checked.prepared, schema, lists)
+            prepared[label] = typed_columns(checked.prepared, schema, lists)
     if not errors:
         errors = missing_tables(prepared, {k: table_exists(spark, p) for k, p in stored.items()})
     if not errors:
