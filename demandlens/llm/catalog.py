@@ -1,10 +1,19 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import line_runs
+from demandlens.llm import hyperminhash, line_runs, suffix_arrays
 from demandlens.llm.frames import table
 from pyspark.sql import functions as F
 
 
+def op6_benchmark_decontamination(spark, sf_dir):
+    """Words of each document inside occurrences of benchmark windows."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = suffix_arrays.hits(docs.select("doc_id", "text"), benchmark)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_line_dedup(spark, sf_dir):
     """Every document without its repeated lines."""
     kept = line_runs.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -12,9 +21,49 @@ def op7_line_dedup(spark, sf_dir):
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op7_line_dedup": op7_line_dedup}
+def op9_minhash_near_dedup(spark, sf_dir):
+    """Components of documents that share four of five of their 4-word shingles."""
+    found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles",
+                        F.col("component").alias("component_id"), "kept")
+
+
+QUERIES = {
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
+}
 
 ORACLE = {
+    "op6_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents)),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(ws)) AS size,
+         array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS win
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+grams AS (
+  SELECT doc_id, pos, size,
+         array_to_string(list(w) OVER (PARTITION BY doc_id, size ORDER BY pos
+                                       ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)[1:size], ' ') AS win
+  FROM d, sizes),
+found AS (SELECT g.doc_id, g.pos, g.size, x.item_id FROM grams g JOIN windows x ON g.win = x.win AND g.size = x.size),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(range(pos, pos + size)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::varchar AS item FROM found) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_words FROM d GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op7_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
