@@ -1,5 +1,6 @@
 """Run queries against their SQL: python tests/compare.py SF_DIR [name ...]"""
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -46,7 +47,7 @@ if __name__ == "__main__":
     from demandlens.session import build_session
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", **{
+    spark = build_session(master=os.environ.get("COMPARE_MASTER", "local[8]"), **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
