@@ -1,10 +1,26 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import hyperminhash, line_runs, suffix_arrays
-from demandlens.llm.frames import table
+from demandlens.llm import centroids, hyperminhash, line_runs, pieces, suffix_arrays
+from demandlens.llm.frames import doc_bucket, table
 from pyspark.sql import functions as F
 
 
+def op2_language_id(spark, sf_dir):
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = doc_bucket("doc_id", 4) == 2
+    model = centroids.train(docs.where(~held_out))
+    found = centroids.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op5_sentencepiece(spark, sf_dir):
+    """Piece ids of every document, as number and digest, with parity and round trip."""
+    found = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                        "parity", "round_trip")
+
+
 def op6_benchmark_decontamination(spark, sf_dir):
     """Words of each document inside occurrences of benchmark windows."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -29,6 +45,8 @@ def op9_minhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
