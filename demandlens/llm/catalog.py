@@ -1,6 +1,6 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import centroids, hyperminhash, line_runs, pieces, suffix_arrays
+from demandlens.llm import cascade, centroids, hyperminhash, line_runs, pieces, suffix_arrays
 from demandlens.llm.frames import doc_bucket, table
 from pyspark.sql import functions as F
 
@@ -44,7 +44,20 @@ def op9_minhash_near_dedup(spark, sf_dir):
                         F.col("component").alias("component_id"), "kept")
 
 
+def op10_quality_rules(spark, sf_dir):
+    """Counts and verdict of the quality rules for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted, figure = cascade.measured(docs, "text", list(cascade.measures(F.col("text"))))
+    order = cascade.ordered(docs, cascade.rules(cascade.measures(F.col("text"))))
+    conditions = cascade.rules(figure)
+    base_failed = conditions["base_few_words"] | conditions["base_repeats"]
+    return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                          base_failed.alias("base_failed"),
+                          (~base_failed & cascade.verdict(conditions, order).isNull()).alias("kept"))
+
+
 QUERIES = {
+    "op10_quality_rules": op10_quality_rules,
     "op2_language_id": op2_language_id,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
@@ -53,6 +66,31 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op10_quality_rules": r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+grams AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+again AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM again) GROUP BY doc_id),
+f AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+         length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS n_letters,
+         length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS n_capitals
+  FROM w LEFT JOIN repeats USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 100 * n_symbols > 10 * word_chars OR (n_lines >= 4 AND 100 * n_dup_lines > 40 * n_lines)
+            OR word_chars < 2 * n_words OR word_chars > 25 * n_words
+            OR 100 * n_letters < 50 * word_chars OR 100 * n_capitals > 60 * n_letters) AS kept
+FROM b""",
     "op6_benchmark_decontamination": r"""
 WITH d AS (
   SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM (
