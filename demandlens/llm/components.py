@@ -4,6 +4,15 @@ from demandlens.llm.frames import stored
 from pyspark.sql import functions as F
 
 
+#: Up to so many edges a round runs in one task, without shuffles; beyond, by key.
+ONE_TASK = 100_000
+
+
+def gathered(edges):
+    """``edges``, in one partition if their checked number is small."""
+    return edges.coalesce(1) if edges.count() <= ONE_TASK else edges
+
+
 def star(edges, larger_only):
     """Join every node's neighbours to the smallest node among them and itself.
 
@@ -29,11 +38,11 @@ def components(edges):
     ``min`` and joined to one row, so a hub with very many neighbours can be split.
     Each round is written to the shared folder; a chain of n nodes takes about log n rounds.
     """
-    now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"),
-                                              F.least("u", "v").alias("v")).distinct(), "edges")
+    now = gathered(stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"),
+                                                       F.least("u", "v").alias("v")).distinct(), "edges"))
     mark = None
     while True:
-        after = stored(star(star(now, True), False), "edges")
+        after = gathered(stored(star(star(now, True), False), "edges"))
         found = after.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if found == mark:
             break

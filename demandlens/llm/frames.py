@@ -11,12 +11,21 @@ BLANKS = " \t\n\x0b\x0c\r"
 STEP_BYTES = 8 << 20
 
 
-def stored(df, name):
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df, name, arrow_rows=None):
     """``df`` written once to the shared folder and read back: lineage ends here,
-    and a lost executor costs no recomputation."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and a lost executor costs no recomputation. ``arrow_rows`` limits the batches that
+    Python tasks of this write get, for tables of wide rows."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(ARROW_ROWS)
+    try:
+        spark.conf.set(ARROW_ROWS, arrow_rows or before)
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark, sf_dir, name):

@@ -8,9 +8,9 @@ equality, drops most wrong ones, and the full sets decide.
 
 Documents with the same set are one class from the start (copies are never paired), and a
 class meets only the smallest class of each band bucket, so a bucket of any size costs one
-pair per member. After that, members of a bucket that are still in different components
-meet all others of the bucket if they are few, else the smallest of their own; see
-``linked``.
+pair per member. After that, in buckets whose members are still in several components, the
+members outside the main one are compared with the whole bucket: as pairs in small buckets,
+else in blocks that stay inside a task and give one row per link found; see ``linked``.
 """
 
 import numpy as np
@@ -29,9 +29,11 @@ P, MANTISSA = 8, 10
 ROWS, BANDS = 6, 42
 #: Standard deviations that the estimate may fall short of the threshold.
 MARGIN = 5
-#: Members outside the main component of a bucket that are compared with the whole bucket.
-FEW = 32
-PAIRS_IN_FLIGHT = 2_000
+#: Buckets up to this size are settled by pairs, larger ones in blocks.
+SMALL = 16
+#: Sets that a task holds of the one side of a block, and streams past them.
+HELD, STREAMED = 256, 2_048
+PAIRS_IN_FLIGHT, SETS_IN_FLIGHT = 2_000, 256
 
 BUCKETS = 1 << P
 REST = 64 - P
@@ -201,15 +203,14 @@ def confirmed(pairs, sets, percent):
 
 
 def linked(docs, classes, members, size, percent, doc_id, text):
-    """(node, root) of all classes that have a link, and the number of pairs confirmed.
-
-    ``members`` has (key, node) for band buckets of two classes or more. Round one pairs
-    each member with the smallest node of its bucket, and first confirms each class's
-    best pair only: what is connected then needs no further proof. Later rounds look at
-    buckets whose members are in several components and pair the members outside the
-    bucket's main component with everything in it, or, where those are more than
-    ``FEW``, with the smallest node of their own. Pairs tried are not tried again; it
-    ends when no new pair is left.
+    """(node, root) of all classes that have a link.
+
+    ``members`` has (key, node) for band buckets of two classes or more. First each member
+    is paired with the smallest node of its buckets, and each class's best pair is
+    confirmed; the other pairs matter only where they would join components. Then every
+    bucket with members of several components is settled: all pairs between a member
+    outside its largest component and any other member are compared, so two similar classes
+    that share a bucket end up together whatever the bucket's size.
     """
     nodes = members.select("node").distinct()
     owners = classes.join(nodes, "node", "left_semi").select(F.col("doc").alias("own"))
@@ -223,19 +224,24 @@ def linked(docs, classes, members, size, percent, doc_id, text):
              .select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
     tried = stored(promising(pairs, classes, percent), "candidates")
     best = tried.groupBy("u").agg(F.max_by("v", F.struct("near", "v")).alias("v"))
-    edges = stored(confirmed(best, sets, percent), "links")
-    roots = stored(components(edges), "roots")
-    open_pairs = across(tried.join(best, ["u", "v"], "left_anti"), roots)
-    while True:
-        found = stored(confirmed(open_pairs, sets, percent), "links")
-        if not found.isEmpty():
-            edges = edges.union(found)
-            roots = stored(components(edges), "roots")
-        pairs = stored(unsettled(members, roots).join(tried.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
-        if pairs.isEmpty():
+    roots = grown(None, confirmed(best, sets, percent))
+    rest = across(tried.join(best, ["u", "v"], "left_anti"), roots)
+    roots = grown(roots, confirmed(rest, sets, percent))
+
+    inside = stored(unsettled(members, roots), "unsettled")
+    small = promising(small_pairs(inside).join(tried.select("u", "v"), ["u", "v"], "left_anti"), classes, percent)
+    blocks = block_links(inside.where(F.col("total") > SMALL), sets, percent)
+    return grown(roots, confirmed(small, sets, percent).union(blocks))
+
+
+def grown(roots, edges):
+    """(node, root) after adding edges (u, v) to known components (``None``: no one yet)."""
+    edges = stored(edges, "links", SETS_IN_FLIGHT)
+    if roots is not None:
+        if edges.isEmpty():
             return roots
-        open_pairs = stored(promising(pairs, classes, percent), "candidates").select("u", "v")
-        tried = tried.select("u", "v").union(pairs)
+        edges = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(edges)
+    return stored(components(edges), "roots")
 
 
 def with_root(rows, roots, node, name):
@@ -251,23 +257,98 @@ def across(pairs, roots):
 
 
 def unsettled(members, roots):
-    """Pairs still to be tried in buckets with members of several components, larger node
-    first."""
+    """The members of buckets that reach over several components: key, node, root, the
+    bucket's largest component ``main``, its size ``total`` and how many are ``outside``
+    of main."""
     placed = with_root(members, roots, "node", "root")
     by_root = placed.groupBy("key", "root").agg(F.count("*").alias("size"))
     several = (by_root.groupBy("key").agg(F.count("*").alias("roots"), F.sum("size").alias("total"),
                                           F.max(F.struct("size", "root")).alias("main"))
-               .where("roots > 1").select("key", F.col("main.root").alias("main"),
+               .where("roots > 1").select("key", F.col("main.root").alias("main"), "total",
                                           (F.col("total") - F.col("main.size")).alias("outside")))
-    inside = stored(placed.join(several, "key"), "unsettled")
-    outer = inside.where("root <> main")
-    few = outer.where(F.col("outside") <= FEW).select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    whole = few.join(inside.select("key", F.col("node").alias("b"), F.col("root").alias("rb")), "key").where("ra <> rb")
-    hubs = outer.where(F.col("outside") > FEW).groupBy("key").agg(F.min("node").alias("b"))
-    rest = (outer.where(F.col("outside") > FEW).join(hubs, "key").where("node <> b")
-            .select(F.col("node").alias("a"), "b"))
-    both = whole.select("a", "b").union(rest)
-    return both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    return placed.join(several, "key")
+
+
+def small_pairs(inside):
+    """The (u, v) pairs between components within buckets of at most ``SMALL``: not more
+    than that many per member."""
+    few = inside.where(F.col("total") <= SMALL)
+    outer = few.where("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
+    whole = few.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
+    return (outer.join(whole, "key").where("ra <> rb")
+            .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+
+
+def block_links(inside, sets, percent):
+    """Links between components in large buckets, one per member, component and block.
+
+    A bucket is cut into blocks of about ``HELD`` members outside the main component by
+    ``STREAMED`` members of any kind. Each block is one sorted run in a task, which indexes
+    the first and streams the others past them, comparing full sets.
+    """
+    def pieces(total, each):
+        return F.ceil(total / F.lit(each)).cast("int")
+
+    rows = (inside.withColumn("chunks", pieces(F.col("outside"), HELD))
+            .withColumn("salts", pieces(F.col("total"), STREAMED)))
+    draw = F.xxhash64("node")
+    held = (rows.where("root <> main").withColumn("chunk", F.pmod(draw, "chunks").cast("int"))
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("role", F.lit(0)))
+    passing = (rows.withColumn("salt", F.pmod(draw, "salts").cast("int"))
+               .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("role", F.lit(1)))
+    columns = ["key", "chunk", "salt", "role", "node", "root"]
+    blocks = (held.select(*columns).union(passing.select(*columns)).join(sets, "node")
+              .repartition("key", "chunk", "salt").sortWithinPartitions("key", "chunk", "salt", "role"))
+    schema = StructType().add("u", BinaryType()).add("v", BinaryType())
+
+    def each(batches):
+        block, index, seen = None, None, set()
+        for batch in batches:
+            u, v = [], []
+            for key, chunk, salt, role, node, root, members in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != (key, chunk, salt):
+                    block, index, seen = (key, chunk, salt), Index(), set()
+                own = np.frombuffer(members, np.uint64)
+                if role == 0:
+                    index.add(node, root, own)
+                    continue
+                for at in index.similar(own, percent):
+                    link = (index.nodes[at], root)
+                    if index.roots[at] != root and link not in seen:
+                        seen.add(link)
+                        u.append(index.nodes[at])
+                        v.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=schema.names)
+
+    return blocks.select(*columns, "members").mapInArrow(each, schema)
+
+
+class Index:
+    """The sets held of a block, by shingle."""
+
+    def __init__(self):
+        self.nodes, self.roots, self.sets, self.ready = [], [], [], False
+
+    def add(self, node, root, members):
+        self.nodes.append(node)
+        self.roots.append(root)
+        self.sets.append(members)
+
+    def similar(self, members, percent):
+        """The places of the held sets that are similar enough to ``members``."""
+        if not self.sets:
+            return []
+        if not self.ready:
+            self.sizes = np.array([len(s) for s in self.sets])
+            every = np.concatenate(self.sets)
+            order = np.argsort(every, kind="stable")
+            self.shingles, self.owner = every[order], np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+            self.ready = True
+        low = np.searchsorted(self.shingles, members, "left")
+        width = np.searchsorted(self.shingles, members, "right") - low
+        at = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(low, width)
+        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        return np.flatnonzero(100 * both >= percent * (self.sizes + len(members) - both)).tolist()
 
 
 def near_duplicates(docs, size=5, percent=80, doc_id="doc_id", text="text"):
