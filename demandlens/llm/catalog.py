@@ -1,6 +1,6 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import cascade, centroids, hyperminhash, line_runs, pieces, suffix_arrays
+from demandlens.llm import cascade, centroids, guess_cost, hyperminhash, line_runs, pieces, suffix_arrays
 from demandlens.llm.frames import doc_bucket, table
 from pyspark.sql import functions as F
 
@@ -14,6 +14,22 @@ def op2_language_id(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op4_secret_scans(spark, sf_dir):
+    """Secrets of every document: counts per base pattern and all spans."""
+    found = guess_cost.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "guess")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"),
+                        count("guess"))
+
+
 def op5_sentencepiece(spark, sf_dir):
     """Piece ids of every document, as number and digest, with parity and round trip."""
     found = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -57,12 +73,13 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
-    "op10_quality_rules": op10_quality_rules,
     "op2_language_id": op2_language_id,
+    "op4_secret_scans": op4_secret_scans,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE = {
