@@ -1,10 +1,16 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import cascade, centroids, guess_cost, hyperminhash, line_runs, pieces, suffix_arrays
+from demandlens.llm import cascade, centroids, guess_cost, hidden_markov, hyperminhash, line_runs, pieces, suffix_arrays
 from demandlens.llm.frames import doc_bucket, table
 from pyspark.sql import functions as F
 
 
+def op1_lm_scoring(spark, sf_dir):
+    """Log probability of every document under the hidden Markov model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hidden_markov.score(docs, doc_bucket("doc_id", 5) == 1).withColumnRenamed("doc", "doc_id")
+
+
 def op2_language_id(spark, sf_dir):
     """The language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -73,6 +79,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
     "op4_secret_scans": op4_secret_scans,
     "op5_sentencepiece": op5_sentencepiece,
