@@ -1,6 +1,6 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import cascade, centroids, guess_cost, hidden_markov, hyperminhash, line_runs, pieces, suffix_arrays
+from demandlens.llm import cascade, centroids, disclosure, guess_cost, hidden_markov, hyperminhash, line_runs, pieces, suffix_arrays
 from demandlens.llm.frames import doc_bucket, table
 from pyspark.sql import functions as F
 
@@ -20,6 +20,22 @@ def op2_language_id(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op3_pii(spark, sf_dir):
+    """Personal data of every document: counts per base kind and all spans."""
+    found = disclosure.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in (*disclosure.KINDS, "term")]
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select("doc_id", *counts[:-1], F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), counts[-1])
+
+
 def op4_secret_scans(spark, sf_dir):
     """Secrets of every document: counts per base pattern and all spans."""
     found = guess_cost.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -81,6 +97,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
+    "op3_pii": op3_pii,
     "op4_secret_scans": op4_secret_scans,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
