@@ -1,6 +1,6 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import cascade, centroids, disclosure, guess_cost, hidden_markov, hyperminhash, line_runs, pieces, suffix_arrays
+from demandlens.llm import cascade, centroids, disclosure, guess_cost, hidden_markov, hyperminhash, kneser_ney, line_runs, pieces, suffix_arrays
 from demandlens.llm.frames import doc_bucket, table
 from pyspark.sql import functions as F
 
@@ -75,6 +75,13 @@ def op7_line_dedup(spark, sf_dir):
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_quality_classifier(spark, sf_dir):
+    """Perplexity of every document under the trusted texts' model, and the verdict."""
+    found = kneser_ney.classify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"),
+                                table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("doc", "doc_id")
+
+
 def op9_minhash_near_dedup(spark, sf_dir):
     """Components of documents that share four of five of their 4-word shingles."""
     found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
@@ -102,6 +109,7 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
