@@ -91,3 +91,7 @@ TOP_GAPS_SEARCHED = 6
 TOP_GAPS_COHORT = 5
 TOP_GAPS_LISTED = 3
 TOP_GAPS_SIMULATED = 2
+
+# Fields of a processed posting, in order.
+PROCESSED_FIELDS = ("posting_id", "title", "company", "description", "extracted_skills",
+                    "skill_categories")

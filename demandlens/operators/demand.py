@@ -2,13 +2,13 @@
 
 import json
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..fixed_values import OTHER_CATEGORY
 from ..functions.lists import each
 from ..functions.lookup import lookup
 from ..functions.sizing import SMALL_ROWS, broadcast_if_small, fetch_small
+from .ranking import running_total
 
 
 def count_skills(long, n_postings):
@@ -30,9 +30,14 @@ def market_demand(postings, skills="extracted_skills"):
 
 
 def rank_demand(demand):
-    """Rank by count, ties by name. The input has one row per skill."""
-    order = W.orderBy(F.desc("posting_count"), "skill")
-    return demand.withColumn("demand_rank", F.row_number().over(order))
+    """Rank by count, ties by name. The input has one row per skill.
+
+    The vocabulary is ranked by ranges of (count, name) and the ranks before each range,
+    never in one task; it is stored on the way, so what follows reads it again for free.
+    """
+    before = running_total(demand.withColumns({"_least": -F.col("posting_count"), "_one": F.lit(1)}),
+                           ["_least", "skill"], "_one", "_at")
+    return before.withColumn("demand_rank", (F.col("_at") + 1).cast("int")).drop("_least", "_one", "_at")
 
 
 def title_matches(role, title="title"):
@@ -61,11 +66,14 @@ def demand_tree(market, taxonomy):
                  F.grouping_id().alias("level")))
 
 
-def top_skills(market, n=None):
-    """First ``n`` skills by demand: 20 by default, kept within 5..40 and the
-    table's size."""
-    wanted = 20 if n is None else min(max(n, 5), 40)
-    return market.orderBy("demand_rank").limit(wanted)
+def top_skills(market, n=20):
+    """First ``n`` skills by demand, as many as there are."""
+    return market.orderBy("demand_rank").limit(n)
+
+
+def scaled_demand(market):
+    """``market`` with its share relative to the largest share."""
+    return market.withColumn("scaled", F.col("pct_postings") / market.agg(F.max("pct_postings")).scalar())
 
 
 def market_kpis(postings, market, skills="extracted_skills"):
@@ -108,10 +116,6 @@ class DemandProfile:
     def total(self):
         return sum(r["posting_count"] for r in self.rows)
 
-    @property
-    def largest_share(self):
-        return max((r["pct_postings"] for r in self.rows), default=0.0)
-
     def names(self):
         """Skills as an array, by rank."""
         names = [r["skill"] for r in self.rows]

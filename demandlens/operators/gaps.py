@@ -35,36 +35,59 @@ def skill_gaps(students, market, top=TOP_GAPS_STORED, profile=None):
         F.size(mine).alias("skill_count"))
 
 
+def _by_list(students, skills="skills"):
+    """``students`` with ``_list``, a digest of their different skills, and one row
+    (_list, mine) per digest. The long forms work on lists, not on ids: ids may repeat or
+    be null, and students with the same skills are answered once."""
+    mine = F.array_sort(own_skills(skills))
+    keyed = students.withColumn("_list", F.md5(F.to_json(F.struct(mine.alias("mine")))))
+    return keyed, keyed.select("_list", own_skills(skills).alias("mine")).dropDuplicates(["_list"])
+
+
+def _covered(lists, demand, *by):
+    """Summed posting count of each list's market skills."""
+    return (each(lists, "mine", "skill", "_list").join(demand, "skill")
+            .groupBy("_list", *by).agg(F.sum("posting_count").alias("_covered")))
+
+
+def with_covered(students, market, skills="skills"):
+    """``students`` plus ``_covered``, the summed posting count of their market skills."""
+    keyed, lists = _by_list(students, skills)
+    covered = _covered(lists, market.select("skill", "posting_count"))
+    return (keyed.join(covered, "_list", "left").drop("_list")
+            .withColumn("_covered", F.coalesce("_covered", F.lit(0))))
+
+
+def _share(covered, demand):
+    """``covered`` of all ``demand``, 0 where there is none."""
+    return F.coalesce(covered / F.nullif(demand, F.lit(0)), F.lit(0.0))
+
+
 def _skill_gaps_long(students, market, top):
-    own = each(students, own_skills(), "skill", "student_id")
+    keyed, lists = _by_list(students)
     ranked = market.select("skill", "posting_count", "demand_rank")
-    found = (own.join(ranked, "skill").groupBy("student_id").agg(
+    found = (each(lists, "mine", "skill", "_list").join(ranked, "skill").groupBy("_list").agg(
         F.sort_array(F.collect_list(F.struct("demand_rank", "skill"))).alias("hits"),
         F.sum("posting_count").alias("covered")))
     totals = market.agg(F.struct(F.sum("posting_count").alias("demand"),
                                  F.max("demand_rank").alias("skills"))).scalar()
-    base = (students.select("student_id", F.size(own_skills()).alias("skill_count"))
-            .join(found, "student_id", "left")
-            .withColumn("totals", totals)
+    base = (lists.join(found, "_list", "left").withColumn("totals", totals)
             .withColumn("ranks", F.coalesce(F.transform("hits", lambda h: h["demand_rank"]),
                                             F.array().cast("array<int>"))))
-    # The first ``top`` ranks a student lacks lie within the first
-    # ``top + matched`` ranks.
+    # The first ``top`` ranks a list lacks lie within the first ``top + matched`` ranks.
     lacking = F.slice(F.array_except(F.sequence(F.lit(1), F.size("ranks") + top), F.col("ranks")), 1, top)
     lacking = F.filter(lacking, lambda r: r <= F.col("totals")["skills"])
-    missing = (each(base, lacking, "demand_rank", "student_id")
+    missing = (each(base, lacking, "demand_rank", "_list")
                .join(ranked.select("demand_rank", "skill"), "demand_rank")
-               .groupBy("student_id").agg(F.transform(
+               .groupBy("_list").agg(F.transform(
                    F.sort_array(F.collect_list(F.struct("demand_rank", "skill"))),
                    lambda h: h["skill"]).alias("missing")))
-    demand = F.col("totals")["demand"]
-    return base.join(missing, "student_id", "left").select(
-        "student_id",
-        or_empty(F.transform("hits", lambda h: h["skill"])).alias("matched_skills"),
+    answers = base.join(missing, "_list", "left").select(
+        "_list", or_empty(F.transform("hits", lambda h: h["skill"])).alias("matched_skills"),
         or_empty("missing").alias("missing_skills_ranked"),
-        F.coalesce(F.round(F.coalesce("covered", F.lit(0)) / F.nullif(demand, F.lit(0)), 4),
-                   F.lit(0.0)).alias("market_alignment_score"),
-        "skill_count")
+        F.round(_share(F.coalesce("covered", F.lit(0)), F.col("totals")["demand"]), 4).alias("market_alignment_score"),
+        F.size("mine").alias("skill_count"))
+    return keyed.select("student_id", "_list").join(answers, "_list").drop("_list")
 
 
 def market_alignment(students, market, out="alignment", skills="skills", profile=None):
@@ -72,13 +95,9 @@ def market_alignment(students, market, out="alignment", skills="skills", profile
     profile = profile or DemandProfile.load(market)
     if profile is not None:
         return students.withColumn(out, profile.alignment(own_skills(skills)))
-    own = each(students, own_skills(skills), "skill", "student_id")
-    covered = (own.join(market.select("skill", "posting_count"), "skill")
-               .groupBy("student_id").agg(F.sum("posting_count").alias("_covered")))
     demand = market.agg(F.sum("posting_count")).scalar()
-    return (students.join(covered, "student_id", "left")
-            .withColumn(out, F.coalesce(F.coalesce("_covered", F.lit(0)) / F.nullif(demand, F.lit(0)),
-                                        F.lit(0.0))).drop("_covered"))
+    return (with_covered(students, market, skills)
+            .withColumn(out, _share(F.col("_covered"), demand)).drop("_covered"))
 
 
 def off_market_skills(skills, matched):
@@ -125,17 +144,15 @@ def category_coverage(students, market, taxonomy):
 
 def _category_coverage_long(students, market, taxonomy):
     demand = with_category(market.select("skill", "posting_count"), taxonomy)
-    own = each(students, own_skills(), "skill", "student_id")
-    covered = (own.join(demand, "skill").groupBy("student_id", "category")
-               .agg(F.sum("posting_count").alias("covered")))
+    keyed, lists = _by_list(students)
+    covered = _covered(lists, demand, "category")
     totals = demand.groupBy("category").agg(F.sum("posting_count").alias("total"))
     spine = _category_list(taxonomy).join(totals, "category", "left")
     listed = spine.agg(F.collect_list(F.struct("category", "category_pos", "total"))).scalar()
-    return (students.select("student_id", F.inline(listed))
-            .join(covered, ["student_id", "category"], "left")
-            .select("student_id", "category", "category_pos", F.coalesce(
-                F.coalesce("covered", F.lit(0)) / F.nullif(F.col("total"), F.lit(0)),
-                F.lit(0.0)).alias("coverage")))
+    answers = (lists.select("_list", F.inline(listed)).join(covered, ["_list", "category"], "left")
+               .select("_list", "category", "category_pos",
+                       _share(F.coalesce("_covered", F.lit(0)), F.col("total")).alias("coverage")))
+    return keyed.select("student_id", "_list").join(answers, "_list").drop("_list")
 
 
 def cohort_coverage(students, market, taxonomy):

@@ -116,7 +116,8 @@ def hash_sample(df, n, key, seed=42):
     The rows with the smallest hash of the unique ``key`` are taken. Only the
     hash at which row ``n`` falls is looked for, in two narrow passes, and the
     rows are then filtered where they lie: a top-n would bring ``n`` full rows
-    of every partition into one task.
+    of every partition into one task. A key that repeats at the cut is refused,
+    since its rows could only be taken together.
     """
     drawn = df.withColumn("_draw", draw_long(seed, F.col(key)))
     narrow = drawn.select("_draw", key, F.shiftright("_draw", 32).alias("_bucket"))
@@ -134,6 +135,9 @@ def hash_sample(df, n, key, seed=42):
     # One bucket holds about 1/65536 of the rows.
     last = (narrow.where(F.col("_bucket") == cut).orderBy("_draw", key).limit(n - taken)
             .agg(F.max(F.struct("_draw", key)).alias("last")).first()["last"])
+    at_cut = narrow.where((F.col("_draw") == last["_draw"]) & (F.col(key) == last[key])).limit(2).count()
+    if at_cut > 1:
+        raise ValueError(f"{key} is not unique; a sample needs a unique key")
     before = F.col("_draw") < last["_draw"]
     same = (F.col("_draw") == last["_draw"]) & (F.col(key) <= last[key])
     return drawn.where(before | same).drop("_draw")

@@ -8,7 +8,7 @@ from ..functions.lists import each, or_empty, ordered_union
 from ..functions.numbers import risk_tier
 from .cohort import INDICATORS, deltas_to_median
 from .demand import DemandProfile
-from .gaps import gap_detail, market_alignment, off_market_skills, own_skills
+from .gaps import gap_detail, market_alignment, off_market_skills, own_skills, with_covered
 from .ranking import exact_medians, strict_percentile
 
 
@@ -45,17 +45,18 @@ def simulate(cohort, scenarios, market, scorer):
                     .alias("alignment_gain")))
 
 
-def levers(cohort, gaps, market, scorer):
+def levers(cohort, gaps, market, scorer, inline=True):
     """One row per student and missing skill: gain in probability if only that
     skill is learned, ranked per student.
 
     The skill count here is the list length plus one, without removing repeats.
     A missing skill adds its own posting count to the covered demand, so no
-    skill list is built per scenario.
+    skill list is built per scenario. ``inline=False`` joins the market even where it is
+    small enough for the plan; the rows are the same.
     """
     long = (cohort.withColumnRenamed("probability", "old_probability")
             .join(gaps.select("student_id", "missing_skills_ranked"), "student_id"))
-    profile = DemandProfile.load(market)
+    profile = DemandProfile.load(market) if inline else None
     if profile is not None:
         own = long.withColumn("_covered", profile.covered(own_skills()))
         rows = (each(own, "missing_skills_ranked", "skill", "*")
@@ -63,12 +64,11 @@ def levers(cohort, gaps, market, scorer):
                             (F.col("_covered") + profile.count_of(F.col("skill")))
                             / F.lit(float(profile.total or 1))))
     else:
-        demand = market.agg(F.sum("posting_count")).scalar()
-        own = market_alignment(long, market, "_own")
-        rows = (each(own, "missing_skills_ranked", "skill", "*")
+        demand = F.coalesce(F.nullif(market.agg(F.sum("posting_count")).scalar(), F.lit(0)), F.lit(1))
+        rows = (each(with_covered(long, market), "missing_skills_ranked", "skill", "*")
                 .join(market.select("skill", "posting_count"), "skill", "left")
-                .withColumn("market_alignment_score", F.col("_own")
-                            + F.coalesce("posting_count", F.lit(0)) / demand))
+                .withColumn("market_alignment_score",
+                            (F.col("_covered") + F.coalesce("posting_count", F.lit(0))) / demand))
     scored = scorer(rows.withColumn("skill_count", F.size(or_empty("skills")) + 1))
     # A student has at most ten gaps, so a group is never large.
     order = W.partitionBy("student_id").orderBy(F.desc("gain"), "skill")

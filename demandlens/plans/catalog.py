@@ -6,6 +6,7 @@ rounded, so that results can be compared by value.
 
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from ..fixed_values import STUDENT_NUMERIC
@@ -19,17 +20,17 @@ from ..operators import ranking as R
 from ..operators import search as S
 from ..operators import validate as V
 from ..operators import whatif as H
-from ..session import scratch_path
+from ..session import durable, scratch_path
 from ..sinks.messages import postings_to_messages, send_to_folder
 from ..sinks.tables import PUBLISHED, export_csv, publish, write_table
-from ..sources.corpus import labelled_postings, labelled_students
 from ..sources.external import normalise_postings, normalise_students
 from ..sources.messages import decode, folder_stream
-from ..sources.tables import postings_from_csv, read_csv
+from ..sources.tables import postings_from_csv, read_csv, students_from_csv
 from ..streaming.extraction import process_postings, start_extraction
 from ..taxonomy import taxonomy_table
-from .star import (OrderWorld, customer_students, document_postings, document_taxonomy,
-                   frozen_scorer, order_postings, order_skills, part_taxonomy, spread, table)
+from .pipeline import run_pipeline
+from .star import (OrderWorld, all_texts, customer_students, document_postings, document_taxonomy,
+                   frozen_scorer, order_postings, order_texts, spread, table)
 
 
 def _six(df, *columns):
@@ -51,6 +52,12 @@ def skill_mentions(spark, sf_dir):
     return X.job_skills(_documents(spark, sf_dir))
 
 
+def mentions_by_join(spark, sf_dir):
+    """The same mentions, found by the join that serves larger vocabularies."""
+    found = X._extract_by_join(document_postings(spark, sf_dir), document_taxonomy(spark), "description")
+    return X.job_skills(found)
+
+
 def posting_skills(spark, sf_dir):
     return _text(_documents(spark, sf_dir).select(
         "posting_id", "extracted_skills", "skill_categories"),
@@ -71,7 +78,8 @@ def market_kpis(spark, sf_dir):
 
 
 def messages_json(spark, sf_dir):
-    return decode(postings_to_messages(document_postings(spark, sf_dir))).drop("true_skills")
+    postings = document_postings(spark, sf_dir).withColumn("true_skills", F.array("title", "company"))
+    return decode(postings_to_messages(postings))
 
 
 def process_messages(spark, sf_dir):
@@ -103,6 +111,10 @@ def top_skills(spark, sf_dir):
     return _six(D.top_skills(OrderWorld(spark, sf_dir).market), "pct_postings")
 
 
+def scaled_demand(spark, sf_dir):
+    return _six(D.scaled_demand(OrderWorld(spark, sf_dir).market), "pct_postings", "scaled")
+
+
 def demand_rollup(spark, sf_dir):
     world = OrderWorld(spark, sf_dir)
     tree = D.demand_tree(world.market, world.taxonomy)
@@ -129,18 +141,26 @@ def alignment(spark, sf_dir):
                 .select("student_id", "alignment"), "alignment")
 
 
+def skill_gaps_long(spark, sf_dir):
+    """The same gaps, by the joins that serve larger markets."""
+    world = OrderWorld(spark, sf_dir)
+    return _text(G._skill_gaps_long(world.stored_students, world.market, 10),
+                 "matched_skills", "missing_skills_ranked")
+
+
+def category_coverage_long(spark, sf_dir):
+    world = OrderWorld(spark, sf_dir)
+    return _six(G._category_coverage_long(world.stored_students, world.market, world.taxonomy),
+                "coverage").drop("category_pos")
+
+
 def off_market(spark, sf_dir):
-    """Against the demand of urgent orders with a small item count, so that some skills
-    are off the market."""
-    chosen = order_postings(spark, sf_dir).where(D.title_matches("urgent") & (
-        F.size("extracted_skills") == 1))
-    market = D.rank_demand(D.market_demand(chosen).where(F.col("posting_count") >= 4)
-                           .drop("demand_rank"))
-    students = customer_students(spark, sf_dir)
-    profile = D.DemandProfile.load(market)
-    matched = profile.matched(G.own_skills())
-    return _text(students.select("student_id", G.off_market_skills(
-        "skills", matched).alias("off_market_skills")), "off_market_skills")
+    """Against the whole market; part types are skills that no posting asks for."""
+    students = customer_students(spark, sf_dir, ("p_name", "p_type"))
+    gaps = OrderWorld(spark, sf_dir).gaps_of(students.select("student_id", "skills"))
+    both = students.select("student_id", "skills").join(gaps.select("student_id", "matched_skills"), "student_id")
+    return _text(both.select("student_id", G.off_market_skills(
+        "skills", F.col("matched_skills")).alias("off_market_skills")), "off_market_skills")
 
 
 def gap_detail(spark, sf_dir):
@@ -243,6 +263,12 @@ def levers(spark, sf_dir):
     return _six(H.levers(world.cohort, world.stored_gaps, world.market, frozen_scorer), "gain")
 
 
+def levers_long(spark, sf_dir):
+    """The same levers, by the joins that serve larger markets."""
+    world = OrderWorld(spark, sf_dir)
+    return _six(H.levers(world.cohort, world.stored_gaps, world.market, frozen_scorer, inline=False), "gain")
+
+
 def no_lever(spark, sf_dir):
     world = OrderWorld(spark, sf_dir)
     rows = H.levers(world.cohort, world.stored_gaps, world.market, frozen_scorer)
@@ -316,28 +342,17 @@ def quality_summary(spark, sf_dir):
                 "mean_recall")
 
 
-def _corpus(spark, sf_dir):
-    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    return labelled_postings(spread(ids))
-
-
-def labelled_corpus(spark, sf_dir):
-    return _text(_corpus(spark, sf_dir), "true_skills")
-
-
-def labelled_students_corpus(spark, sf_dir):
-    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    return _six(_text(labelled_students(spread(ids)), "skills"), "cgpa")
-
-
-def corpus_quality(spark, sf_dir):
-    """Extraction with the full taxonomy over a labelled posting per order."""
-    found = X.extract_skills(_corpus(spark, sf_dir), taxonomy_table(spark))
-    return _six(X.quality_summary(found), "mean_precision", "mean_recall")
+def text_quality(spark, sf_dir):
+    """Part names found in the text of each order, against the parts it has."""
+    world = OrderWorld(spark, sf_dir)
+    found = X.extract_skills(order_texts(spark, sf_dir), world.taxonomy)
+    return _six(X.extraction_quality(found).select(
+        "posting_id", "n_found", "n_true", "n_both", "precision", "recall"), "precision", "recall")
 
 
-def corpus_market(spark, sf_dir):
-    found = X.extract_skills(_corpus(spark, sf_dir), taxonomy_table(spark))
+def text_market(spark, sf_dir):
+    """Demand of the full taxonomy over documents, conversations and web pages."""
+    found = X.extract_skills(all_texts(spark, sf_dir), taxonomy_table(spark))
     return _six(D.with_category(D.market_demand(found), taxonomy_table(spark)), "pct_postings")
 
 
@@ -347,7 +362,7 @@ def external_postings(spark, sf_dir):
     raw = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("job_id"), F.col("source").alias("company_name"),
         F.col("lang").alias("title"), F.col("text").alias("description"))
-    return normalise_postings(raw, n=300).drop("true_skills")
+    return normalise_postings(raw).drop("true_skills")
 
 
 def external_students(spark, sf_dir):
@@ -369,10 +384,33 @@ def csv_round_trip(spark, sf_dir):
     """Documents exported as CSV and read again, line breaks and quotes included."""
     path = scratch_path(spark, "postings-csv")
     export_csv(document_postings(spark, sf_dir), path)
-    return postings_from_csv(spark, path).select(
+    return postings_from_csv(spark, path, multi_line=True).select(
         "posting_id", "title", "company", F.md5("description").alias("description_md5"))
 
 
+def students_csv(spark, sf_dir):
+    """Students exported as CSV and read again with their types."""
+    path = scratch_path(spark, "students-csv")
+    export_csv(customer_students(spark, sf_dir), path)
+    return _six(_text(students_from_csv(spark, path), "skills"), "cgpa")
+
+
+def stage_tables(spark, sf_dir):
+    """Rows of every table that the stages store."""
+    def ingest():
+        postings = document_postings(spark, sf_dir).select(
+            F.format_string("JP%04d", "posting_id").alias("posting_id"), "title", "company",
+            "description", F.lit(None).cast("array<string>").alias("true_skills"))
+        return postings, customer_students(spark, sf_dir)
+    base = scratch_path(spark, "stages")
+    outcome = run_pipeline(spark, base, document_taxonomy(spark), ingest, retrain=False)
+    if outcome.failed:
+        raise outcome.error
+    names = ("job_postings_skills", "market_skill_demand", "student_skill_gaps")
+    return reduce(lambda a, b: a.unionByName(b), [spark.read.parquet(f"{base}/{n}").agg(
+        F.lit(n).alias("stored"), F.count("*").alias("n_rows")) for n in names])
+
+
 def intervention_csv(spark, sf_dir):
     """The intervention list as the downloadable file."""
     world, path = OrderWorld(spark, sf_dir), scratch_path(spark, "intervention-csv")
@@ -479,7 +517,30 @@ def class_report(spark, sf_dir):
 
 
 def class_guard(spark, sf_dir):
-    return customer_students(spark, sf_dir).groupBy("placed").agg(F.count("*").alias("students"))
+    """Whether training accepts all students, those of one outcome, and a few."""
+    students = customer_students(spark, sf_dir).select("student_id", "placed")
+    cases = {"all": students, "one_outcome": students.where("placed = 1"),
+             "few": students.where("placed = 0").union(students.where("placed = 1").orderBy("student_id").limit(3))}
+    return spark.createDataFrame([(k, P.trainable(v)) for k, v in cases.items()], "case string, accepted boolean")
+
+
+def _scaled(spark, sf_dir):
+    rows = P.complete_rows(OrderWorld(spark, sf_dir).features)
+    training = durable(P.split(rows)).where(~F.col("is_test"))
+    n = training.count()
+    return training, n, Pipeline(stages=P.feature_stages(n)).fit(training)
+
+
+def scaler_stats(spark, sf_dir):
+    _, _, scaling = _scaled(spark, sf_dir)
+    return _six(P.scaler_table(spark, scaling), "mean", "deviation")
+
+
+def logistic_optimum(spark, sf_dir):
+    """The gradient at the fitted weights over all training rows; 0 at the optimum."""
+    training, n, scaling = _scaled(spark, sf_dir)
+    found = P.logistic_gradient(training, scaling, P.candidates(n)["logistic_regression"])
+    return found.withColumn("gradient", F.round("gradient", 3) + F.lit(0.0))
 
 
 def placement_rate(spark, sf_dir):
@@ -499,16 +560,16 @@ def train_best(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    skill_mentions, posting_skills, market_demand, demand_by_role, market_kpis, messages_json,
+    skill_mentions, mentions_by_join, posting_skills, market_demand, demand_by_role, market_kpis, messages_json,
     process_messages, stream_extract, split_text_cells, market_demand_ranked, top_skills,
-    demand_rollup, demand_with_category, skill_gaps, alignment, off_market, gap_detail,
+    scaled_demand, demand_rollup, demand_with_category, skill_gaps, skill_gaps_long, category_coverage_long, alignment, off_market, gap_detail,
     category_coverage, cohort_coverage, feature_frame, score_cohort, alignment_scatter,
     unscored_cohort, tier_counts, cohort_kpis, prob_histogram, percentile, price_percentile,
-    cohort_medians, student_deltas, common_gaps, intervention_list, scenarios, levers, no_lever,
+    cohort_medians, student_deltas, common_gaps, intervention_list, scenarios, levers, levers_long, no_lever,
     student_view, search_documents, search_index, stored_index_lookup, index_report,
     search_postings, postings_with_skill,
-    gap_postings, extraction_quality, quality_summary, labelled_corpus, labelled_students_corpus,
-    corpus_quality, corpus_market, external_postings, external_students, csv_round_trip,
+    gap_postings, extraction_quality, quality_summary, text_quality,
+    text_market, external_postings, external_students, csv_round_trip, students_csv, stage_tables,
     intervention_csv, published_tables, student_lookup, validation_report,
     numeric_coercion, dup_ids, seq_ids, prepared_postings, random_sample, auc_exact, accuracy,
-    class_report, class_guard, placement_rate, train_split, train_best)}
+    class_report, class_guard, scaler_stats, logistic_optimum, placement_rate, train_split, train_best)}

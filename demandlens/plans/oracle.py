@@ -1,10 +1,8 @@
 """The same results in plain SQL over the given tables, for checking."""
 
-from ..fixed_values import (CASE_SENSITIVE_SKILLS, DEGREE_SKILLS, SKILL_TAXONOMY,
+from ..fixed_values import (CASE_SENSITIVE_SKILLS, DEGREE_SKILLS, FEATURES, SKILL_TAXONOMY,
                             SPECIALISATION_SKILLS)
 from ..operators.cohort import INDICATORS
-from ..sources.corpus import COMPANIES, TEMPLATES, TITLES
-from ..taxonomy import flat_skills
 from .star import DOCUMENT_EXACT, DOCUMENT_TAXONOMY, HIGH_PRICE, INTERCEPT, URGENT, WEIGHTS
 
 # RE2 spelling of the token pattern (no possessive quantifiers).
@@ -39,39 +37,27 @@ def _draw(*parts):
     return f"('0x' || substr({_md5(*parts)}, 1, 12))::BIGINT"
 
 
-def _unit(*parts):
-    return f"({_draw(*parts)} / 281474976710656.0)"
-
-
-def _int(low, high, *parts):
-    return f"({low} + floor({_unit(*parts)} * {high - low + 1}))::INT"
-
-
-def _pick(values, *parts):
-    return f"{_list(values)}[{_int(0, len(values) - 1, *parts)} + 1]"
-
+# --- extraction ---------------------------------------------------------------
 
-def _subset(values, size, *parts):
-    return (f"list_transform(list_sort(list_transform({_list(values)}, lambda s: "
-            f"{{'h': {_md5(*parts, 's')}, 's': s}}))[1:{size}], lambda x: x.s)")
+def _vocabulary(taxonomy, exact):
+    """The CTE ``vocab`` of a taxonomy, and its longest phrase in tokens."""
+    rows = ", ".join(f"({_quote(c)}, {_quote(s)}, {str(s in exact).lower()})"
+                     for c, skills in taxonomy.items() for s in skills)
+    longest = max(len(s.replace("/", " / ").replace("-", " - ").split())
+                  for skills in taxonomy.values() for s in skills)
+    return (f"vocab AS (SELECT *, list_aggregate(regexp_extract_all(skill, {_quote(_TOKEN)}), "
+            f"'string_agg', ' ') AS phrase FROM (VALUES {rows}) v(category, skill, is_exact))", longest)
 
 
-# --- extraction ---------------------------------------------------------------
-
-def _extraction(source, taxonomy, exact):
+def _extraction(source, vocab, longest):
     """CTEs up to ``mentions(posting_id, skill, category, first_pos)``.
 
     A match is dropped if a longer match overlaps it. That equals longest-first
-    selection when matches only nest, as they do in both vocabularies used.
+    selection when matches only nest, as they do in the vocabularies used.
     """
-    rows = ", ".join(f"({_quote(c)}, {_quote(s)}, {str(s in exact).lower()})"
-                     for c, skills in taxonomy.items() for s in skills)
-    longest = max(len(s.replace("/", " / ").replace("-", " - ").split())
-                  for skills in taxonomy.values() for s in skills)
     return (
         source,
-        f"vocab AS (SELECT *, list_aggregate(regexp_extract_all(skill, {_quote(_TOKEN)}), "
-        f"'string_agg', ' ') AS phrase FROM (VALUES {rows}) v(category, skill, is_exact))",
+        vocab,
         f"toks AS (SELECT posting_id, regexp_extract_all(description, {_quote(_TOKEN)}) AS t FROM src)",
         "words AS (SELECT posting_id, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS p FROM toks)",
         "pos AS (SELECT posting_id, p, w AS w0" + "".join(
@@ -99,26 +85,9 @@ def _demand(long, total):
 
 _DOC_SRC = ("src AS (SELECT doc_id AS posting_id, lang AS title, source AS company, "
             "text AS description FROM documents)")
-_DOC = _extraction(_DOC_SRC, DOCUMENT_TAXONOMY, DOCUMENT_EXACT)
+_DOC = _extraction(_DOC_SRC, *_vocabulary(DOCUMENT_TAXONOMY, DOCUMENT_EXACT))
 _DEMAND_COLS = "skill, posting_count, round(pct, 6) AS pct_postings, demand_rank"
 
-_fill = "t"
-for _name, _value in (("company", "company"), ("title", "title"), ("soft", "soft"),
-                      ("core", "array_to_string(s[1:4], ', ')"),
-                      ("extra", "array_to_string(s[5:6], ', ')")):
-    _fill = f"replace({_fill}, '{{{_name}}}', {_value})"
-_ID = "id::VARCHAR"
-_CORPUS = (
-    f"drawn AS (SELECT id, {_pick(TITLES, _quote('42'), _quote('title'), _ID)} AS title, "
-    f"{_pick(COMPANIES, _quote('42'), _quote('company'), _ID)} AS company, "
-    f"{_subset(flat_skills(), 6, _quote('42'), _quote('skills'), _ID)} AS s, "
-    f"{_pick(SKILL_TAXONOMY['Soft Skills'], _quote('42'), _quote('soft'), _ID)} AS soft, "
-    f"{_pick(TEMPLATES, _quote('42'), _quote('template'), _ID)} AS t "
-    f"FROM (SELECT o_orderkey AS id FROM orders))",
-    f"src AS (SELECT printf('JP%04d', id) AS posting_id, title, company, {_fill} AS description, "
-    f"list_append(s, soft) AS truth FROM drawn)")
-_CORPUS_FOUND = _extraction(", ".join(_CORPUS), SKILL_TAXONOMY, CASE_SENSITIVE_SKILLS)
-
 # --- orders and customers -----------------------------------------------------
 
 _ORDER_SKILLS = ("order_skills AS (SELECT DISTINCT l_orderkey, p_name AS skill FROM lineitem "
@@ -195,6 +164,10 @@ _SHOWN = ("SELECT student_id, round(market_alignment_score, 6) + 0.0 AS market_a
           "round(p, 6) + 0.0 AS probability, tier, skill_count FROM cohort")
 _PERCENTILE = ("round((rank() OVER (ORDER BY {0}) - 1) / count(*) OVER ()::DOUBLE, 6) + 0.0")
 
+_TRAINING = (*_COHORT, f"o AS (SELECT *, row_number() OVER (PARTITION BY placed ORDER BY "
+             f"{_draw(_quote('42'), 'student_id')}, student_id) AS rn, count(*) OVER (PARTITION BY placed) AS n "
+             f"FROM cohort)", "training AS (SELECT * FROM o WHERE rn - 1 >= round(n * 0.25))")
+
 ORACLE = {
     "skill_mentions": _with(*_DOC) + "SELECT posting_id, skill, category, first_pos FROM mentions",
     "posting_skills": _with(*_DOC) +
@@ -213,7 +186,7 @@ ORACLE = {
     "round(max(pct), 6) AS top_share, round(sum(posting_count) / postings::DOUBLE, 6) AS mean_skills "
     "FROM d CROSS JOIN n GROUP BY postings",
     "messages_json": "SELECT doc_id::VARCHAR AS posting_id, lang AS title, source AS company, "
-    "text AS description FROM documents",
+    "text AS description, lang || ';' || source AS true_skills FROM documents",
     "process_messages": _with(*_DOC) +
     "SELECT posting_id::VARCHAR AS posting_id, title, company, coalesce(extracted_skills, '') AS "
     "extracted_skills, coalesce(skill_categories, '') AS skill_categories FROM src "
@@ -234,11 +207,9 @@ ORACLE = {
     "market_alignment_score, skill_count FROM gaps",
     "alignment": _with(*_WORLD) + "SELECT student_id, round(alignment, 6) AS alignment FROM gaps",
     "off_market": _with(
-        *_ORDER_DOCS, *_STUDENTS,
-        "wanted AS (SELECT skills[1] AS skill FROM docs WHERE contains(lower(title), 'urgent') "
-        "AND len(skills) = 1 GROUP BY ALL HAVING count(*) >= 4)",
-        "off AS (SELECT student_id, string_agg(skill, ';' ORDER BY skill) AS o FROM own "
-        "ANTI JOIN wanted USING (skill) GROUP BY ALL)") +
+        *_STUDENTS, "types AS (SELECT DISTINCT printf('S%04d', o_custkey) AS student_id, p_type FROM lineitem "
+        "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R')",
+        "off AS (SELECT student_id, string_agg(p_type, ';' ORDER BY p_type) AS o FROM types GROUP BY ALL)") +
     "SELECT student_id, coalesce(o, '') AS off_market_skills FROM students LEFT JOIN off USING (student_id)",
     "gap_detail": _with(*_WORLD, _TAXONOMY) +
     "SELECT student_id, gap_rank, skill, category, round(pct, 6) AS demand, posting_count "
@@ -361,33 +332,27 @@ ORACLE = {
         "AS n_found, len(skills) AS n_true FROM docs)") +
     "SELECT round(avg(CASE WHEN n_found > 0 THEN 1.0 ELSE 0.0 END::DOUBLE), 6) AS mean_precision, "
     "round(avg(n_found / n_true::DOUBLE), 6) AS mean_recall, count(*) AS n_rows FROM q WHERE n_true > 0",
-    "labelled_corpus": _with(*_CORPUS) + "SELECT posting_id, title, company, description, "
-    "array_to_string(truth, ';') AS true_skills FROM src",
-    "labelled_students_corpus": _with(
-        f"d AS (SELECT c_custkey AS id, round({_unit(_quote('42'), _quote('cgpa'), _ID)} * 4.3::DOUBLE + 5.5::DOUBLE, 2) "
-        f"AS cgpa, {_int(0, 6, _quote('42'), _quote('projects'), _ID)} AS projects_count, "
-        f"{_int(0, 4, _quote('42'), _quote('certifications'), _ID)} AS certifications_count, "
-        f"{_int(0, 3, _quote('42'), _quote('internships'), _ID)} AS internships_count, "
-        f"{_subset(flat_skills(), 9, _quote('42'), _quote('student'), _ID)} AS s, "
-        f"{_int(3, 9, _quote('42'), _quote('n'), _ID)} AS n, "
-        f"sqrt(ln(1.0::DOUBLE - {_unit(_quote('42'), _quote('noise'), _ID, _quote('u'))}) * -2.0::DOUBLE) * "
-        f"cos({_unit(_quote('42'), _quote('noise'), _ID, _quote('v'))} * (2.0::DOUBLE * pi())) AS g FROM customer)") +
-    "SELECT printf('S%04d', id) AS student_id, cgpa, projects_count, certifications_count, "
-    "internships_count, array_to_string(s[1:n], ';') AS skills, CASE WHEN cgpa * 0.15::DOUBLE + "
-    "projects_count * 0.3::DOUBLE + certifications_count * 0.3::DOUBLE + internships_count * 0.4::DOUBLE "
-    "+ n * 0.2::DOUBLE + g * 1.5::DOUBLE > 4.5 THEN 1 ELSE 0 END AS placed FROM d",
-    "corpus_quality": _with(
-        *_CORPUS_FOUND,
+    "text_quality": _with(
+        *_extraction(
+            "src AS (SELECT printf('JP%04d', l_orderkey) AS posting_id, array_to_string(list_sort(list_distinct(list("
+            "p_name || ' ' || p_type || ' ' || split_part(p_name, ' ', -1)))), ', ') AS description, "
+            "list_distinct(list(p_name)) AS truth FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)",
+            "vocab AS (SELECT DISTINCT split_part(p_name, ' ', -1) AS category, p_name AS skill, false AS is_exact, "
+            "p_name AS phrase FROM part)", 2),
         "found AS (SELECT posting_id, list(skill) AS f FROM mentions GROUP BY ALL)",
-        "q AS (SELECT len(coalesce(f, [])) AS nf, len(list_distinct(truth)) AS nt, "
-        "len(list_intersect(coalesce(f, []), truth)) AS nb FROM src LEFT JOIN found USING (posting_id))") +
-    "SELECT round(avg(CASE WHEN nf > 0 THEN nb / nf::DOUBLE ELSE 0 END), 6) AS mean_precision, "
-    "round(avg(nb / nt::DOUBLE), 6) AS mean_recall, count(*) AS n_rows FROM q",
-    "corpus_market": _with(
-        *_CORPUS_FOUND, f"d AS ({_demand('mentions', 'SELECT count(*) FROM orders')})") +
+        "q AS (SELECT posting_id, len(coalesce(f, []))::INT AS n_found, len(truth)::INT AS n_true, "
+        "len(list_intersect(coalesce(f, []), truth))::INT AS n_both FROM src LEFT JOIN found USING (posting_id))") +
+    "SELECT *, CASE WHEN n_found > 0 THEN round(n_both / n_found::DOUBLE, 6) ELSE 0.0::DOUBLE END AS precision, "
+    "CASE WHEN n_true > 0 THEN round(n_both / n_true::DOUBLE, 6) ELSE 0.0::DOUBLE END AS recall FROM q",
+    "text_market": _with(
+        *_extraction(
+            "src AS (SELECT 'D' || doc_id AS posting_id, text AS description FROM documents UNION ALL "
+            "SELECT 'C' || conv_id || '-' || turn, text FROM conversations UNION ALL "
+            "SELECT 'P' || page_id, html FROM pages)", *_vocabulary(SKILL_TAXONOMY, CASE_SENSITIVE_SKILLS)),
+        f"d AS ({_demand('mentions', 'SELECT count(*) FROM src')})") +
     f"SELECT {_DEMAND_COLS}, category FROM d JOIN (SELECT skill, category FROM vocab) USING (skill)",
     "external_postings": "SELECT 'JP' || doc_id AS posting_id, lang AS title, source AS company, "
-    f"text AS description FROM documents ORDER BY {_draw(_quote('42'), 'doc_id::VARCHAR')}, doc_id LIMIT 300",
+    "text AS description FROM documents",
     "external_students": _with(
         f"dl AS (SELECT unnest(map_keys(m)) AS k, unnest(map_values(m)) AS v FROM (SELECT MAP "
         f"{{{', '.join(f'{_quote(k)}: {_list(v)}' for k, v in DEGREE_SKILLS.items())}}} AS m))",
@@ -436,7 +401,13 @@ ORACLE = {
     "SELECT class, round(coalesce(hit / nullif(chosen, 0)::DOUBLE, 0), 6) AS precision, "
     "round(coalesce(hit / nullif(support, 0)::DOUBLE, 0), 6) AS recall, "
     "round(coalesce(2.0 * hit / nullif(chosen + support, 0)::DOUBLE, 0), 6) AS f1, support FROM s",
-    "class_guard": _with(*_STUDENTS) + "SELECT placed, count(*) AS students FROM students GROUP BY placed",
+    "class_guard": _with(*_STUDENTS, "n AS (SELECT placed, count(*) AS n FROM students GROUP BY placed)") +
+    "SELECT 'all' AS case, count(*) >= 2 AND min(n) >= 4 AS accepted FROM n UNION ALL "
+    "SELECT 'one_outcome', false UNION ALL SELECT 'few', false",
+    "scaler_stats": _with(*_TRAINING) + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg({c}), 6) + 0.0 AS mean, round(stddev_pop({c}), 6) + 0.0 AS deviation "
+        f"FROM training" for c in FEATURES),
+    "logistic_optimum": "SELECT unnest(" + _list(FEATURES) + ") AS feature, 0.0::DOUBLE AS gradient",
     "placement_rate": _with(*_STUDENTS) + "SELECT round(avg(placed), 6) AS placement_rate FROM students",
     "train_split": _with(
         *_STUDENTS, f"o AS (SELECT student_id, placed, row_number() OVER (PARTITION BY placed ORDER BY "
@@ -445,3 +416,17 @@ ORACLE = {
     "SELECT student_id, placed, rn - 1 < round(n * 0.25) AS is_test FROM o",
 }
 ORACLE["stream_extract"] = ORACLE["process_messages"]
+ORACLE["mentions_by_join"] = ORACLE["skill_mentions"]
+ORACLE["skill_gaps_long"] = ORACLE["skill_gaps"]
+ORACLE["category_coverage_long"] = ORACLE["category_coverage"]
+ORACLE["levers_long"] = ORACLE["levers"]
+ORACLE["scaled_demand"] = _with(*_MARKET) + (
+    f"SELECT {_DEMAND_COLS}, round(pct / max(pct) OVER (), 6) AS scaled FROM market")
+ORACLE["students_csv"] = _with(*_STUDENTS, "s AS (SELECT student_id, string_agg(skill, ';' ORDER BY skill) AS skills "
+                               "FROM own GROUP BY ALL)") + (
+    "SELECT student_id, round(cgpa, 6) + 0.0 AS cgpa, projects_count, certifications_count, internships_count, "
+    "coalesce(skills, '') AS skills, placed FROM students LEFT JOIN s USING (student_id)")
+ORACLE["stage_tables"] = _with(*_DOC) + (
+    "SELECT 'job_postings_skills' AS stored, count(*) AS n_rows FROM documents UNION ALL "
+    "SELECT 'market_skill_demand', count(DISTINCT skill) FROM mentions UNION ALL "
+    "SELECT 'student_skill_gaps', count(*) FROM customer")

@@ -17,6 +17,7 @@ from ..operators.cohort import feature_frame, score_cohort
 from ..operators.demand import DemandProfile, count_skills
 from ..operators.gaps import skill_gaps
 from ..operators.placement import linear_scorer
+from ..operators.ranking import running_total
 from ..session import durable
 from ..taxonomy import taxonomy_table
 
@@ -72,8 +73,10 @@ def order_skills(spark, sf_dir):
 
 def order_postings(spark, sf_dir):
     """One row per order; orders without items keep an empty list."""
-    lists = order_skills(spark, sf_dir).groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list("skill")).alias("extracted_skills"))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    lists = (items.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey")
+             .agg(F.sort_array(F.collect_set("p_name")).alias("extracted_skills")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     return (orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.format_string("JP%04d", "o_orderkey").alias("posting_id"),
@@ -81,6 +84,28 @@ def order_postings(spark, sf_dir):
         F.coalesce("extracted_skills", F.array().cast("array<string>")).alias("extracted_skills")))
 
 
+def order_texts(spark, sf_dir):
+    """A posting per order whose text names its parts, each followed by its type and kind
+    again, so that some texts hold phrases of parts they do not have; ``true_skills`` are
+    the names of the parts."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.concat_ws(
+        " ", "p_name", "p_type", F.element_at(F.split("p_name", " "), -1)).alias("phrase"))
+    return (items.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey").agg(
+        F.array_join(F.sort_array(F.collect_set("phrase")), ", ").alias("description"),
+        F.sort_array(F.collect_set("p_name")).alias("true_skills"))
+        .select(F.format_string("JP%04d", "l_orderkey").alias("posting_id"), "description", "true_skills"))
+
+
+def all_texts(spark, sf_dir):
+    """Documents, conversation turns and web pages as postings."""
+    def part(name, mark, text, *keys):
+        return table(spark, sf_dir, name).select(
+            F.concat(F.lit(mark), F.concat_ws("-", *keys)).alias("posting_id"), F.col(text).alias("description"))
+    return spread(part("documents", "D", "text", "doc_id").union(part("conversations", "C", "text", "conv_id", "turn"))
+                  .union(part("pages", "P", "html", "page_id")))
+
+
 def order_market(spark, sf_dir):
     """Demand by part name; orders without items count as postings."""
     n = table(spark, sf_dir, "orders").agg(F.count("*").alias("n"))
@@ -92,14 +117,15 @@ def part_taxonomy(spark, sf_dir):
     ranked."""
     names = (table(spark, sf_dir, "part").select(F.col("p_name").alias("skill")).distinct()
              .withColumn("category", F.element_at(F.split("skill", " "), -1)))
-    return names.select(
-        "category", "skill", F.lit(False).alias("case_sensitive"),
-        (F.dense_rank().over(W.orderBy("category")) - 1).alias("category_pos"),
+    places = running_total(names.select("category").distinct().withColumn("_one", F.lit(1)),
+                           ["category"], "_one", "category_pos")
+    return names.join(places, "category").select(
+        "category", "skill", F.lit(False).alias("case_sensitive"), F.col("category_pos").cast("int"),
         (F.row_number().over(W.partitionBy("category").orderBy("skill")) - 1).alias("skill_pos"))
 
 
-def customer_students(spark, sf_dir):
-    """One student per customer."""
+def customer_students(spark, sf_dir, skill_columns=("p_name",)):
+    """One student per customer; the skills are the values of some part columns."""
     orders = table(spark, sf_dir, "orders")
     counts = orders.groupBy("o_custkey").agg(
         F.count("*").cast("int").alias("projects_count"),
@@ -109,11 +135,11 @@ def customer_students(spark, sf_dir):
                      & (F.col("o_totalprice") > HIGH_PRICE), 1).otherwise(0)).alias("placed"))
     returned = (table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
                 .select("l_orderkey", "l_partkey"))
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.explode(F.array(*skill_columns)).alias("skill"))
     owners = orders.select("o_orderkey", F.col("o_custkey").alias("s_custkey"))
     skills = (returned.join(parts, F.col("l_partkey") == F.col("p_partkey"))
               .join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-              .groupBy("s_custkey").agg(F.sort_array(F.collect_set("p_name")).alias("skills")))
+              .groupBy("s_custkey").agg(F.sort_array(F.collect_set("skill")).alias("skills")))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     zero = F.lit(0)
     return (customers.join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")

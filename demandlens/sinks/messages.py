@@ -3,10 +3,14 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import with_text_lists
+
 
 def postings_to_messages(df, key="posting_id"):
-    """``key`` and ``value``: one JSON object per row, nulls written out, NaN
-    written as null."""
+    """``key`` and ``value``: one JSON object per row, nulls written out, NaN written as
+    null, lists as ``;`` text."""
+    df = with_text_lists(df)
+
     def clean(field):
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             return F.when(~F.isnan(field.name), F.col(field.name)).alias(field.name)

@@ -1,11 +1,13 @@
-"""Stored tables, exports and the model metrics."""
+"""Stored tables, exports, the model and its metrics."""
+
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.lists import join_skills
-from ..session import durable
+from ..operators.placement import load_model, save_model
+from ..sources.tables import table_exists
 
 
 def write_table(df, path):
@@ -14,7 +16,42 @@ def write_table(df, path):
 
 def replace_table(df, path):
     """Overwrite a table that ``df`` itself may be read from."""
-    write_table(durable(df), path)
+    replace_tables(df.sparkSession, {path: df})
+
+
+def replace_tables(spark, tables):
+    """Replace several tables, path -> rows, together.
+
+    All new tables are written beside the old ones first, so a failure while computing or
+    writing leaves every old table as it was. Then each old table is set aside and the new
+    one takes its name; if that fails midway, the old ones are put back.
+    """
+    mark = uuid.uuid4().hex
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = {path: jvm.org.apache.hadoop.fs.Path(path.rstrip("/")) for path in tables}
+    for path, df in tables.items():
+        write_table(df, f"{at[path]}.{mark}.new")
+
+    def move(path, source, target):
+        here = at[path].getFileSystem(conf)
+        source, target = (jvm.org.apache.hadoop.fs.Path(f"{at[path]}{x}") for x in (source, target))
+        if here.exists(source) and not here.rename(source, target):
+            raise OSError(f"cannot rename {source}")
+
+    moved = []
+    try:
+        for path in tables:
+            move(path, "", f".{mark}.old")
+            moved.append(path)
+            move(path, f".{mark}.new", "")
+    except Exception:
+        for path in moved:
+            if at[path].getFileSystem(conf).exists(jvm.org.apache.hadoop.fs.Path(f"{at[path]}.{mark}.old")):
+                at[path].getFileSystem(conf).delete(at[path], True)
+                move(path, f".{mark}.old", "")
+        raise
+    for path in tables:
+        at[path].getFileSystem(conf).delete(jvm.org.apache.hadoop.fs.Path(f"{at[path]}.{mark}.old"), True)
 
 
 def with_text_lists(df):
@@ -43,16 +80,20 @@ def publish(spark, base, prefix, target, tables):
     prefix = prefix.strip("/")
     written = []
     for table, fmt in tables.items():
-        try:
-            df = spark.read.format(fmt).load(f"{base}/{table}")
-        except AnalysisException:
-            continue
         key = f"{prefix}/{table}" if prefix else table
-        df.write.mode("overwrite").format(fmt).save(f"{target}/{key}")
+        if fmt == "model":
+            model = load_model(spark, f"{base}/{table}")
+            if model is None:
+                continue
+            save_model(model, f"{target}/{key}")
+        elif table_exists(spark, f"{base}/{table}", fmt):
+            spark.read.format(fmt).load(f"{base}/{table}").write.mode("overwrite").format(fmt).save(f"{target}/{key}")
+        else:
+            continue
         written.append(key)
     return written
 
 
 PUBLISHED = {"job_postings_skills": "parquet", "market_skill_demand": "parquet",
              "student_skill_gaps": "parquet", "placement_scores": "parquet",
-             "model_metrics": "json"}
+             "placement_model": "model",             "model_metrics": "json"}

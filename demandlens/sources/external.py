@@ -8,10 +8,8 @@ from ..operators.ranking import hash_sample
 from .tables import table_exists
 
 
-def normalise_postings(raw, n=1500, seed=42):
-    """Four columns, no null description, at most ``n`` rows, unlabelled.
-
-    ``n=None`` keeps every posting."""
+def normalise_postings(raw, n=None, seed=42):
+    """Four columns, no null description, unlabelled; all postings, or a sample of ``n``."""
     kept = raw.select("job_id", "company_name", "title", "description").where(
         F.col("description").isNotNull())
     if n is not None:

@@ -10,11 +10,12 @@ def decode(raw, value="value"):
     return raw.select(F.from_json(F.col(value).cast("string"), MESSAGE).alias("m")).select("m.*")
 
 
-def topic_stream(spark, servers, topic, **options):
-    """Kafka topic from its earliest message. Needs the Kafka connector on the
-    class path; progress is kept by the query's checkpoint."""
+def topic_stream(spark, servers, topic, messages_per_trigger=1_000_000, **options):
+    """Kafka topic from its earliest message, in batches of bounded size. Needs the Kafka
+    connector on the class path; progress is kept by the query's checkpoint."""
     reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-              .option("subscribe", topic).option("startingOffsets", "earliest"))
+              .option("subscribe", topic).option("startingOffsets", "earliest")
+              .option("maxOffsetsPerTrigger", messages_per_trigger))
     return decode(reader.options(**options).load())
 
 

@@ -11,10 +11,14 @@ from ..schemas import POSTINGS, STUDENTS
 
 
 def table_exists(spark, path, fmt="parquet"):
+    """Whether there is anything at the path. A table that is there but cannot be read is
+    an error, not an absent one."""
     try:
         spark.read.format(fmt).load(path)
         return True
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
@@ -33,11 +37,11 @@ def read_table(spark, path, schema=None, columns=None):
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark, path, columns=None, multi_line=True):
+def read_csv(spark, path, columns=None, multi_line=False):
     """Text columns of a CSV file with a header; missing-value texts are null.
 
-    Quoted line breaks need ``multi_line``, which reads a file in one piece. For
-    large files without them turn it off, so that one file feeds many tasks.
+    Quoted line breaks need ``multi_line``, which reads a file in one piece; without it
+    one file feeds many tasks.
     """
     raw = (spark.read.option("header", True).option("multiLine", multi_line)
            .option("quote", '"').option("escape", '"').csv(path))
@@ -60,11 +64,11 @@ def typed_columns(df, schema, lists):
     return df.select(*[column(f) for f in schema])
 
 
-def postings_from_csv(spark, path, multi_line=True):
+def postings_from_csv(spark, path, multi_line=False):
     return typed_columns(read_csv(spark, path, multi_line=multi_line), POSTINGS, split_skills)
 
 
-def students_from_csv(spark, path, multi_line=True):
+def students_from_csv(spark, path, multi_line=False):
     """Ids stay text. Skill lists keep every non-blank element."""
     return typed_columns(read_csv(spark, path, multi_line=multi_line), STUDENTS,
                   lambda v: split_cells(v, trim=True))

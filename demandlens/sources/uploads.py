@@ -4,7 +4,7 @@ from ..fixed_values import POSTING_REQUIRED, STUDENT_REQUIRED
 from ..functions.lists import split_cells, split_skills
 from ..operators.validate import missing_tables, validate_and_prepare
 from ..schemas import POSTINGS, STUDENTS
-from ..sinks.tables import replace_table
+from ..sinks.tables import replace_tables
 from .tables import read_csv, table_exists, typed_columns
 
 
@@ -30,7 +30,5 @@ def accept_uploads(spark, stored, postings_csv=None, students_csv=None):
     if not errors:
         errors = missing_tables(prepared, {k: table_exists(spark, p) for k, p in stored.items()})
     if not errors:
-        for label, df in prepared.items():
-            if df is not None:
-                replace_table(df, stored[label])
+        replace_tables(spark, {stored[k]: df for k, df in prepared.items() if df is not None})
     return errors

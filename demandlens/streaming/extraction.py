@@ -1,12 +1,10 @@
 """Skills of postings as they arrive."""
 
-from pyspark.sql import functions as F
+import time
 
-from ..functions.lists import join_skills
-from ..operators.extract import extract_skills
-
-FIELDS = ("posting_id", "title", "company", "description", "extracted_skills",
-          "skill_categories")
+from ..fixed_values import PROCESSED_FIELDS
+from ..operators.extract import extract_skills, small_phrases
+from ..sinks.tables import with_text_lists
 
 
 def process_postings(postings, taxonomy):
@@ -15,31 +13,37 @@ def process_postings(postings, taxonomy):
     The batch extractor works inside the row, so the same plan runs on a batch
     and on a stream.
     """
-    found = extract_skills(postings, taxonomy)
-    return found.select("posting_id", "title", "company", "description",
-                        join_skills(F.col("extracted_skills")).alias("extracted_skills"),
-                        join_skills(F.col("skill_categories")).alias("skill_categories"))
+    return with_text_lists(extract_skills(postings, taxonomy).select(*PROCESSED_FIELDS))
 
 
 def start_extraction(postings, taxonomy, path, checkpoint, available_now=True, every="10 seconds"):
     """Append the results to a Parquet table.
 
-    The file sink and the checkpoint commit each batch once, so a restart
-    neither loses nor repeats a message.
+    The file sink and the checkpoint commit each batch once, so a restart neither loses nor
+    repeats a message. A vocabulary too large for the plan is joined batch by batch; each
+    batch then replaces a folder of its own number below ``path``.
     """
-    writer = (process_postings(postings, taxonomy).writeStream.format("parquet")
-              .outputMode("append").option("path", path).option("checkpointLocation", checkpoint))
+    if small_phrases(taxonomy) is None:
+        def extract(batch, number):
+            process_postings(batch, taxonomy).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        writer = postings.writeStream.foreachBatch(extract)
+    else:
+        writer = (process_postings(postings, taxonomy).writeStream.format("parquet")
+                  .outputMode("append").option("path", path))
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
-    return writer.trigger(**trigger).start()
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def run_until_idle(query, idle_seconds=60):
-    """Wait until no message has come for ``idle_seconds``, then stop."""
-    import time
-    seen, since = None, time.monotonic()
+    """Wait until no message has come for ``idle_seconds``, then stop.
+
+    Only time without data at hand counts: a batch that runs longer than the idle time is
+    not cut off. Looking for new data does not count as work.
+    """
+    since = time.monotonic()
     while query.isActive and time.monotonic() - since < idle_seconds:
-        progress = query.lastProgress
-        if progress and progress["numInputRows"] > 0 and progress["batchId"] != seen:
-            seen, since = progress["batchId"], time.monotonic()
-        query.awaitTermination(min(1, idle_seconds))
+        status = query.status
+        if status["isDataAvailable"] or status["message"].startswith("Initializing"):
+            since = time.monotonic()
+        query.awaitTermination(min(0.2, idle_seconds / 5))
     query.stop()

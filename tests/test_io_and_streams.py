@@ -4,13 +4,30 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandlens.functions.lists import ordered_union, split_cells, split_skills
-from demandlens.operators.extract import extract_skills, quality_summary
+from demandlens.fixed_values import PROCESSED_FIELDS
 from demandlens.plans import pipeline as L
 from demandlens.schemas import GAPS, POSTINGS
 from demandlens.sinks import messages as M
 from demandlens.sinks import tables as K
-from demandlens.sources import corpus, external, messages, tables, uploads
+from demandlens.sources import external, messages, tables, uploads
 from demandlens.streaming import extraction as E
+from demandlens.taxonomy import taxonomy_table
+
+
+SENTENCES = ("Needs Python, Docker and Teamwork.", "SQL or PostgreSQL, with Git", "Nothing to see here", None,
+             "Go and R, C++ and Node.js", "REST API and Unit Testing, Agile")
+
+
+def posts_of(spark, ids):
+    return spark.createDataFrame([(f"JP{i:04d}", f"title {i % 3}", "firm", SENTENCES[i % 6]) for i in ids],
+                                 "posting_id string, title string, company string, description string")
+
+
+def students_of(spark, n):
+    return spark.createDataFrame(
+        [(f"S{i:04d}", 5.0 + i % 5, i % 4, i % 3, i % 2, ["Python", "SQL", "Zork"][:i % 4], int(i % 5 + i % 2 > 2))
+         for i in range(n)], "student_id string, cgpa double, projects_count int, certifications_count int, "
+        "internships_count int, skills array<string>, placed int")
 
 
 def test_splitters(spark):
@@ -37,18 +54,18 @@ def test_message_processing(spark, taxonomy):
     assert rows["JP1"]["extracted_skills"] == "Python;Docker;Teamwork"
     assert "Programming Languages" in rows["JP1"]["skill_categories"]
     assert rows["JP2"]["extracted_skills"] == rows["JP2"]["skill_categories"] == ""
-    assert rows["JP2"]["title"] is None and tuple(rows["JP1"].asDict()) == E.FIELDS
+    assert rows["JP2"]["title"] is None and tuple(rows["JP1"].asDict()) == PROCESSED_FIELDS
 
 
 def test_stream_equals_batch_and_restart_does_not_repeat(spark, taxonomy, tmp_path):
-    posts = corpus.labelled_postings(spark.range(60)).drop("true_skills")
+    posts = posts_of(spark, range(60))
     inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     M.postings_to_messages(posts).repartition(5).select("value").write.text(inbox)
     for _ in range(2):
         E.start_extraction(messages.folder_stream(spark, inbox, 2), taxonomy, out, mark).awaitTermination()
-    got = sorted(map(repr, spark.read.parquet(out).select(*E.FIELDS).collect()))
+    got = sorted(map(repr, spark.read.parquet(out).select(*PROCESSED_FIELDS).collect()))
     assert got == sorted(map(repr, E.process_postings(posts, taxonomy).collect())) and len(got) == 60
-    M.postings_to_messages(corpus.labelled_postings(spark.range(60, 70))).select("value").write.mode(
+    M.postings_to_messages(posts_of(spark, range(60, 70))).select("value").write.mode(
         "append").text(inbox)
     query = E.start_extraction(messages.folder_stream(spark, inbox), taxonomy, out, mark, available_now=False,
                                every="0 seconds")
@@ -71,7 +88,7 @@ def test_csv_edge(spark, tmp_path):
 def test_csv_with_line_breaks(spark, tmp_path):
     (tmp_path / "p.csv").write_text('posting_id,title,description,true_skills\n'
                                     '1,"a ""q""","two\nlines; x",A;B\n2,NaN,N/A,\n')
-    rows = tables.postings_from_csv(spark, str(tmp_path / "p.csv")).orderBy("posting_id").collect()
+    rows = tables.postings_from_csv(spark, str(tmp_path / "p.csv"), multi_line=True).orderBy("posting_id").collect()
     assert rows[0]["description"] == "two\nlines; x" and rows[0]["title"] == 'a "q"'
     assert rows[0]["true_skills"] == ["A", "B"] and rows[0]["company"] is None
     assert rows[1]["title"] is None and rows[1]["description"] is None and rows[1]["true_skills"] is None
@@ -138,21 +155,55 @@ def test_uploads(spark, tmp_path):
     assert spark.read.parquet(stored["postings"]).count() == 1
 
 
-def test_generated_corpus_is_found_again(spark, taxonomy):
-    posts = corpus.labelled_postings(spark.range(300))
-    summary = quality_summary(extract_skills(posts, taxonomy)).first()
-    assert summary["n_rows"] == 300
-    assert summary["mean_precision"] > 0.98 and summary["mean_recall"] > 0.98
-    again = corpus.labelled_postings(spark.range(300).repartition(3))
-    assert sorted(map(repr, posts.collect())) == sorted(map(repr, again.collect()))
-    students = corpus.labelled_students(spark.range(500))
-    sizes = students.agg(F.min(F.size("skills")), F.max(F.size("skills")), F.min("cgpa"), F.max("cgpa"),
-                         F.avg("placed")).first()
-    assert sizes[0] == 3 and sizes[1] == 9 and sizes[2] >= 5.5 and sizes[3] <= 9.8 and 0.1 < sizes[4] < 0.9
+def test_a_batch_longer_than_the_idle_time_is_kept(spark, taxonomy, tmp_path):
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    M.postings_to_messages(posts_of(spark, range(40))).select("value").write.text(inbox)
+    slow = F.udf(lambda x: __import__("time").sleep(0.2) or x)
+    stream = messages.folder_stream(spark, inbox).coalesce(1).withColumn("title", slow("title"))
+    query = E.start_extraction(stream, taxonomy, out, mark, available_now=False, every="0 seconds")
+    E.run_until_idle(query, idle_seconds=2)
+    assert not query.isActive and spark.read.parquet(out).count() == 40
+
+
+def test_stream_with_a_vocabulary_beyond_the_plan(spark, tmp_path, monkeypatch):
+    table = taxonomy_table(spark, {"x": [f"word{i} tail" for i in range(5001)] + ["Python"]})
+    posts = spark.createDataFrame([("1", "t", "c", "word7 tail and PYTHON"), ("2", "t", "c", None)],
+                                  "posting_id string, title string, company string, description string")
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    M.postings_to_messages(posts).select("value").write.text(inbox)
+    for _ in range(2):
+        E.start_extraction(messages.folder_stream(spark, inbox), table, out, mark).awaitTermination()
+    got = {r.posting_id: r.extracted_skills for r in spark.read.parquet(out).collect()}
+    assert got == {"1": "word7 tail;Python", "2": ""}
+
+
+def test_list_columns_travel_as_text(spark):
+    df = spark.createDataFrame([("1", ["A", "B"]), ("2", None)], "posting_id string, true_skills array<string>")
+    back = {r.posting_id: r.true_skills for r in messages.decode(M.postings_to_messages(df)).collect()}
+    assert back == {"1": "A;B", "2": ""}
+
+
+def test_a_failure_leaves_all_old_tables(spark, tmp_path):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    K.write_table(spark.range(1), one)
+    K.write_table(spark.range(2), two)
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception):
+        K.replace_tables(spark, {one: spark.range(9), two: broken})
+    assert (spark.read.parquet(one).count(), spark.read.parquet(two).count()) == (1, 2)
+    K.replace_tables(spark, {one: spark.read.parquet(two), two: spark.read.parquet(one)})
+    assert (spark.read.parquet(one).count(), spark.read.parquet(two).count()) == (2, 1)
+
+
+def test_an_unreadable_table_is_an_error(spark, tmp_path):
+    (tmp_path / "bad").mkdir()
+    with pytest.raises(Exception):
+        tables.read_table(spark, str(tmp_path / "bad"), GAPS)
 
 
 def test_pipeline(spark, taxonomy, tmp_path):
-    ingest = lambda: (corpus.labelled_postings(spark.range(80)), corpus.labelled_students(spark.range(120)))
+    ingest = lambda: (posts_of(spark, range(80)).withColumn("true_skills", F.lit(None).cast("array<string>")),
+                      students_of(spark, 120))
     paths = L.Paths(str(tmp_path))
     assert not L.pipeline_ready(spark, paths)
     done = L.run_pipeline(spark, str(tmp_path), taxonomy, ingest, rounds=2)
@@ -163,7 +214,7 @@ def test_pipeline(spark, taxonomy, tmp_path):
     assert gaps.count() == 120 and 0 <= bounds[0] <= bounds[1] <= 1
     assert spark.read.json(paths.model_metrics).first()["best_model"]
     assert spark.read.parquet(paths.placement_scores).where("tier = 'Unknown'").count() == 0
-    assert len(K.publish(spark, paths.base, "x", str(tmp_path / "bucket"), K.PUBLISHED)) == 5
+    assert len(K.publish(spark, paths.base, "x", str(tmp_path / "bucket"), K.PUBLISHED)) == 6
 
 
 def test_pipeline_stops_at_the_failing_stage():

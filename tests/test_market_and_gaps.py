@@ -39,12 +39,18 @@ def test_role_filter_is_literal(spark):
     assert count("  ") == {"SQL", "C", "Go"}
 
 
-def test_top_skills_are_clamped(spark, market):
+def test_top_skills_gives_what_is_asked(spark, market):
     table = market({f"s{i:02d}": 100 - i for i in range(60)}, 100)
-    for asked, given in ((None, 20), (1, 5), (7, 7), (99, 40)):
+    assert D.top_skills(table).count() == 20
+    for asked, given in ((1, 1), (7, 7), (100, 60)):
         assert D.top_skills(table, asked).count() == given
 
 
+def test_scaled_demand(spark, market):
+    rows = {r.skill: r.scaled for r in D.scaled_demand(market({"a": 4, "b": 1})).collect()}
+    assert rows == {"a": 1.0, "b": 0.25}
+
+
 def test_kpis_and_tree(spark, taxonomy, market):
     postings = spark.createDataFrame([(["Python", "SQL"],), (["Python"],), ([],), (["Zork"],)],
                                      "extracted_skills array<string>")
@@ -78,11 +84,19 @@ def test_inline_and_long_form_agree(spark, market, taxonomy):
     rng = random.Random(3)
     names = [s for c in ("a", "b", "c") for s in (f"{c}{i}" for i in range(30))]
     table = market({s: rng.randint(1, 9) for s in names}, 100)
-    students = students_of(spark, [("all", names), ("none", []), ("null", None)] + [
+    students = students_of(spark, [("all", names), ("none", []), ("null", None), ("x", ["a1"]), ("x", ["b1"]),
+                                   (None, ["a1"]), (None, ["c1", "a1"]), ("x", ["a1"])] + [
         (f"s{i}", rng.choices(names + ["off1", "off2"], k=rng.randint(0, 60))) for i in range(40)])
     key = lambda df: sorted(map(repr, df.collect()))
     inline, long = G.skill_gaps(students, table), G._skill_gaps_long(students, table, 10)
     assert key(inline) == key(long.select(*inline.columns))
+    aligned = G.market_alignment(students, table)
+    empty = D.DemandProfile.load
+    D.DemandProfile.load = classmethod(lambda cls, market, limit=0: None)
+    try:
+        assert key(aligned) == key(G.market_alignment(students, table).select(*aligned.columns))
+    finally:
+        D.DemandProfile.load = empty
     tax = taxonomy_table(spark, {c: [s for s in names if s[0] == c] for c in "cab"} | {"empty": ["zz"]})
     assert key(G.category_coverage(students, table, tax)) == key(
         G._category_coverage_long(students, table, tax))

