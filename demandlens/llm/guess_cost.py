@@ -24,8 +24,8 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 #: Wider credential contexts, whose values count only by their guess cost.
 CONTEXT = re.compile(
-    rb"""(?i:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|(?:api|access|private|auth)[_-]?key|credentials?|bearer)\b)"""
-    rb"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+|\x20)["']?([^\s"'`,;<>]+)""")
+    rb"""(?i:\b(?:(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|(?:api|access|private|auth)[_-]?key|credentials?)\b"""
+    rb"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)|bearer\x20+))["']?([^\s"'`,;<>]+)""")
 HINTS = (b"pass", b"pwd", b"pin", b"secret", b"token", b"api", b"key", b"credential", b"bearer")
 #: A value of 10**10 guesses or more is reported.
 THRESHOLD = 10.0
