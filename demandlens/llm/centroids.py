@@ -34,6 +34,8 @@ MAX_LANGUAGES = 500
 #: times this, but always leaves more likeness than texts of foreign letters have by chance.
 SLACK = 1.25
 LEAST_COSINE = 0.08
+#: A language known from a few alike texts still takes others as near as this.
+LEAST_RADIUS = 0.5
 UNDETERMINED = "und"
 DOCS_PER_STEP = 256
 
@@ -173,7 +175,7 @@ def train(docs, text="text", lang="lang", k=CENTROIDS, sample=SAMPLE):
             found += one.groupBy("lang").applyInPandas(cluster, schema).collect()
     found.sort(key=lambda r: (r["lang"], r["centre"]))
     centres = np.array([r["centre"] for r in found], np.float32).reshape(-1, FEATURES)
-    radius = np.minimum(np.array([r["radius"] for r in found]) * SLACK, 1 - LEAST_COSINE)
+    radius = np.clip(np.array([r["radius"] for r in found]) * SLACK, LEAST_RADIUS, 1 - LEAST_COSINE)
     return Model(idf, centres, [r["lang"] for r in found], radius)
 
 
