@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import draw_long
 from ..functions.numbers import nan_to_null
+from ..functions.sizing import broadcast_if_small
 from ..session import durable
 
 _FIRST, _PREVIOUS = W.unboundedPreceding, -1
@@ -39,16 +40,36 @@ def running_total(df, order_by, weight, out, within=()):
 
 
 def sequential_ids(df, id_col, prefix, order_by=None):
-    """``prefix0000``, ``prefix0001``, ... in the given order, or in the order
-    the rows are read when none is given."""
+    """``prefix0000``, ``prefix0001``, ... in the given order, or in the order of the files
+    (by path, then by place in the file) when none is given.
+
+    Without an order no row moves: rows are counted per file split, and each row adds its
+    place in the split to the rows before the split. Rows that come from no file keep the
+    order of their partitions; those must not be dealt anew between two runs.
+    """
     keep = [c for c in df.columns if c != id_col]
-    order = list(order_by or ["_read"])
-    rows = df if order_by else df.withColumn("_read", F.monotonically_increasing_id())
-    numbered = running_total(rows.withColumn("_one", F.lit(1)), order, "_one", "_at")
+    if order_by:
+        numbered = running_total(df.withColumn("_one", F.lit(1)), list(order_by), "_one", "_at")
+    else:
+        numbered = _in_file_order(df)
     return numbered.select(
         F.format_string("%s%04d", F.lit(prefix), F.col("_at")).alias(id_col), *keep)
 
 
+def _in_file_order(df):
+    split = ["_file", "_block", "_task"]
+    rows = (df.withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start(),
+                            "_read": F.monotonically_increasing_id()})
+            .withColumn("_task", F.shiftright("_read", 33)))
+    # One row per file split.
+    sizes = rows.groupBy(*split).agg(F.count("*").alias("_n"), F.min("_read").alias("_first"))
+    before = W.orderBy(*split).rowsBetween(_FIRST, _PREVIOUS)
+    starts = sizes.select(*split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.join(broadcast_if_small(starts), split)
+            .withColumn("_at", F.col("_before") + F.col("_read") - F.col("_first"))
+            .drop(*split, "_read", "_first", "_before"))
+
+
 def value_counts_before(df, value):
     """Distinct values with their row count and the rows strictly below.
 

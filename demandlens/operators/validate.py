@@ -67,7 +67,7 @@ _MESSAGES = {
     "not_empty": "The table has no rows",
     "numeric": "Column '{column}': {bad} value(s) are empty or not numbers",
     "has_text": "No row has a {column}",
-    "unique_id": "Column '{column}' has duplicate values",
+    "unique_id": "{bad} row(s) repeat an id of column '{column}': duplicate ids are not allowed",
 }
 
 
@@ -77,7 +77,7 @@ def validate_and_prepare(df, required, id_col, id_prefix):
     df = trimmed_names(df)
     absent = [c for c in required if c not in df.columns]
     if absent:
-        return Checked(None, "Missing required column(s): " + ", ".join(absent), None)
+        return Checked(None, "Missing from the file, but needed: " + ", ".join(absent), None)
     numeric = numeric_columns(required)
     description = "description" if "description" in required else None
     report = violations(df, numeric, description, id_col)

@@ -15,8 +15,6 @@ POSTINGS = _table(posting_id=_STR, title=_STR, company=_STR, description=_STR,
 STUDENTS = _table(student_id=_STR, cgpa=_DBL, projects_count=_INT,
                   certifications_count=_INT, internships_count=_INT,
                   skills=_LIST, placed=_INT)
-EXTRACTED = _table(posting_id=_STR, title=_STR, company=_STR, description=_STR,
-                   true_skills=_LIST, extracted_skills=_LIST, skill_categories=_LIST)
 MARKET = _table(skill=_STR, posting_count=_LONG, pct_postings=_DBL, demand_rank=_INT)
 GAPS = _table(student_id=_STR, matched_skills=_LIST, missing_skills_ranked=_LIST,
               market_alignment_score=_DBL, skill_count=_INT)
@@ -24,7 +22,3 @@ TAXONOMY = _table(category=_STR, skill=_STR, case_sensitive=T.BooleanType(),
                   category_pos=_INT, skill_pos=_INT)
 MESSAGE = _table(posting_id=_STR, title=_STR, company=_STR, description=_STR,
                  true_skills=_STR)
-
-EXTERNAL_POSTINGS = _table(job_id=_STR, company_name=_STR, title=_STR, description=_STR)
-EXTERNAL_STUDENTS = _table(sl_no=_INT, ssc_p=_DBL, hsc_p=_DBL, degree_p=_DBL,
-                           degree_t=_STR, specialisation=_STR, workex=_STR, status=_STR)

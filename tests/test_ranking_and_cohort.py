@@ -162,3 +162,18 @@ def test_search(spark, tmp_path):
     gaps = spark.createDataFrame([("s", ["hot", "nope"])], "student_id string, missing_skills_ranked array<string>")
     assert S.gap_postings(gaps, index, size=6).count() == 6
     assert S.postings_with_skill(docs, "rare").count() == 1
+
+
+def test_ids_follow_the_files_without_a_shuffle(spark, tmp_path):
+    sizes = (3, 400, 1, 50)
+    at = 0
+    for i, n in enumerate(sizes):
+        (spark.range(at, at + n).withColumn("pad", F.repeat(F.lit("x"), 10 * n)).coalesce(1)
+         .write.parquet(str(tmp_path / f"t/part={i}")))
+        at += n
+    table = spark.read.parquet(str(tmp_path / "t")).select("id", "pad")
+    out = R.sequential_ids(table, "key", "K")
+    assert all(r.key == f"K{r.id:04d}" for r in out.select("key", "id").collect())
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.key for r in R.sequential_ids(spark.range(5).withColumn("v", F.lit(1)), "key", "K").collect()} == {
+        f"K{i:04d}" for i in range(5)}
