@@ -13,8 +13,9 @@ text has finds replaced by their kind, terms generalised to a placeholder, and t
 the second threshold removed.
 
 Pairs of term and entity come from windows of fixed width, so they grow with the number of
-finds only. The documents that hold a term are counted for candidate terms alone, which a
-table of at most ``BUCKETS`` hash values picks out before words are shuffled.
+finds only. The documents that hold a term are counted in the tasks before anything is
+shuffled; where the disclosing terms lie, a table of at most ``BUCKETS`` hash values drops the
+other words before they are shuffled.
 """
 
 from demandlens.llm.frames import fresh, stored
@@ -130,35 +131,44 @@ def disclosing_terms(docs, doc_id="doc_id", text="text", min_contexts=MIN_CONTEX
     pairs = found.select("doc", "entity", F.xxhash64("words").alias("window"),
                          F.explode(F.array_distinct("words")).alias("term"))
     by_window = pairs.groupBy("entity", "term", "window").agg(F.count_distinct("doc").alias("docs"))
+    met = pairs.groupBy("term").agg(F.count_distinct("doc").alias("holders"))
+    entities = stored(found.groupBy("entity").agg(F.count_distinct("doc").alias("docs")), "entities")
+
+    def degrees(rows, holders):
+        share = F.least(F.col("together") / F.col("holders"), F.lit(1.0))
+        degree = F.log2(share * total / F.col("docs")) / F.log2(total / F.col("docs"))
+        return rows.join(holders, "term").withColumn("disclosure", degree).where(F.col("disclosure") >= threshold)
+
+    # A term is held by all documents that have it in a window, so what falls short with
+    # those alone, as common words do, needs no count over the corpus.
     pairs = (by_window.groupBy("entity", "term").agg(F.count("*").alias("windows"), F.sum("docs").alias("together"))
-             .where(F.col("windows") >= min_contexts))
-    pairs = stored(pairs, "pairs")
+             .where(F.col("windows") >= min_contexts).join(entities, "entity").where(F.col("docs") < total))
+    pairs = stored(degrees(pairs, met).select("entity", "term", "together", "docs"), "pairs")
     if pairs.isEmpty():
         return None
-    holders = stored(candidate_words(docs, text, pairs.select("term")).groupBy("term").agg(F.count("*").alias("holders")),
-                     "holders")
-    entities = found.groupBy("entity").agg(F.count_distinct("doc").alias("docs"))
-    degree = F.log2(F.least(F.col("together") / F.col("holders"), F.lit(1.0)) * total / F.col("docs")) / F.log2(
-        total / F.col("docs"))
-    return stored(pairs.join(entities, "entity").join(holders, "term")
-                  .where(F.col("docs") < total).groupBy("term").agg(F.max(degree).alias("disclosure"))
-                  .where(F.col("disclosure") >= threshold), "terms")
+    # Every word is counted where it lies before the few candidates are picked.
+    counted = words_in(docs.select(text), text).groupBy("term").agg(F.count("*").alias("holders"))
+    holders = stored(counted.join(pairs.select("term").distinct(), "term", "left_semi"), "holders")
+    return stored(degrees(pairs, holders).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms")
 
 
 def bucket(term):
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
-def candidate_words(docs, text, terms):
-    """(the columns of ``docs`` but ``text``, term): each different term of each row that is
-    among ``terms``. Most words are dropped by a broadcast table of at most ``BUCKETS``
-    numbers before the exact join."""
+def words_in(docs, text):
+    """(the columns of ``docs`` but ``text``, term): each different term of each row."""
     rest = [c for c in docs.columns if c != text]
-    words = docs.select(*rest, F.explode(F.array_distinct(
+    return docs.select(*rest, F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
+
+
+def candidate_words(docs, text, terms):
+    """``words_in``, only terms that are among ``terms``. Most words are dropped by a
+    broadcast table of at most ``BUCKETS`` numbers before the exact join."""
     wanted = terms.distinct()
     marks = wanted.select(bucket("term").alias("b")).distinct()
-    return (words.join(F.broadcast(marks), bucket("term") == F.col("b"), "left_semi")
+    return (words_in(docs, text).join(F.broadcast(marks), bucket("term") == F.col("b"), "left_semi")
             .join(wanted, "term", "left_semi"))
 
 
