@@ -25,7 +25,9 @@ HEX = re.compile(rb"[0-9a-f]{24,}")
 #: Wider credential contexts, whose values count only by their guess cost.
 CONTEXT = re.compile(
     rb"""(?i:\b(?:(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|(?:api|access|private|auth)[_-]?key|credentials?)\b"""
-    rb"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)|bearer\x20+))["']?([^\s"'`,;<>]+)""")
+    rb"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)|bearer\x20+))["']?""")
+#: A value goes on up to the next delimiter, whatever symbols it holds.
+VALUE = re.compile(rb"""[^\s"'`,;<>]+""")
 HINTS = (b"pass", b"pwd", b"pin", b"secret", b"token", b"api", b"key", b"credential", b"bearer")
 #: A value of 10**10 guesses or more is reported.
 THRESHOLD = 10.0
@@ -116,22 +118,28 @@ def dictionary(docs, text="text", size=DICTIONARY):
     return {r["word"].encode(): i for i, r in enumerate(top, 1)}
 
 
+def values(text):
+    """(start, end) of each value in a credential context, whole; one that begins inside
+    another is part of it."""
+    starts = {m.end() for m in CONTEXT.finditer(text)} | {m.start(2) for m in ASSIGN.finditer(text)}
+    end = 0
+    for start in sorted(starts):
+        value = VALUE.match(text, start) if start >= end else None
+        if value:
+            end = value.end()
+            if end - start >= MIN_VALUE:
+                yield start, end
+
+
 def find(text, ranks, threshold=THRESHOLD):
     """(kind, start, end, cost) of all spans of one text (bytes), in bytes; cost is null
     but for ``guess``."""
     found = []
     low = text.lower()
     if any(h in low for h in HINTS):
-        values = {}
-        for match in ASSIGN.finditer(text):
-            if len(match[2]) >= MIN_VALUE:
-                found.append(("assign", match.start(), match.end(), None))
-                values[match.span(2)] = match[2]
-        for match in CONTEXT.finditer(text):
-            if len(match[1]) >= MIN_VALUE and not any(match.start(1) < e and s < match.end(1) for s, e in values):
-                values[match.span(1)] = match[1]
-        for (start, end), value in values.items():
-            cost = guesses(value, ranks)
+        found += [("assign", m.start(), m.end(), None) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_VALUE]
+        for start, end in values(text):
+            cost = guesses(text[start:end], ranks)
             if cost >= threshold:
                 found.append(("guess", start, end, cost))
     if b"AKIA" in text:

@@ -117,6 +117,20 @@ def test_secret_spans(spark):
                    (6, []), (7, []), (8, []), (9, [("assign", 16, 29)]), (10, [])]
 
 
+def guessed(text):
+    return [text[a:b].decode() for k, a, b, _ in guess_cost.find(text, RANKS) if k == "guess"]
+
+
+def test_values_are_priced_whole():
+    secret = "Dragon!vQ9#kT2$wZ"
+    for before in ("password: ", "pwd: ", "api_key='", "mytoken="):
+        assert guessed(f"é {before}{secret}, and more".encode()) == [secret]
+    assert guess_cost.find(b"password: Dragon!vQ9#kT2$wZ", RANKS)[0][:3] == ("assign", 0, 16)
+    assert guessed(b"token=a!vQ9#kT2$wZ pwd:token=xK9$mQ2!vT") == ["a!vQ9#kT2$wZ", "token=xK9$mQ2!vT"]
+    assert guessed(b"secret: password = xK9$mQ2!vT") == ["xK9$mQ2!vT"]
+    assert guessed(b"password: dragon!monkey") == [] and len(guessed(b"token=" * 50000 + b"x")) <= 1
+
+
 def test_dictionary_counts_all_texts(spark):
     docs = spark.createDataFrame([("b B, a",), ("bbb aaa bbb AAA. bbb",), (None,), ("ccc ccc",)], "text string")
     assert guess_cost.dictionary(docs, size=2) == {b"bbb": 1, b"aaa": 2}
