@@ -22,10 +22,15 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(rb"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
-#: Wider credential contexts, whose values count only by their guess cost.
+#: Wider credential contexts, whose values count only by their guess cost. A name may be any
+#: part of an identifier, between characters other than letters and digits. An identifier is
+#: read once, from its start, so that long ones cost linear time.
+NAME = (rb"(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|(?:api|access|private|auth)[_-]?key"
+        rb"|credentials?)(?![A-Za-z0-9])")
 CONTEXT = re.compile(
-    rb"""(?i:\b(?:(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|(?:api|access|private|auth)[_-]?key|credentials?)\b"""
-    rb"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)|bearer\x20+))["']?""")
+    rb"""(?i:(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?%b)[A-Za-z0-9_-]*+["']?\x20*[:=]\x20*"""
+    rb"""|(?<![A-Za-z0-9_])(?>[A-Za-z0-9_]*?%b)[A-Za-z0-9_]*+["']?\x20+is\x20+"""
+    rb"""|(?<![A-Za-z0-9])bearer\x20+)["']?""" % (NAME, NAME))
 #: A value goes on up to the next delimiter, whatever symbols it holds.
 VALUE = re.compile(rb"""[^\s"'`,;<>]+""")
 HINTS = (b"pass", b"pwd", b"pin", b"secret", b"token", b"api", b"key", b"credential", b"bearer")

@@ -128,7 +128,19 @@ def test_values_are_priced_whole():
     assert guess_cost.find(b"password: Dragon!vQ9#kT2$wZ", RANKS)[0][:3] == ("assign", 0, 16)
     assert guessed(b"token=a!vQ9#kT2$wZ pwd:token=xK9$mQ2!vT") == ["a!vQ9#kT2$wZ", "token=xK9$mQ2!vT"]
     assert guessed(b"secret: password = xK9$mQ2!vT") == ["xK9$mQ2!vT"]
-    assert guessed(b"password: dragon!monkey") == [] and len(guessed(b"token=" * 50000 + b"x")) <= 1
+    assert guessed(b"password: dragon!monkey") == [] and len(guessed(b"token=" * 9000 + b"x")) <= 1
+
+
+def test_context_names_are_parts_of_identifiers():
+    secret = "xK9$mQ2!vT"
+    for name in ("aws_secret_access_key = ", "SECRET_KEY=", "MYSQL_PWD=", "db_pwd: ", "my_private_key=", "--db-pwd=", "x-api-key: ",
+                 "db_password_prod: '", "\"client_secret_value\": \"", "__pwd__=", "db_pwd is ", "pwd_2 is ", "pass-pwd is ", "api_key: ", "_bearer ",
+                 "pwd_pwd_key="):
+        assert guessed(f"é ({name}{secret}".encode()) == [secret], name
+    for name in ("spinpin: ", "compass_rose: ", "pinned_at: ", "access: ", "pwd-less is ", "mypwd=", "pwd5="):
+        assert guessed(f"{name}{secret}".encode()) == [], name
+    for long in (b"pwd_" * 50000, b"pwd-" * 50000, b"a_" * 50000 + b"pwd", b"-" * 100000, b"pwd" + b" " * 100000):
+        assert guessed(long + b"+") == [] and guessed(b"pwd +" + long) == []
 
 
 def test_dictionary_counts_all_texts(spark):
