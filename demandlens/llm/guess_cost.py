@@ -9,7 +9,6 @@ Values at or above the threshold are reported as spans of their own.
 
 import math
 import re
-from itertools import pairwise
 
 import pyarrow as pa
 from demandlens.llm.frames import as_bytes, fresh, steps
@@ -56,9 +55,15 @@ def _neighbours():
 
 
 NEAR = _neighbours()
-DATE = re.compile(rb"(?:(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01]))?"
-                  rb"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d)")
+MONTH, MONTHDAY = rb"(?:0[1-9]|1[0-2])", rb"(?:0[1-9]|[12]\d|3[01])"
 DAY, YEAR = math.log10(200 * 365), math.log10(200)
+DATES = ((re.compile(rb"(?:19|20)\d\d"), YEAR),
+         (re.compile(rb"(?:19|20)\d\d[-/.]?" + MONTH + rb"[-/.]?" + MONTHDAY), DAY),
+         (re.compile(MONTHDAY + rb"[-/.]?" + MONTH + rb"[-/.]?(?:19|20)\d\d"), DAY))
+#: Characters of a block that is written several times.
+LONGEST_BLOCK = 32
+TWICE = re.compile(rb"(?s)(.{2,%d}?)\1" % LONGEST_BLOCK)
+TWICE_OF = {n: re.compile(rb"(?s)(.{%d})\1" % n) for n in range(2, LONGEST_BLOCK + 1)}
 
 
 def brute(byte):
@@ -70,38 +75,108 @@ def brute(byte):
     return math.log10(33)
 
 
-def guesses(value, ranks):
+class Starts:
+    """The least of base + log10(end - start) over all starts given so far, for ends that
+    never decrease. An earlier start that is behind can only catch up, so the starts are
+    kept in the order in which they will lead, the leading one last."""
+
+    def __init__(self):
+        self.leads = []  # (base, start, the end from which the entry before leads)
+
+    @staticmethod
+    def caught(early, late):
+        """The end from which ``early`` costs no more than ``late``."""
+        gap = late[0] - early[0]
+        if gap <= 0:
+            return math.inf
+        if gap > 300:
+            return late[1]
+        ratio = 10 ** gap
+        return (ratio * late[1] - early[1]) / (ratio - 1) if ratio > 1 else math.inf
+
+    def settle(self, end):
+        while len(self.leads) > 1 and self.leads[-1][2] <= end:
+            self.leads.pop()
+
+    def add(self, base, start, end):
+        self.settle(end)
+        leads, new = self.leads, (base, start)
+        if leads and leads[-1][0] + math.log10(end - leads[-1][1]) <= base + math.log10(end - start):
+            return  # the earlier start leads now, so it always will
+        while leads:
+            turn = self.caught(leads[-1], new)
+            if len(leads) == 1 or turn < leads[-1][2]:
+                break
+            leads.pop()  # the one before it leads first
+        leads.append((base, start, self.caught(leads[-1], new) if leads else math.inf))
+
+    def least(self, end):
+        self.settle(end)
+        base, start, _ = self.leads[-1]
+        return base + math.log10(end - start)
+
+
+def guesses(value, ranks, known=None):
     """log10 of the guesses that ``value`` (bytes) stands: the cheapest segmentation.
 
-    Linear in the length: words and dates are short, repeats and walks are tried from
-    the start of their run, and everything else is one character at a time."""
+    Repeats, walks and repeated blocks begin anywhere in their run; a block costs what it
+    stands by itself, times how often it is written. About linear in the length, since
+    ``Starts`` drops starts that no longer can be the cheapest, and words and blocks have a
+    longest length. ``known`` holds the blocks priced so far."""
+    known = {} if known is None else known
     low = value.lower()
     plain = low.translate(LEET)
     size = len(value)
     dates = {}
     for start in range(size):
         if 48 <= low[start] <= 57:
-            match = DATE.match(low, start)
-            if match:
-                dates.setdefault(match.end(), []).append((start, DAY if match.end() - start > 4 else YEAR))
-                dates.setdefault(start + 4, []).append((start, YEAR)) if low[start:start + 2] in (b"19", b"20") else None
+            for pattern, cost in DATES:
+                match = pattern.match(low, start)
+                if match:
+                    dates.setdefault(match.end(), []).append((start, cost))
     best = [0.0] + [math.inf] * size
-    brutal = [False] * (size + 1)  # the best split ends in a brute-force character
-    run = walk = 0
+    single = math.inf  # the best split so far that ends in a brute-force character
+    run = walk = turns = 0
+    repeats, straight, bent, turned = Starts(), Starts(), Starts(), [0] * (size + 1)
+    alike, blocks = [0] * (LONGEST_BLOCK + 1), {}
+    lengths = [n for n, twice in TWICE_OF.items() if twice.search(low)] if TWICE.search(low) else []
     for end in range(1, size + 1):
         at = end - 1
         if at and low[at] != low[at - 1]:
-            run = at
+            run, repeats = at, Starts()
         if at and low[at] not in NEAR.get(low[at - 1], ()):
-            walk = at
-        options = [(best[at] + brute(value[at]) + (0 if brutal[at] else JOINT), True)]
+            walk, straight, bent = at, Starts(), Starts()
+        turns += at > 0 and abs(low[at] - low[at - 1]) != 1
+        turned[at] = turns  # up to the pair that ends here, so turned[b] - turned[a] are inside a..b
+        single = brute(value[at]) + min(best[at] + JOINT, single)
+        cost = single
         if end - run >= 3:
-            options.append((best[run] + brute(value[run]) + math.log10(end - run) + JOINT, False))
+            repeats.add(best[end - 3], end - 3, end)
+            cost = min(cost, repeats.least(end) + brute(value[run]) + JOINT)
         if end - walk >= 3:
-            turns = sum(1 for a, b in pairwise(low[walk:end]) if abs(a - b) != 1)
-            options.append((best[walk] + math.log10(47 * (end - walk)) + 0.3 * min(turns, 8) + JOINT, False))
-        for start, cost in dates.get(end, ()):
-            options.append((best[start] + cost + JOINT, False))
+            start = end - 3
+            straight.add(best[start] - 0.3 * turned[start], start, end)
+            bent.add(best[start] + 0.3 * 8, start, end)
+            cost = min(cost, min(straight.least(end) + 0.3 * turns, bent.least(end)) + math.log10(47) + JOINT)
+        for length in lengths:
+            if at < length or low[at] != low[at - length]:
+                if alike[length] >= length:
+                    blocks[length] = None
+                alike[length] = 0
+                continue
+            alike[length] += 1
+            if alike[length] >= length:
+                starts = blocks.get(length)
+                if starts is None:
+                    starts = blocks[length] = [Starts() for _ in range(length)]
+                start = end - 2 * length
+                block = value[start:start + length]
+                if block not in known:
+                    known[block] = guesses(block, ranks, known)
+                starts[end % length].add(best[start] + known[block], start, end)
+                cost = min(cost, starts[end % length].least(end) - math.log10(length) + JOINT)
+        for start, worth in dates.get(end, ()):
+            cost = min(cost, best[start] + worth + JOINT)
         for start in range(max(0, end - LONGEST_WORD), end - 2):
             word = low[start:end]
             rank, extra = ranks.get(word), 0.0
@@ -110,8 +185,8 @@ def guesses(value, ranks):
             if rank is not None:
                 if value[start:end] != word:
                     extra += 0.3
-                options.append((best[start] + math.log10(rank + 1) + extra + JOINT, False))
-        best[end], brutal[end] = min(options)
+                cost = min(cost, best[start] + math.log10(rank + 1) + extra + JOINT)
+        best[end] = cost
     return best[size]
 
 

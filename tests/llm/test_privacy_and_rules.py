@@ -1,5 +1,7 @@
 """Personal data, secrets and quality rules against plain versions."""
 
+import math
+import random
 import re
 
 import pytest
@@ -104,6 +106,54 @@ def test_segmentation_is_the_cheapest():
         assert guess_cost.guesses(value, ranks) <= cheapest(value) + 1e-9
 
 
+def every_split(value, ranks):
+    """The cheapest of all ways to cut a value into spans of every kind."""
+    low, size, joint = value.lower(), len(value), guess_cost.JOINT
+    date = r"(19|20)\d\d[-/.]?(0[1-9]|1[0-2])[-/.]?(0[1-9]|[12]\d|3[01])|(0[1-9]|[12]\d|3[01])[-/.]?(0[1-9]|1[0-2])[-/.]?(19|20)\d\d"
+
+    def spans(a, b):
+        part, own = low[a:b], low[a:b].decode()
+        for word, extra in ((part, 0.0), (part.translate(guess_cost.LEET), 0.6)):
+            if word in ranks and (not extra or word != part):
+                yield math.log10(ranks[word] + 1) + extra + (0.3 if value[a:b] != part else 0)
+        if re.fullmatch(r"(19|20)\d\d", own):
+            yield guess_cost.YEAR
+        if re.fullmatch(date, own):
+            yield guess_cost.DAY
+        if b - a >= 3 and len(set(part)) == 1:
+            yield guess_cost.brute(value[a]) + math.log10(b - a)
+        if b - a >= 3 and all(y in guess_cost.NEAR.get(x, ()) for x, y in zip(part, part[1:])):
+            yield math.log10(47 * (b - a)) + 0.3 * min(sum(abs(x - y) != 1 for x, y in zip(part, part[1:])), 8)
+        for length in range(2, (b - a) // 2 + 1):
+            if (b - a) % length == 0 and part == part[:length] * ((b - a) // length):
+                yield every_split(value[a:a + length], ranks) + math.log10((b - a) // length)
+
+    best, single = [0.0], [math.inf]
+    for end in range(1, size + 1):
+        single.append(guess_cost.brute(value[end - 1]) + min(best[-1] + joint, single[-1]))
+        best.append(min([single[-1]] + [best[a] + c + joint for a in range(end) for c in spans(a, end)]))
+    return best[size]
+
+
+def test_segmentation_with_all_spans():
+    ranks = {b"password": 1, b"dragon": 2, b"ddd": 50, b"abc": 7, b"fgh": 300, b"lad": 30}
+    values = [b"passwordddddddddd", b"passwordfghjkl", b"abc123abc123", b"20001999", b"31121999", b"19840229000000", b"Passw0rdDDDDD",
+              b"qwertrewqwertrewqazsdcftgb", b"ladddddfghjjjjjabcabcabcabc", b"ababababab", b"xdddxdddxddd"]
+    draw = random.Random(3)
+    pieces = [b"password", b"dragon", b"ddd", b"dddddd", b"abc", b"fghjkl", b"qwe", b"1999", b"x7", b"D", b"0229", b"asd", b"4"]
+    values += [b"".join(draw.choice(pieces) for _ in range(draw.randrange(1, 6))) for _ in range(150)]
+    values += [bytes(draw.choice(b"asdw1") for _ in range(draw.randrange(1, 24))) for _ in range(150)]
+    for value in values:
+        assert guess_cost.guesses(value, ranks) == pytest.approx(every_split(value, ranks), abs=1e-9), value
+    for weak in values[:3]:
+        assert guess_cost.guesses(weak, ranks) < 8
+
+
+def test_long_values_cost_linear_time():
+    for unit in (b"a", b"ab", b"qw", b"qwertrew", b"abc123", bytes(range(40, 80))):
+        assert guess_cost.guesses(unit * (20000 // len(unit)), RANKS) > 0
+
+
 SECRETS = [(1, 'é token = "abcdef"'), (2, "PassWord:abc"), (3, "my pwd is xK9$mQ2!vT."), (4, "AKIA" + "A" * 16 + " AKIAB"),
            (5, "deadbeef" * 3 + "g" + "a" * 23), (6, None), (7, ""), (8, "ſecret=abcdefgh"), (9, "api_key api-key apikey=xyz123"),
            (10, "pwd: dragon"), (1, "x" * 100000)]
