@@ -130,19 +130,23 @@ def disclosing_terms(docs, doc_id="doc_id", text="text", min_contexts=MIN_CONTEX
     total = docs.count()
     pairs = found.select("doc", "entity", F.xxhash64("words").alias("window"),
                          F.explode(F.array_distinct("words")).alias("term"))
-    by_window = pairs.groupBy("entity", "term", "window").agg(F.count_distinct("doc").alias("docs"))
+
+    def different(what, name):
+        return pairs.select("entity", "term", what).distinct().groupBy("entity", "term").agg(F.count(what).alias(name))
+
     met = pairs.groupBy("term").agg(F.count_distinct("doc").alias("holders"))
     entities = stored(found.groupBy("entity").agg(F.count_distinct("doc").alias("docs")), "entities")
 
     def degrees(rows, holders):
+        # A window may cut a word, so its rest can be met more often than it is held.
         share = F.least(F.col("together") / F.col("holders"), F.lit(1.0))
         degree = F.log2(share * total / F.col("docs")) / F.log2(total / F.col("docs"))
         return rows.join(holders, "term").withColumn("disclosure", degree).where(F.col("disclosure") >= threshold)
 
     # A term is held by all documents that have it in a window, so what falls short with
     # those alone, as common words do, needs no count over the corpus.
-    pairs = (by_window.groupBy("entity", "term").agg(F.count("*").alias("windows"), F.sum("docs").alias("together"))
-             .where(F.col("windows") >= min_contexts).join(entities, "entity").where(F.col("docs") < total))
+    pairs = (different("window", "windows").where(F.col("windows") >= min_contexts)
+             .join(different("doc", "together"), ["entity", "term"]).join(entities, "entity").where(F.col("docs") < total))
     pairs = stored(degrees(pairs, met).select("entity", "term", "together", "docs"), "pairs")
     if pairs.isEmpty():
         return None

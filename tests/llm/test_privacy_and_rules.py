@@ -66,6 +66,16 @@ def test_copies_are_no_evidence(spark):
     assert disclosure.find(docs.limit(0)).count() == 0
 
 
+def test_one_long_document_is_one_document(spark):
+    many = " ".join(f"common {chr(97 + i % 26) * 5}{chr(97 + i // 26) * 5} ann@example.com" for i in range(60))
+    rows = [(0, many)] + [(i, f"common text {i}" if i < 40 else f"plain text {i}") for i in range(1, 200)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    terms = disclosure.disclosing_terms(docs)
+    assert terms is None or "common" not in {r.term for r in terms.collect()}
+    found = {r.doc_id: [s.kind for s in r.spans] for r in disclosure.find(docs).collect()}
+    assert found[0].count("email") == 60 and found[7] == []
+
+
 def test_sanitise(spark):
     docs = gossip(spark).withColumn("spans", F.lit(1)).withColumn("terms", F.lit("t"))
     out = disclosure.sanitise(docs)
