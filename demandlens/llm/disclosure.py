@@ -12,9 +12,10 @@ threshold, with enough different contexts behind it, is marked wherever it occur
 text has finds replaced by their kind, terms generalised to a placeholder, and terms beyond
 the second threshold removed.
 
-Pairs of term and entity come from windows of fixed width, so they grow with the number of
-finds only. The documents that hold a term are counted in the tasks before anything is
-shuffled; where the disclosing terms lie, a table of at most ``BUCKETS`` hash values drops the
+Documents are counted whole: a term may stand anywhere in the documents of an entity. Terms
+that too many documents hold to disclose any entity, and entities whose own number rules a
+term out, are dropped before pairs are counted. The documents that hold a term are counted in
+the tasks before anything is shuffled; where the disclosing terms lie, a table of at most ``BUCKETS`` hash values drops the
 other words before they are shuffled.
 """
 
@@ -32,8 +33,9 @@ PATTERNS = {
 }
 #: What a text must hold for a kind to be worth looking for.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
-TERM = r"\p{L}{4,}"
-#: Words on each side of a find, taken from so many characters.
+TERM, LONG_TERM = r"\p{L}+", r"\p{L}{4,}"
+#: Words on each side of a find, taken from so many characters: those of any length, and as
+#: many of four letters and more.
 WIDTH, REACH = 6, 160
 MIN_CONTEXTS = 3
 GENERALISE, REMOVE = 0.75, 0.95
@@ -107,11 +109,11 @@ def contexts(docs, doc_id, text):
             return F.transform(p["found"], lambda f, i: F.struct(
                 F.concat(F.lit(f"{kind}:"), F.lower(f)).alias("entity"),
                 valid(kind, f).alias("valid"),
-                F.concat(
-                    let(F.regexp_extract_all(F.lower(F.right(p["gaps"][i], F.lit(REACH))), F.lit(TERM), F.lit(0)),
+                F.concat(*[side for term in (LONG_TERM, TERM) for side in (
+                    let(F.regexp_extract_all(F.lower(F.right(p["gaps"][i], F.lit(REACH))), F.lit(term), F.lit(0)),
                         lambda w: F.slice(w, F.greatest(F.size(w) - (WIDTH - 1), F.lit(1)), F.lit(WIDTH))),
-                    F.slice(F.regexp_extract_all(F.lower(F.left(p["gaps"][i + 1], F.lit(REACH))), F.lit(TERM), F.lit(0)),
-                            F.lit(1), F.lit(WIDTH))).alias("words")))
+                    F.slice(F.regexp_extract_all(F.lower(F.left(p["gaps"][i + 1], F.lit(REACH))), F.lit(term), F.lit(0)),
+                            F.lit(1), F.lit(WIDTH)))]).alias("words")))
         return let(pieces(F.coalesce(F.col(text), F.lit("")), PATTERNS[kind], HINTS[kind]), windows)
 
     some = F.coalesce(F.col(text).rlike("|".join(HINTS.values())), F.lit(False))
@@ -123,38 +125,51 @@ def disclosing_terms(docs, doc_id="doc_id", text="text", min_contexts=MIN_CONTEX
     """(term, disclosure): the terms that reveal some entity at least to ``threshold``, with
     the largest degree over all entities. ``None`` where no pair has enough contexts.
 
-    A pair needs ``min_contexts`` different windows, so copies of one text give no evidence.
-    Documents are counted by row.
+    Candidates are the terms in at least ``min_contexts`` different windows of the entity, and
+    those anywhere in as many of its documents with different words, so copies of one text give
+    no evidence. Either way p(e|t) is counted over whole documents. ``total`` and the documents
+    that hold a term are counted by row, pairs by id.
     """
     found = stored(contexts(docs, doc_id, text), "contexts")
     total = docs.count()
-    pairs = found.select("doc", "entity", F.xxhash64("words").alias("window"),
-                         F.explode(F.array_distinct("words")).alias("term"))
-
-    def different(what, name):
-        return pairs.select("entity", "term", what).distinct().groupBy("entity", "term").agg(F.count(what).alias(name))
-
-    met = pairs.groupBy("term").agg(F.count_distinct("doc").alias("holders"))
-    entities = stored(found.groupBy("entity").agg(F.count_distinct("doc").alias("docs")), "entities")
-
-    def degrees(rows, holders):
-        # A window may cut a word, so its rest can be met more often than it is held.
-        share = F.least(F.col("together") / F.col("holders"), F.lit(1.0))
-        degree = F.log2(share * total / F.col("docs")) / F.log2(total / F.col("docs"))
-        return rows.join(holders, "term").withColumn("disclosure", degree).where(F.col("disclosure") >= threshold)
-
-    # A term is held by all documents that have it in a window, so what falls short with
-    # those alone, as common words do, needs no count over the corpus.
-    pairs = (different("window", "windows").where(F.col("windows") >= min_contexts)
-             .join(different("doc", "together"), ["entity", "term"]).join(entities, "entity").where(F.col("docs") < total))
-    pairs = stored(degrees(pairs, met).select("entity", "term", "together", "docs"), "pairs")
-    if pairs.isEmpty():
+    owners = stored(found.select("doc", "entity").distinct(), "owners")
+    entities = stored(owners.groupBy("entity").agg(F.count("doc").alias("docs")).where(F.col("docs") < total), "entities")
+    if entities.isEmpty():
         return None
+
+    # With d documents of the entity, disclosure >= threshold asks for a term that at most
+    # d ** threshold * total ** (1 - threshold) documents hold; rounding stays on the safe side.
+    def most(d):
+        return F.pow(d, F.lit(threshold)) * F.pow(F.lit(float(total)), F.lit(1 - threshold)) * (1 + 1e-9)
+
+    limit = entities.agg(F.max(most(F.col("docs"))).alias("m")).first()["m"]
     # Every word is counted where it lies before the few candidates are picked.
-    counted = words_in(docs.select(text), text).groupBy("term").agg(F.count("*").alias("holders"))
-    # An inner join, which the optimizer leaves above the count.
-    holders = stored(counted.join(pairs.select("term").distinct(), "term"), "holders")
-    return stored(degrees(pairs, holders).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms")
+    holders = words_in(docs.select(text), text).groupBy("term").agg(F.count("*").alias("holders"))
+    holders = stored(holders, "holders")
+    # What most texts hold is dropped before words are shuffled: at most a hundred times the
+    # words of an average text.
+    common = holders.where((F.col("holders") > limit) & (F.col("holders") * 100 > total)).select("term")
+    rare = holders.where(F.col("holders") <= limit)
+    inside = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(
+        owners.select("doc").distinct(), "doc", "left_semi")
+    words = words_in(inside, "text").join(F.broadcast(common), "term", "left_anti").join(rare, "term")
+    # The same words are the same context, so a document has the hash of all that it holds.
+    content = inside.select("doc", F.xxhash64(F.array_sort(F.array_distinct(F.regexp_extract_all(
+        F.lower("text"), F.lit(TERM), F.lit(0))))).alias("content")).groupBy("doc").agg(F.min("content").alias("content"))
+    own = stored(owners.join(entities, "entity").join(content, "doc").withColumn("most", most(F.col("docs"))), "own")
+    near = (found.select("entity", F.xxhash64("words").alias("window"), F.explode(F.array_distinct("words")).alias("term"))
+            .distinct().groupBy("entity", "term").agg(F.count("window").alias("windows"))
+            .where(F.col("windows") >= min_contexts).select("entity", "term", F.lit(True).alias("near")))
+    # Ids that repeat are one document here.
+    both = (words.dropDuplicates(["doc", "term"]).join(own, "doc").where(F.col("holders") <= F.col("most"))
+            .groupBy("entity", "term").agg(F.count("doc").alias("together"), F.count_distinct("content").alias("contents"),
+                                           F.first("holders").alias("holders"), F.first("docs").alias("docs")))
+    share = F.col("together") / F.col("holders")
+    degree = F.log2(share * total / F.col("docs")) / F.log2(total / F.col("docs"))
+    degrees = (both.withColumn("disclosure", degree).where(F.col("disclosure") >= threshold).join(near, ["entity", "term"], "left")
+               .where((F.col("contents") >= min_contexts) | F.col("near")))
+    terms = stored(degrees.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms")
+    return None if terms.isEmpty() else terms
 
 
 def bucket(term):

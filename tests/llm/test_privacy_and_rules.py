@@ -76,6 +76,22 @@ def test_one_long_document_is_one_document(spark):
     assert found[0].count("email") == 60 and found[7] == []
 
 
+def test_terms_count_over_whole_documents(spark):
+    def filler(i, n=40):
+        return " ".join(f"{chr(97 + (i * k) % 26)}{chr(97 + (i + k) % 26)}filler" for k in range(n))
+
+    rows = [(i, f"Kim Quorvex {filler(i)} mail to ann@example.com") for i in range(5)]  # far from the find, and short
+    rows += [(10 + i, f"near {filler(i)}") for i in range(30)]
+    # met in four windows, held by nine documents more: of 13 with the term 13 hold the entity
+    rows += [(50 + i, f"Velmora {chr(97 + i) * 5} bob@example.com") for i in range(4)]
+    rows += [(60 + i, f"velmora {filler(i)} bob@example.com {filler(i + 3)}") for i in range(9)]
+    rows += [(100 + i, f"plain {filler(i)}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    terms = {r.term: r.disclosure for r in disclosure.disclosing_terms(docs).collect()}
+    assert terms["kim"] == pytest.approx(1) and terms["quorvex"] == pytest.approx(1) and terms["velmora"] == pytest.approx(1)
+    assert not {"plain", "near"} & set(terms)
+
+
 def test_sanitise(spark):
     docs = gossip(spark).withColumn("spans", F.lit(1)).withColumn("terms", F.lit("t"))
     out = disclosure.sanitise(docs)
