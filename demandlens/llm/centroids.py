@@ -5,7 +5,7 @@ anything else one blank), weighted by ln(1 + tf) * idf and scaled to length 1. D
 frequencies come from all training texts, as one row of counts per dimension. Each
 language's vectors are clustered by spherical k-means on a bounded sample, and a text goes
 to the language of the centroid with the largest cosine. A text whose distance to that
-centroid is beyond the language's radius is rejected.
+centroid is beyond the centroid's radius is rejected.
 
 Only the ``FEATURES`` document frequencies and the centroids reach the driver; their
 number is fixed by the parameters and the number of languages, which is checked.
@@ -30,11 +30,12 @@ SAMPLE = 1_000
 ROUNDS = 12
 #: A language needs a vector of FEATURES floats per centroid in every task.
 MAX_LANGUAGES = 500
-#: A language's radius is the distance of the sample text farthest from its centroid,
-#: times this, but always leaves more likeness than texts of foreign letters have by chance.
-SLACK = 1.25
+#: A centroid's radius is this quantile of the distances of all labelled texts that are nearest
+#: to it in their language, so odd or mislabelled ones do not widen it, times the slack. It
+#: always leaves more likeness than texts of foreign letters have by chance.
+QUANTILE, SLACK = 0.995, 1.1
 LEAST_COSINE = 0.08
-#: A language known from a few alike texts still takes others as near as this.
+#: A centroid known from a few alike texts still takes others as near as this.
 LEAST_RADIUS = 0.5
 UNDETERMINED = "und"
 DOCS_PER_STEP = 256
@@ -137,11 +138,36 @@ class Model:
     radius: np.ndarray
 
 
+def distances(labelled, idf, centres, languages):
+    """The ``QUANTILE`` of the distances of all rows (text, lang) to the nearest centroid of
+    their own language, per centroid; 0 for one that no row is nearest to."""
+    away = np.zeros(len(languages))
+    if not languages:
+        return away
+    shared = labelled.sparkSession.sparkContext.broadcast((idf, centres, np.array(languages)))
+
+    def each(batches):
+        idf, centres, languages = shared.value
+        for part in parts(batches, "text"):
+            own = np.array(part.column("lang").to_pylist())[:, None] == languages[None, :]
+            cosine = np.where(own, vectors(part.column("text"), idf) @ centres.T, -1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cosine.argmax(axis=1), pa.int64()), pa.array(1 - cosine.max(axis=1).astype(float))],
+                names=["c", "away"])
+
+    rows = (labelled.select("text", "lang").mapInArrow(each, "c bigint, away double").groupBy("c")
+            .agg(F.percentile_approx("away", QUANTILE).alias("away")).collect())  # at most one row per centroid
+    for r in rows:
+        away[r["c"]] = r["away"]
+    return away
+
+
 def train(docs, text="text", lang="lang", k=CENTROIDS, sample=SAMPLE):
     """A ``Model`` from the rows of ``docs`` with a text that has letters and a language.
 
     Document frequencies cover all those rows; clustering sees about ``sample`` rows per
-    language, taken by the hash of the text, so copies are taken or left together.
+    language, taken by the hash of the text, so copies are taken or left together. Radii
+    come from the distances of all those rows again.
     """
     labelled = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
@@ -152,16 +178,14 @@ def train(docs, text="text", lang="lang", k=CENTROIDS, sample=SAMPLE):
     total, seen = document_frequencies(labelled, "text")
     idf = (np.log((1 + total) / (1 + seen)) + 1).astype(np.float32)
     share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, sample / r["rows"]))]) if known else None
-    schema = StructType().add("lang", StringType()).add("centre", ArrayType(FloatType())).add("radius", DoubleType())
+    schema = StructType().add("lang", StringType()).add("centre", ArrayType(FloatType()))
 
     def cluster(rows):
         points = np.concatenate([vectors(pa.array(rows["text"][i:i + DOCS_PER_STEP], pa.string()), idf)
                                  for i in range(0, len(rows), DOCS_PER_STEP)])
         centres, own = spherical_kmeans(points, k)
-        away = 1 - (points * centres[own]).sum(axis=1)
         used = np.unique(own)
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centre": [centres[c].tolist() for c in used],
-                             "radius": float(away.max())})
+        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centre": [centres[c].tolist() for c in used]})
 
     found = []
     if known:
@@ -175,13 +199,14 @@ def train(docs, text="text", lang="lang", k=CENTROIDS, sample=SAMPLE):
             found += one.groupBy("lang").applyInPandas(cluster, schema).collect()
     found.sort(key=lambda r: (r["lang"], r["centre"]))
     centres = np.array([r["centre"] for r in found], np.float32).reshape(-1, FEATURES)
-    radius = np.clip(np.array([r["radius"] for r in found]) * SLACK, LEAST_RADIUS, 1 - LEAST_COSINE)
-    return Model(idf, centres, [r["lang"] for r in found], radius)
+    languages = [r["lang"] for r in found]
+    radius = np.clip(distances(labelled, idf, centres, languages) * SLACK, LEAST_RADIUS, 1 - LEAST_COSINE)
+    return Model(idf, centres, languages, radius)
 
 
 def identify(docs, model, text="text", names=("lang_pred", "score", "accepted")):
     """``docs`` plus the predicted language, the cosine to its nearest centroid (0 to 1),
-    and whether that is within the language's radius.
+    and whether that is within the centroid's radius.
 
     Text that is null or has no letter, or a model without languages, gives ``und``, 0
     and false. Equal cosines go to the language first in alphabetical order. ``names``

@@ -100,6 +100,26 @@ def test_language_is_learned_and_rejected(spark):
     assert not rows[7].accepted and all(0 <= r._score <= 1 for r in rows.values())
 
 
+def test_odd_training_rows_do_not_admit_another_language(spark):
+    draw = random.Random(9)
+    letters = {"aa": "aeiloumnst", "bb": "grkwzhbdut", "cc": "aeopyvcjqx"}
+    words = {k: ["".join(draw.choice(v) for _ in range(draw.choice([2, 4, 6]))) for _ in range(60)] for k, v in letters.items()}
+
+    def text(lang):
+        return " ".join(draw.choice(words[lang]) for _ in range(40))
+
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["aa", "bb"] * 400)]
+    rows += [(900, "cq", "aa"), (901, "xv", "bb")]  # odd texts among the labelled
+    model = centroids.train(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    test = spark.createDataFrame([(i, text(lang), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 40)],
+                                 "doc_id int, text string, lang string")
+    kept = {lang: 0 for lang in words}
+    for r in centroids.identify(test, model).where("accepted").collect():
+        assert r.lang_pred == r.lang or r.lang == "cc"
+        kept[r.lang] += 1
+    assert kept["aa"] >= 39 and kept["bb"] >= 39 and kept["cc"] <= 2
+
+
 def test_language_without_training_rows(spark):
     docs = labelled(spark).withColumn("lang", F.lit(None).cast("string"))
     out = centroids.identify(docs, centroids.train(docs))
