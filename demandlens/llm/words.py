@@ -16,6 +16,9 @@ NOT_BLANK[[9, 10, 11, 12, 13, 32]] = False
 ALPHANUMERIC = np.zeros(256, bool)
 ALPHANUMERIC[128:] = ALPHANUMERIC[ord("0"):ord("9") + 1] = ALPHANUMERIC[ord("a"):ord("z") + 1] = True
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
+
 LONG_WORD = 4096
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -29,17 +32,23 @@ def mix(x):
     return x ^ (x >> np.uint64(33))
 
 
+def text_bytes(texts):
+    """The UTF-8 bytes of a text array, one after another, and the bounds of its texts in
+    them. Null counts as empty; the array may be a slice."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return raw[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
 class Words:
     """``starts`` and ``ends`` of all words in ``data``; document i has the words
     ``first[i]`` up to ``first[i + 1]``. Null counts as empty."""
 
     def __init__(self, texts, inside=NOT_BLANK):
-        texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-        _, offsets, data = texts.buffers()
-        bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
-        raw = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
-        self.data = raw[bounds[0]:bounds[-1]]
-        self.bounds = bounds - bounds[0]
+        raw, bounds = text_bytes(texts)
+        self.data, self.bounds = LOWER[raw], bounds
         member = inside[self.data]
         fresh = self.bounds[self.bounds < len(member)]  # where a document begins
         before = np.empty_like(member)

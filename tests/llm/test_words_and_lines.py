@@ -33,6 +33,18 @@ def test_words_of_a_slice():
     assert np.array_equal(Words(whole.slice(2, 3)).counts(), Words(whole).counts()[2:5])
 
 
+@pytest.mark.parametrize("texts", [TEXTS, [t or "Q w" for t in TEXTS]])
+def test_words_of_every_slice(texts):
+    whole = pa.array(texts, pa.string())
+    for begin in range(len(texts)):
+        for size in range(len(texts) - begin + 1):
+            words, every = Words(whole.slice(begin, size)), Words(whole)
+            a, b = every.first[begin], every.first[begin + size]
+            assert [words.text(i) for i in range(len(words))] == [every.text(i) for i in range(a, b)]
+            assert np.array_equal(words.hashes(), every.hashes()[a:b])
+            assert np.array_equal(words.owners(), every.owners()[a:b] - begin)
+
+
 def test_steps_keep_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(TEXTS, pa.string())], names=["text"])
     parts = list(steps([batch], "text", 10))
