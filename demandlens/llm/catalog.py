@@ -1,6 +1,7 @@
 """Queries of this package over the given tables, and their SQL."""
 
-from demandlens.llm import cascade, centroids, disclosure, guess_cost, hidden_markov, hyperminhash, kneser_ney, line_runs, pieces, suffix_arrays
+from demandlens.llm import (alignment, cascade, centroids, disclosure, guess_cost, hash_tree, hidden_markov, hyperminhash,
+                            kneser_ney, line_runs, pieces, suffix_arrays, whitening)
 from demandlens.llm.frames import doc_bucket, table
 from pyspark.sql import functions as F
 
@@ -101,6 +102,29 @@ def op10_quality_rules(spark, sf_dir):
                           (~base_failed & cascade.verdict(conditions, order).isNull()).alias("kept"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    """Every sound embedding on the eight leading components, one row a component."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    rows = found.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "value"))
+    return rows.select(F.col("id").alias("vec_id"), (F.col("at") + 1).alias("component"), "n", "deviation",
+                       F.col("value.whitened").alias("whitened"), F.col("value.explained").alias("explained"),
+                       "identity_error")
+
+
+def op12_sharding(spark, sf_dir):
+    """The shard, slot and shard after growth of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = hash_tree.assigned(docs, hash_tree.production_tree(8), hash_tree.production_tree(9))
+    return found.select(F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+                        "grown_shard")
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    """Groups and links of two tokenizers over every document, with corpus-wide counts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs).withColumnRenamed("doc", "doc_id")
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
@@ -112,6 +136,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_sharding": op12_sharding,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE = {
