@@ -8,8 +8,9 @@ probability of the text. Baum-Welch counts are gathered on every partition and s
 class; scaled forward recursion gives the likelihood.
 
 Counts of words are exact and cover all training texts: the tasks cut the texts into chunks,
-number the words of a chunk, and shuffle one row per different word and chunk. What comes
-back to a chunk are the counts of its own words, never the vocabulary of the corpus.
+number the words of a chunk, and shuffle one narrow row per different word (its 64-bit hash)
+and chunk. What comes back to a chunk are the counts of its own words, never the vocabulary
+of the corpus.
 Only tables of the fixed size states x classes are collected or broadcast.
 """
 
@@ -20,10 +21,8 @@ import pyarrow as pa
 from demandlens.llm.frames import steps, stored
 from demandlens.llm.words import Words, mix
 from pyspark import TaskContext
-from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType,
-                               StringType, StructType)
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructType
 
 STATES = 8
 CLASSES = 1 << 14
@@ -61,25 +60,22 @@ def unpacked(data, size):
 
 
 def chunks(docs, doc_id, text, held_out):
-    """Per chunk of texts one row with its documents and one row per different word.
-
-    Document rows: chunk, ids, held, sizes (words per text), codes (word numbers of all texts,
-    packed) and classes (of each number, packed). Word rows: chunk, code, word, class and n,
-    its count in the texts that are not held out.
-    """
+    """One row per chunk of texts: chunk, ids, held, sizes (words per text), codes (word numbers
+    of all texts, packed), classes (of each number, packed), and by number the hash, class and
+    count (in the texts that are not held out) of each different word."""
     wanted = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"),
                          F.coalesce(held_out, F.lit(False)).alias("held"))
-    schema = (StructType().add("chunk", LongType()).add("code", IntegerType()).add("word", StringType())
-              .add("class", IntegerType()).add("n", LongType()).add("ids", ArrayType(wanted.schema["doc"].dataType))
+    schema = (StructType().add("chunk", LongType()).add("ids", ArrayType(wanted.schema["doc"].dataType))
               .add("held", ArrayType(BooleanType())).add("sizes", ArrayType(IntegerType()))
-              .add("codes", BinaryType()).add("classes", BinaryType()))
+              .add("codes", BinaryType()).add("classes", BinaryType()).add("hash", ArrayType(LongType()))
+              .add("class", ArrayType(IntegerType())).add("n", ArrayType(LongType())))
 
     def each(batches):
         chunk = TaskContext.get().partitionId() << 32
         for part in steps(batches, "text"):
             words, held = Words(part.column("text")), part.column("held").to_numpy(zero_copy_only=False)
-            _, first, inverse, counts = np.unique(words.hashes(), return_index=True, return_inverse=True,
-                                                  return_counts=True)
+            hashes, first, inverse, counts = np.unique(words.hashes(), return_index=True, return_inverse=True,
+                                                       return_counts=True)
             order = np.argsort(-counts, kind="stable")  # frequent words get small numbers
             number = np.empty(len(order), np.int64)
             number[order] = np.arange(len(order))
@@ -87,20 +83,15 @@ def chunks(docs, doc_id, text, held_out):
             kinds = word_classes(words, first)
             n = np.bincount(codes[~held[words.owners()]], minlength=len(first))
             chunk += 1
-            size = len(first)
-            one = pa.scalar(chunk, pa.int64())
-            nothing = [pa.nulls(size, t) for t in (pa.list_(part.schema.field("doc").type), pa.list_(pa.bool_()),
-                                                   pa.list_(pa.int32()), pa.binary(), pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.repeat(one, size), pa.array(np.arange(size), pa.int32()),
-                 pa.array([words.text(i) for i in first], pa.binary()).cast(pa.string()),
-                 pa.array(kinds, pa.int32()), pa.array(n, pa.int64()), *nothing], names=schema.names)
-            whole = pa.array([0, part.num_rows], pa.int32())
+
+            def one(values):
+                return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
             yield pa.RecordBatch.from_arrays(
-                [pa.repeat(one, 1), *(pa.nulls(1, t) for t in (pa.int32(), pa.string(), pa.int32(), pa.int64())),
-                 pa.ListArray.from_arrays(whole, part.column("doc")), pa.ListArray.from_arrays(whole, part.column("held")),
-                 pa.ListArray.from_arrays(whole, pa.array(words.counts(), pa.int32())),
-                 pa.array([packed(codes)], pa.binary()), pa.array([packed(kinds)], pa.binary())], names=schema.names)
+                [pa.array([chunk], pa.int64()), one(part.column("doc")), one(part.column("held")),
+                 one(pa.array(words.counts(), pa.int32())), pa.array([packed(codes)], pa.binary()),
+                 pa.array([packed(kinds)], pa.binary()), one(pa.array(hashes[order].view(np.int64))),
+                 one(pa.array(kinds, pa.int32())), one(pa.array(n, pa.int64()))], names=schema.names)
 
     return wanted.mapInArrow(each, schema)
 
@@ -287,13 +278,11 @@ def score(docs, held_out, doc_id="doc_id", text="text", rounds=ROUNDS):
     """
     spark = docs.sparkSession
     table = stored(chunks(docs, doc_id, text, held_out), "chunks")
-    documents = table.where("codes IS NOT NULL").select("chunk", "ids", "held", "sizes", "codes", "classes")
-    words = table.where("word IS NOT NULL").select("chunk", "code", "word", "class", "n")
-    own = Window.partitionBy("word")
-    counts = stored(words.select(
-        "chunk", "code", "class", F.sum("n").over(own).alias("c"),
-        (F.row_number().over(own.orderBy("chunk")) == 1).alias("once")), "word-counts")
-    by_class = counts.where("once AND c > 0").groupBy("class").agg(
+    documents = table.select("chunk", "ids", "held", "sizes", "codes", "classes")
+    words = table.select("chunk", F.posexplode(F.arrays_zip("hash", "class", "n")).alias("code", "x")).select(
+        "chunk", "code", F.col("x.hash").alias("hash"), F.col("x.class").alias("class"), F.col("x.n").alias("n"))
+    totals = stored(words.where("n > 0").groupBy("hash", "class").agg(F.sum("n").alias("c")), "word-totals")
+    by_class = totals.groupBy("class").agg(
         F.sum("c").alias("tokens"), F.count("*").alias("types")).toPandas()  # CLASSES rows at most
     ends = documents.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     tokens, types = np.zeros(END + 1), np.zeros(END + 1)
@@ -304,39 +293,24 @@ def score(docs, held_out, doc_id="doc_id", text="text", rounds=ROUNDS):
 
     train_tokens, vocabulary = int(tokens.sum()), int(types.sum())
     floor = train_tokens + 0.5 * (vocabulary + 1)
-    blank = [F.lit(None).cast(documents.schema[c].dataType).alias(c) for c in documents.columns[1:]]
-    # a chunk's word counts, then its documents, in one sorted run
-    run = (counts.select("chunk", F.lit(0).alias("role"), "code", "c", *blank)
-           .union(documents.select("chunk", F.lit(1), F.lit(None).cast("int"), F.lit(None).cast("long"),
-                                   *documents.columns[1:]))
-           .repartition("chunk").sortWithinPartitions("chunk", "role"))
+    # the counts of a chunk's own words; those that no training text has are not among them
+    own = (words.select(F.col("chunk").alias("at"), "code", "hash").join(totals.select("hash", "c"), "hash")
+           .select("at", "code", "c"))
     kind = docs.schema[doc_id].dataType
     schema = (StructType().add("doc", kind).add("held_out", BooleanType()).add("n_tokens", LongType())
               .add("n_known", LongType()).add("train_tokens", LongType()).add("base_score", DoubleType())
               .add("score", DoubleType()))
 
-    def each(batches):
-        model = shared.value
-        chunk, codes, found = None, [], []
-        for batch in batches:
-            numbers, roles = batch.column("chunk").to_numpy(), batch.column("role").to_numpy()
-            cuts = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(roles) != 0) | (roles[1:] == 1)) + 1
-            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if numbers[a] != chunk:
-                    chunk, codes, found = numbers[a], [], []
-                if roles[a] == 0:
-                    codes.append(batch.column("code")[a:b].to_numpy())
-                    found.append(batch.column("c")[a:b].to_numpy())
-                    continue
-                c = np.zeros(sum(map(len, codes)), np.int64)
-                for x, y in zip(codes, found):
-                    c[x] = y
-                row = batch.slice(a, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [row.column("ids").flatten(), row.column("held").flatten(),
-                     *scored(model, row.slice(0).to_pylist()[0], c, floor, train_tokens, ends)], names=schema.names)
-
-    return run.mapInArrow(each, schema)
+    def settle(chunk, counts):
+        row = chunk.select(["sizes", "codes", "classes"]).to_pylist()[0]
+        codes = unpacked(row["codes"], sum(row["sizes"]))
+        c = np.zeros(int(codes.max(initial=-1)) + 1, np.int64)
+        c[counts["code"].to_numpy()] = counts["c"].to_numpy()
+        return pa.Table.from_arrays(
+            [chunk["ids"].combine_chunks().flatten(), chunk["held"].combine_chunks().flatten(),
+             *scored(shared.value, row, c, floor, train_tokens, ends)], names=schema.names)
+
+    return documents.groupBy("chunk").cogroup(own.groupBy("at")).applyInArrow(settle, schema)
 
 
 def scored(model, row, c, floor, train_tokens, ends):
