@@ -4,7 +4,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -14,6 +14,7 @@ from ..fixed_values import FEATURES
 from ..functions.hashing import draw_long
 from ..functions.numbers import logistic
 from ..session import durable
+from .boosting import BoostedTreesModel, fit_boosted
 from .cohort import feature_frame
 from .ranking import running_total
 
@@ -75,25 +76,18 @@ def feature_stages(n_train, features=FEATURES):
     ]
 
 
-def candidates(n_train, rounds=200):
-    """Logistic regression with an L2 penalty of weight 1 on the summed loss,
-    and boosted trees, which end before ``rounds`` once the tenth of the training rows
-    that is marked ``is_check`` gains no more."""
-    return {
-        "logistic_regression": LogisticRegression(
-            labelCol="placed", maxIter=1000, tol=1e-9, regParam=1.0 / n_train, elasticNetParam=0.0,
-            standardization=False),
-        "boosted_trees": GBTClassifier(
-            labelCol="placed", maxIter=rounds, maxDepth=3, stepSize=0.1, seed=42,
-            checkpointInterval=-1, cacheNodeIds=True, validationIndicatorCol="is_check"),
-    }
+def logistic_learner(n_train):
+    """Logistic regression with an L2 penalty of weight 1 on the summed loss."""
+    return LogisticRegression(labelCol="placed", maxIter=1000, tol=1e-9, regParam=1.0 / n_train,
+                              elasticNetParam=0.0, standardization=False)
 
 
 def with_probability(model, df):
-    keep = df.columns
-    return (model.transform(df)
-            .withColumn("probability", F.get(vector_to_array("probability"), 1))
-            .select(*keep, "probability"))
+    keep = [c for c in df.columns if c != "probability"]
+    scored = model.transform(df)
+    if not isinstance(model.stages[-1], BoostedTreesModel):
+        scored = scored.withColumn("probability", F.get(vector_to_array("probability"), 1))
+    return scored.select(*keep, "probability")
 
 
 def model_scorer(model):
@@ -189,40 +183,48 @@ def logistic_gradient(training, scaling, learner, features=FEATURES):
     return training.sparkSession.createDataFrame(rows, "feature string, gradient double")
 
 
+def judged(held_out, scorers):
+    """The name of the scorer with the highest AUC on the held-out rows (a tie keeps the
+    first, an undefined AUC counts as none), and name -> auc, accuracy, report."""
+    results = {}
+    for name, scorer in scorers.items():
+        scored = durable(scorer(held_out))
+        counts = confusion(scored)
+        results[name] = {
+            "auc": auc(scored).first()["auc"],
+            "accuracy": accuracy(counts).first()["accuracy"],
+            "report": [r.asDict() for r in class_report(counts).orderBy("class").collect()],
+        }
+    return max(results, key=lambda n: -1.0 if results[n]["auc"] is None else results[n]["auc"]), results
+
+
 def train(df, features=FEATURES, rounds=200, rows_per_task=50_000):
     """Fit both candidates on 75 %, keep the one with the higher AUC on the
     held-out rows (a tie keeps the first). ``rows_per_task`` sets how many tasks the
-    training rows are worth, and with it the last bits of the fit."""
+    training rows are worth."""
     rows = complete_rows(df, features)
     check_classes(class_counts(rows))
-    # The boosting rounds read the training rows again and again.
+    # The fits read the training rows again and again.
     parts = durable(split(rows.select("student_id", *features, "placed")))
     training = parts.where(~F.col("is_test")).drop("is_test")
     held_out = parts.where(F.col("is_test")).drop("is_test")
     n_train = training.count()
+    tasks = max(1, math.ceil(n_train / rows_per_task))  # no more of them than the rows are worth
     scaling = Pipeline(stages=feature_stages(n_train, features)).fit(training)
-    # Hundreds of small jobs follow: no more tasks than the rows are worth.
-    check = F.pmod(draw_long(7, F.col("student_id")), F.lit(10)) == 0
-    ready = (scaling.transform(training).select("features", "placed", check.alias("is_check"))
-             .coalesce(max(1, math.ceil(n_train / rows_per_task))).persist())
-    results, models = {}, {}
-    for name, learner in candidates(n_train, rounds).items():
-        models[name] = PipelineModel(stages=[*scaling.stages, learner.fit(ready)])
-        scored = durable(with_probability(models[name], held_out))
-        counts = confusion(scored)
-        results[name] = {
-            "auc": auc(scored).first()["auc"],
-            "accuracy": accuracy(counts).first()["accuracy"],
-            "report": [r.asDict() for r in class_report(counts).orderBy("class").collect()],
-        }
+    ready = scaling.transform(training).select("features", "placed").coalesce(tasks).persist()
+    models = {"logistic_regression": PipelineModel(stages=[*scaling.stages, logistic_learner(n_train).fit(ready)])}
     ready.unpersist()
-    best = max(results, key=lambda n: -1.0 if results[n]["auc"] is None else results[n]["auc"])
+    # splits of trees depend on the order of values only, so these need no scaling
+    models["boosted_trees"] = PipelineModel(stages=[fit_boosted(training, features, rounds=rounds, tasks=tasks)])
+    best, results = judged(held_out, {n: model_scorer(m) for n, m in models.items()})
     return Trained(best, models[best], results, importances(models[best], features))
 
 
 def importances(model, features=FEATURES):
-    """Signed coefficients of a logistic model, gains of trees."""
+    """Signed coefficients of a logistic model, shares of the mean gain of trees."""
     last = model.stages[-1]
+    if isinstance(last, BoostedTreesModel):
+        return dict(zip(features, last.importances()))
     values = last.coefficients if hasattr(last, "coefficients") else last.featureImportances
     return dict(zip(features, [float(v) for v in values.toArray()]))
 

@@ -7,9 +7,10 @@ rounded, so that results can be compared by value.
 from functools import reduce
 
 from pyspark.ml import Pipeline
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..fixed_values import STUDENT_NUMERIC
+from ..fixed_values import FEATURES, STUDENT_NUMERIC
 from ..functions.lists import join_skills, split_skills
 from ..operators import cohort as C
 from ..operators import demand as D
@@ -20,6 +21,7 @@ from ..operators import ranking as R
 from ..operators import search as S
 from ..operators import validate as V
 from ..operators import whatif as H
+from ..operators.boosting import fit_boosted
 from ..session import durable, scratch_path
 from ..sinks.messages import postings_to_messages, send_to_folder
 from ..sinks.tables import PUBLISHED, export_csv, publish, write_table
@@ -539,7 +541,7 @@ def scaler_stats(spark, sf_dir):
 def logistic_optimum(spark, sf_dir):
     """The gradient at the fitted weights over all training rows; 0 at the optimum."""
     training, n, scaling = _scaled(spark, sf_dir)
-    found = P.logistic_gradient(training, scaling, P.candidates(n)["logistic_regression"])
+    found = P.logistic_gradient(training, scaling, P.logistic_learner(n))
     return found.withColumn("gradient", F.round("gradient", 3) + F.lit(0.0))
 
 
@@ -552,6 +554,35 @@ def train_split(spark, sf_dir):
     return P.split(rows).select("student_id", "placed", "is_test")
 
 
+def model_choice(spark, sf_dir):
+    """Two fixed scorers judged on the labelled documents, one row per model and measure."""
+    steps = F.floor(F.col("n_chars") / 200) * 0.2 - 2.0
+    held_out = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("placed")).join(
+        table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+    best, results = P.judged(held_out, {
+        "long_texts": lambda df: df.withColumn("probability", 1.0 / (1.0 + F.exp(-steps))),
+        "short_texts": lambda df: df.withColumn("probability", 1.0 / (1.0 + F.exp(steps)))})
+    long = P.metrics_long(P.metrics_table(spark, P.Trained(best, None, results)))
+    return _six(long, "value").withColumn("selected", F.col("model") == best)
+
+
+def importance_order(spark, sf_dir):
+    """Means of the training rows as weights of a model, by size."""
+    training = _scaled(spark, sf_dir)[0]
+    means = training.agg(*[F.round(F.avg(f), 6).alias(f) for f in FEATURES]).first().asDict()
+    shown = P.importance_table(spark, P.Trained("means", None, importances={f: 1.0 - m for f, m in means.items()}))
+    return _six(shown.withColumn("place", F.row_number().over(W.orderBy("size", "feature"))), "weight", "size")
+
+
+def boosted_stump(spark, sf_dir):
+    """The first split of the boosted trees over all training rows."""
+    training = _scaled(spark, sf_dir)[0]
+    tree = fit_boosted(training, FEATURES, rounds=1, depth=1).grown()
+    rows = [(FEATURES[t["feature"][0]], t["threshold"][0], *t["value"], t["gain"][0]) for t in tree]
+    return _six(spark.createDataFrame(rows, "feature string, threshold double, below double, above double, gain double"),
+                "threshold", "below", "above", "gain")
+
+
 def train_best(spark, sf_dir):
     """Both candidates fitted; one row per model and measure."""
     trained = P.train(OrderWorld(spark, sf_dir).features)
@@ -572,4 +603,5 @@ QUERIES = {f.__name__: f for f in (
     text_market, external_postings, external_students, csv_round_trip, students_csv, stage_tables,
     intervention_csv, published_tables, student_lookup, validation_report,
     numeric_coercion, dup_ids, seq_ids, prepared_postings, random_sample, auc_exact, accuracy,
-    class_report, class_guard, scaler_stats, logistic_optimum, placement_rate, train_split, train_best)}
+    class_report, class_guard, scaler_stats, logistic_optimum, placement_rate, train_split, model_choice, importance_order,
+    boosted_stump, train_best)}

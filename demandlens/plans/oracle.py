@@ -415,6 +415,41 @@ ORACLE = {
         f"FROM students)") +
     "SELECT student_id, placed, rn - 1 < round(n * 0.25) AS is_test FROM o",
 }
+_MODELS = " UNION ALL ".join(
+    f"SELECT '{name}' AS model, '{label}' AS label, placed, 1.0::DOUBLE / (1.0::DOUBLE + exp({sign}(floor(n_chars / 200) "
+    f"* 0.2::DOUBLE - 2.0::DOUBLE))) AS p FROM labels JOIN documents USING (doc_id), LATERAL (SELECT quality AS placed)"
+    for name, label, sign in (("long_texts", "Long Texts", "-"), ("short_texts", "Short Texts", "")))
+ORACLE["model_choice"] = _with(
+    f"scored AS ({_MODELS})",
+    "v AS (SELECT model, p, count(*) FILTER (placed = 1) AS pos, count(*) FILTER (placed = 0) AS neg FROM scored "
+    "GROUP BY ALL)",
+    "r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING), 0) AS below FROM v)",
+    "a AS (SELECT model, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM r GROUP BY model)",
+    "m AS (SELECT model, label, auc, avg(CASE WHEN (p > 0.5) = (placed = 1) THEN 1.0 ELSE 0.0 END::DOUBLE) AS accuracy "
+    "FROM scored JOIN a USING (model) GROUP BY ALL)",
+    "best AS (SELECT model AS chosen FROM m ORDER BY auc DESC, model LIMIT 1)") + (
+    "SELECT model, metric, round(value, 6) + 0.0 AS value, label, model = chosen AS selected FROM ("
+    "SELECT model, label, 'auc' AS metric, auc AS value FROM m UNION ALL "
+    "SELECT model, label, 'accuracy', accuracy FROM m), best")
+ORACLE["importance_order"] = _with(*_TRAINING, "w AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 1.0 - round(avg({c}), 6) AS weight FROM training" for c in FEATURES) + ")") + (
+    "SELECT feature, round(weight, 6) + 0.0 AS weight, round(abs(weight), 6) + 0.0 AS size, "
+    "(row_number() OVER (ORDER BY abs(weight), feature))::INT AS place FROM w")
+_SHARES = "[" + ", ".join(f"{i / 256}" for i in range(1, 256)) + "]"
+ORACLE["boosted_stump"] = _with(
+    *_TRAINING, "t AS (SELECT *, avg(placed) OVER () - placed AS g, avg(placed) OVER () * (1 - avg(placed) OVER ()) AS h "
+    "FROM training)",
+    "s AS (" + " UNION ALL ".join(
+        f"SELECT {i} AS place, '{c}' AS feature, cut, x, g, h FROM (SELECT {c}::DOUBLE AS x, g, h FROM t), "
+        f"(SELECT DISTINCT unnest(quantile_disc({c}::DOUBLE, {_SHARES})) AS cut FROM t) WHERE cut < "
+        f"(SELECT max({c}) FROM t)" for i, c in enumerate(FEATURES)) + ")",
+    "c AS (SELECT place, feature, cut, coalesce(sum(g) FILTER (x <= cut), 0) AS gl, sum(h) FILTER (x <= cut) AS hl, "
+    "coalesce(sum(g) FILTER (x > cut), 0) AS gr, sum(h) FILTER (x > cut) AS hr FROM s GROUP BY ALL)") + (
+    "SELECT feature, round(cut, 6) + 0.0 AS threshold, round(-0.1::DOUBLE * gl / (hl + 1), 6) + 0.0 AS below, "
+    "round(-0.1::DOUBLE * gr / (hr + 1), 6) + 0.0 AS above, "
+    "round(gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1), 6) + 0.0 AS gain "
+    "FROM c WHERE hl >= 1 AND hr >= 1 ORDER BY round(gl * gl / (hl + 1) + gr * gr / (hr + 1), 6) DESC, place, cut LIMIT 1")
 ORACLE["stream_extract"] = ORACLE["process_messages"]
 ORACLE["mentions_by_join"] = ORACLE["skill_mentions"]
 ORACLE["skill_gaps_long"] = ORACLE["skill_gaps"]

@@ -51,13 +51,14 @@ def read_csv(spark, path, columns=None, multi_line=False):
 
 
 def typed_columns(df, schema, lists):
-    """Cast text columns to the schema; columns the file lacks become null."""
+    """Cast text columns to the schema; columns the file lacks become null. ``lists`` makes a list
+    of a cell, also of a missing one."""
     def column(field):
         if field.name not in df.columns:
             return F.lit(None).cast(field.dataType).alias(field.name)
         value = F.col(field.name)
         if isinstance(field.dataType, T.ArrayType):
-            return F.when(value.isNotNull(), lists(value)).alias(field.name)
+            return lists(value).alias(field.name)
         if isinstance(field.dataType, T.NumericType):
             return nan_to_null(number_or_null(value)).cast(field.dataType).alias(field.name)
         return value.cast(field.dataType).alias(field.name)
@@ -65,10 +66,13 @@ def typed_columns(df, schema, lists):
 
 
 def postings_from_csv(spark, path, multi_line=False):
-    return typed_columns(read_csv(spark, path, multi_line=multi_line), POSTINGS, split_skills)
+    """A posting without a list of true skills is unlabelled: its list is null."""
+    return typed_columns(read_csv(spark, path, multi_line=multi_line), POSTINGS,
+                         lambda v: F.when(v.isNotNull(), split_skills(v)))
 
 
 def students_from_csv(spark, path, multi_line=False):
-    """Ids stay text. Skill lists keep every non-blank element."""
+    """Ids stay text. Skill lists keep every non-blank element; a student without a cell has
+    no skills, an empty list."""
     return typed_columns(read_csv(spark, path, multi_line=multi_line), STUDENTS,
                   lambda v: split_cells(v, trim=True))

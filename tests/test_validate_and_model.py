@@ -113,7 +113,7 @@ def test_linear_form_equals_the_pipeline(spark):
     from pyspark.ml import Pipeline
     df = learnable(spark)
     n = df.count()
-    model = Pipeline(stages=[*P.feature_stages(n), P.candidates(n)["logistic_regression"]]).fit(df)
+    model = Pipeline(stages=[*P.feature_stages(n), P.logistic_learner(n)]).fit(df)
     both = P.model_scorer(model)(df).select("student_id", F.col("probability").alias("q")).join(
         P.with_probability(model, df), "student_id")
     assert both.agg(F.max(F.abs(F.col("probability") - F.col("q")))).first()[0] < 1e-9
