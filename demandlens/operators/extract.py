@@ -18,6 +18,7 @@ from ..functions.lists import or_empty
 from ..functions.lookup import lookup
 from ..functions.sizing import fetch_small
 from ..functions.text import phrase_key, tokens
+from .sieve import bitmap, sieved, token_hashes
 
 INLINE_PHRASES = 4096
 
@@ -188,16 +189,30 @@ def _with_lists(df):
                 F.transform("mentions", lambda m: m["category"])))))
 
 
+def candidates(postings, taxonomy, text):
+    """(_digest, start, end, n, raw) of the token runs of each text that may be a phrase: all
+    that are one, and at most one in sixteen of the others while the bitmap has its full size."""
+    bits, lengths = bitmap(phrase_table(taxonomy), "phrase")
+    hashed = postings.select(F.md5(text).alias("_digest"), F.col(text).alias("_text"),
+                             token_hashes(F.col(text)).alias("_hashes"))
+    spans = sieved(hashed, "_hashes", "_spans", bits, lengths)
+    grams = _bind(tokens(F.col("_text")), lambda toks: F.transform("_spans", lambda s: F.struct(
+        s["start"].alias("start"), (s["start"] + s["n"]).alias("end"), s["n"].alias("n"),
+        F.array_join(F.slice(toks, s["start"] + 1, s["n"]), " ").alias("raw"))))
+    return spans.select("_digest", F.inline_outer(grams))
+
+
 def _extract_by_join(postings, taxonomy, text):
     """The same result for a vocabulary too large for the plan.
 
-    All n-grams meet the phrase table in one equi-join; Spark chooses the
-    strategy. Matched spans are grouped by a digest of their text, so copies of
+    Token runs that pass a bitmap of the vocabulary meet the phrase table in one equi-join;
+    Spark chooses the strategy. So what is shuffled is in proportion to the matches, not to
+    the texts. Matched spans are grouped by a digest of their text, so copies of
     a text, however many, fall together before the shuffle, and a group is
     never larger than one text. Ids need not be unique.
     """
     table = phrase_table(taxonomy)
-    lengths = sorted(r["n"] for r in table.select("n").distinct().collect())
+    lengths = [r["n"] for r in table.select("n").distinct().collect()]
     names = (table.withColumn("at", F.struct("category_pos", "skill_pos"))
              .groupBy("key").agg(
                  F.max_by(F.struct("skill", F.coalesce("category", F.lit(OTHER_CATEGORY))
@@ -205,15 +220,7 @@ def _extract_by_join(postings, taxonomy, text):
                  F.max(~F.col("case_sensitive")).alias("any_case"),
                  F.collect_set(F.when(F.col("case_sensitive"), F.col("phrase"))).alias("exact")))
 
-    def grams(toks):
-        every = F.flatten(F.transform(toks, lambda _, i: F.transform(
-            F.array(*[F.lit(n) for n in lengths]), lambda n: F.struct(
-                i.alias("start"), (i + n).alias("end"), n.alias("n"),
-                F.array_join(F.slice(toks, i + 1, n), " ").alias("raw")))))
-        return F.filter(every, lambda g: g["end"] <= F.size(toks))
-
-    keyed = postings.withColumn("_digest", F.md5(text))
-    hits = (keyed.select("_digest", F.inline_outer(_bind(tokens(F.col(text)), grams)))
+    hits = (candidates(postings, taxonomy, text)
             .withColumn("key", F.lower("raw")).join(names, "key")
             .where(F.col("any_case") | F.array_contains("exact", F.col("raw"))))
     reach = max(lengths, default=1) * max(len(lengths), 1)
@@ -226,6 +233,7 @@ def _extract_by_join(postings, taxonomy, text):
                            F.element_at("names", m["key"])["skill"].alias("skill"),
                            F.element_at("names", m["key"])["category"].alias("category")))
     empty = F.array().cast("array<struct<first_pos:int,skill:string,category:string>>")
+    keyed = postings.withColumn("_digest", F.md5(text))
     return _with_lists(keyed.join(found.select("_digest", mentions.alias("mentions")), "_digest", "left")
                        .withColumn("mentions", F.coalesce("mentions", empty)).drop("_digest"))
 

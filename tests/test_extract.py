@@ -74,6 +74,34 @@ def test_large_vocabulary_takes_the_join_path(spark, taxonomy, monkeypatch):
     assert result.first()["extracted_skills"] == ["Python", "Docker"]
 
 
+def test_only_what_may_match_leaves_the_row(spark):
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    vocabulary = sorted({" ".join(draw.choices(words, k=draw.choice([1, 2, 2, 3]))) for _ in range(6000)})
+    table = taxonomy_table(spark, {"all": vocabulary})
+    texts = [" ".join(draw.choices(words, k=200)) for _ in range(50)] + ["nothing of it", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "posting_id int, description string")
+    known, wanted = {v.lower() for v in vocabulary}, 0
+    for t in texts[:50]:
+        toks = t.split()
+        wanted += sum(" ".join(toks[i:i + n]) in known for n in (1, 2, 3) for i in range(len(toks) - n + 1))
+    passed = X.candidates(df, table, "description")
+    assert wanted <= passed.count() <= wanted + 0.08 * 3 * 200 * 50
+    assert passed.where(F.lower("raw").isin(list(known)[:2000])).count() > 0
+    rows = X._extract_by_join(df, table, "description").collect()
+    assert len(rows) == 52
+    for r in rows:
+        toks = (texts[r.posting_id] or "").split()
+        spans = sorted(((-n, i) for n in (1, 2, 3) for i in range(len(toks) - n + 1)
+                        if " ".join(toks[i:i + n]) in known))
+        taken, names = set(), []
+        for n, i in spans:
+            if not taken & set(range(i, i - n)):
+                taken |= set(range(i, i - n))
+                names.append((i, " ".join(toks[i:i - n])))
+        assert r.extracted_skills == list(dict.fromkeys(n for _, n in sorted(names)))
+
+
 def test_join_path_with_repeated_ids_and_copies(spark, taxonomy):
     rows = [("x", "Python")] * 20 + [("x", "Docker"), (None, "Go"), (None, "Python and Go")]
     df = spark.createDataFrame(rows, "posting_id string, description string")
