@@ -28,6 +28,7 @@ from ..sinks.tables import PUBLISHED, export_csv, publish, write_table
 from ..sources.external import normalise_postings, normalise_students
 from ..sources.messages import decode, folder_stream
 from ..sources.tables import postings_from_csv, read_csv, students_from_csv
+from ..streaming.demand import running_demand, start_demand
 from ..streaming.extraction import process_postings, start_extraction
 from ..taxonomy import taxonomy_table
 from .pipeline import run_pipeline
@@ -97,6 +98,26 @@ def stream_extract(spark, sf_dir):
     return spark.read.parquet(out).drop("description")
 
 
+def _streamed_demand(spark, sf_dir, role=None):
+    """Demand over two runs of one stream; the second goes on from the first's state."""
+    inbox, out, mark = (scratch_path(spark, n) for n in ("inbox", "demand", "progress"))
+    postings = document_postings(spark, sf_dir)
+    late = F.pmod(F.crc32(F.col("posting_id").cast("string").cast("binary")), F.lit(2)) == 1
+    for arrived in (postings.where(~late), postings.where(late)):
+        send_to_folder(postings_to_messages(arrived), inbox, "append")
+        stream = X.extract_skills(folder_stream(spark, inbox, files_per_trigger=8), document_taxonomy(spark))
+        start_demand(stream, out, mark, role).awaitTermination()
+    return running_demand(spark, out)
+
+
+def stream_demand(spark, sf_dir):
+    return _six(_streamed_demand(spark, sf_dir), "pct_postings")
+
+
+def stream_demand_by_role(spark, sf_dir):
+    return _six(_streamed_demand(spark, sf_dir, "e"), "pct_postings")
+
+
 def split_text_cells(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.size(split_skills("text")).alias("n_parts"),
@@ -592,7 +613,7 @@ def train_best(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     skill_mentions, mentions_by_join, posting_skills, market_demand, demand_by_role, market_kpis, messages_json,
-    process_messages, stream_extract, split_text_cells, market_demand_ranked, top_skills,
+    process_messages, stream_extract, stream_demand, stream_demand_by_role, split_text_cells, market_demand_ranked, top_skills,
     scaled_demand, demand_rollup, demand_with_category, skill_gaps, skill_gaps_long, category_coverage_long, alignment, off_market, gap_detail,
     category_coverage, cohort_coverage, feature_frame, score_cohort, alignment_scatter,
     unscored_cohort, tier_counts, cohort_kpis, prob_histogram, percentile, price_percentile,

@@ -451,6 +451,8 @@ ORACLE["boosted_stump"] = _with(
     "round(gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1), 6) + 0.0 AS gain "
     "FROM c WHERE hl >= 1 AND hr >= 1 ORDER BY round(gl * gl / (hl + 1) + gr * gr / (hr + 1), 6) DESC, place, cut LIMIT 1")
 ORACLE["stream_extract"] = ORACLE["process_messages"]
+ORACLE["stream_demand"] = ORACLE["market_demand"]
+ORACLE["stream_demand_by_role"] = ORACLE["demand_by_role"]
 ORACLE["mentions_by_join"] = ORACLE["skill_mentions"]
 ORACLE["skill_gaps_long"] = ORACLE["skill_gaps"]
 ORACLE["category_coverage_long"] = ORACLE["category_coverage"]

@@ -29,5 +29,5 @@ def send_to_topic(messages, servers, topic):
      .option("topic", topic).save())
 
 
-def send_to_folder(messages, path):
-    messages.select("value").write.mode("overwrite").text(path)
+def send_to_folder(messages, path, mode="overwrite"):
+    messages.select("value").write.mode(mode).text(path)

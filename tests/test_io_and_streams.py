@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 
 from demandlens.functions.lists import ordered_union, split_cells, split_skills
 from demandlens.fixed_values import PROCESSED_FIELDS
+from demandlens.operators.demand import market_demand, market_demand_for_role
+from demandlens.operators.extract import extract_skills
 from demandlens.plans import pipeline as L
 from demandlens.schemas import GAPS, POSTINGS
 from demandlens.sinks import messages as M
 from demandlens.sinks import tables as K
 from demandlens.sources import external, messages, tables, uploads
 from demandlens.streaming import extraction as E
+from demandlens.streaming.demand import running_demand, start_demand
 from demandlens.taxonomy import taxonomy_table
 
 
@@ -177,6 +180,31 @@ def test_stream_with_a_vocabulary_beyond_the_plan(spark, tmp_path, monkeypatch):
     assert got == {"1": "word7 tail;Python", "2": ""}
 
 
+def test_running_demand_equals_batch_demand_after_restarts(spark, taxonomy, tmp_path):
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    rows = [(str(i), "Data Engineer" if i % 3 else None, "c", t) for i, t in enumerate(
+        ["Python and SQL", "python", None, "", "Docker, Python", "none of it"] * 4)]
+    posts = spark.createDataFrame(rows, "posting_id string, title string, company string, description string")
+    whole = extract_skills(posts, taxonomy)
+    for part in range(4):
+        M.postings_to_messages(posts.where(F.col("posting_id").cast("int") % 4 == part)).select("value").coalesce(
+            2).write.mode("append").text(inbox)
+        stream = extract_skills(messages.folder_stream(spark, inbox, files_per_trigger=1), taxonomy)
+        start_demand(stream, out, mark).awaitTermination()
+        start_demand(stream, out + "-role", mark + "-role", role="engineer").awaitTermination()
+    assert sorted(running_demand(spark, out).collect()) == sorted(
+        market_demand(whole).select(*running_demand(spark, out).columns).collect())
+    by_role = market_demand_for_role(whole, "engineer")
+    assert sorted(running_demand(spark, out + "-role").select(*by_role.columns).collect()) == sorted(by_role.collect())
+    # the stored results of an extraction stream do as well
+    E.start_extraction(messages.folder_stream(spark, inbox), taxonomy, out + "-rows", mark + "-rows").awaitTermination()
+    table = spark.read.parquet(out + "-rows")
+    again = spark.readStream.schema(table.schema).parquet(out + "-rows").withColumn(
+        "extracted_skills", F.split("extracted_skills", ";"))
+    start_demand(again, out + "-two", mark + "-two").awaitTermination()
+    assert sorted(running_demand(spark, out + "-two").collect()) == sorted(running_demand(spark, out).collect())
+
+
 def test_list_columns_travel_as_text(spark):
     df = spark.createDataFrame([("1", ["A", "B"]), ("2", None)], "posting_id string, true_skills array<string>")
     back = {r.posting_id: r.true_skills for r in messages.decode(M.postings_to_messages(df)).collect()}
