@@ -27,6 +27,7 @@ P, MANTISSA = 8, 10
 #: Bands of ROWS registers. At similarity 0.8 a pair misses all bands with
 #: probability (1 - 0.8**6)**42, about 3 in a million.
 ROWS, BANDS = 6, 42
+LEAST_PERCENT = 80
 #: Standard deviations that the estimate may fall short of the threshold.
 MARGIN = 5
 #: Buckets up to this size are settled by pairs, larger ones in blocks.
@@ -236,12 +237,9 @@ def linked(docs, classes, members, size, percent, doc_id, text):
 
 def grown(roots, edges):
     """(node, root) after adding edges (u, v) to known components (``None``: no one yet)."""
-    edges = stored(edges, "links", SETS_IN_FLIGHT)
     if roots is not None:
-        if edges.isEmpty():
-            return roots
         edges = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(edges)
-    return stored(components(edges), "roots")
+    return stored(components(edges, SETS_IN_FLIGHT), "roots")
 
 
 def with_root(rows, roots, node, name):
@@ -358,8 +356,11 @@ def near_duplicates(docs, size=5, percent=80, doc_id="doc_id", text="text"):
     whether the row's id is that one. Rows with equal sets are linked. Null text and text
     without words have no shingles and are linked with nothing. Ids may repeat (each row
     is answered for itself) or be null (such a row takes the smallest known id of its
-    component, null if there is none, and is kept only then). No rows in, no rows out.
+    component, null if there is none, and is kept only then). No rows in, no rows out. The
+    bands find pairs of 80 percent and more; a lower ``percent`` is refused.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"the bands are laid out for {LEAST_PERCENT} percent and more")
     signed = stored(signatures(docs, size, doc_id, text), "signatures")
     classes = (signed.where("node IS NOT NULL").groupBy("node")
                .agg(F.min("doc").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"),
