@@ -1,26 +1,32 @@
 """Line dedup by levelled sorted runs of line hashes.
 
-A run is a table (key, docs, last) sorted by key: in how many documents a line key
-occurs and the largest document id that holds it. A new batch of documents is joined
-with the live runs by key, which tells its new lines from the known ones, and is then
-added as a run of its own. When a level has ``fanout`` runs they are merged into one run
-of the next level, so a line is rewritten once per level. Nothing but hashes and ids is
-joined or sorted; the texts move once, to meet the list of lines that they lose.
+A run is a table (key, docs, last) sorted by key: in how many documents of its batch a line
+key occurs and the largest document id that holds it. Each new batch is merge-anti-joined
+with the live runs, and what no run holds becomes a run of its own; so a key lives in one run
+only. What the runs do hold is kept apart as repeats, to be added at the end. When a level
+has ``fanout`` runs they are compacted into one run of the next level, so a line is rewritten
+once per level. Nothing but hashes and ids is joined or sorted; the texts move once, to meet
+the list of lines that they lose.
 
 Keys are 128-bit hashes of the stripped, lower-cased line.
 """
 
+from functools import reduce
+
 import pyarrow as pa
 import xxhash
-from demandlens.llm.frames import BLANKS, as_bytes, fresh, steps
+from demandlens.llm.frames import BLANKS, as_bytes, fresh, steps, stored
 from demandlens.session import scratch_path
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType
 
 MIN_POINTS = 20
 MIN_DOCS = 3
-BATCHES = 2
-FANOUT = 4
+BATCHES = 3
+FANOUT = 2
+#: A line with more than one in so many (document, line) pairs is hot.
+HOT = 1_000
 STRIP = BLANKS.encode()
 
 
@@ -54,10 +60,10 @@ def line_keys(docs, doc_id="doc_id", text="text", min_points=MIN_POINTS):
 
 
 class LineRuns:
-    """The runs of all levels, as sorted tables in the shared folder."""
+    """The runs of all levels, as sorted tables in the shared folder, and the repeats."""
 
     def __init__(self, spark, fanout=FANOUT):
-        self.spark, self.fanout, self.levels = spark, fanout, []
+        self.spark, self.fanout, self.levels, self.repeats = spark, fanout, [], []
 
     def _write(self, run, level):
         path = scratch_path(self.spark, f"lines-level{level}")
@@ -70,35 +76,39 @@ class LineRuns:
         return [p for level in self.levels for p in level]
 
     def read(self):
-        """All live runs, one row per key and run; ``None`` before the first batch."""
+        """All live runs, one row per key; ``None`` before the first batch."""
         paths = self.runs()
         return self.spark.read.parquet(*paths) if paths else None
 
     def new_keys(self, rows):
-        """The (doc, key) rows whose key no live run holds."""
+        """The rows with a key that no live run holds."""
         known = self.read()
-        return rows if known is None else rows.join(known.select("key"), "key", "left_anti")
+        return rows if known is None else rows.join(known.select("key").hint("merge"), "key", "left_anti")
 
     def add(self, rows):
         """Add a batch of (doc, key) rows. A document must not return in a later batch."""
         once = rows.groupBy("key", "doc").agg(F.lit(1).alias("one"))
-        self._write(once.groupBy("key").agg(F.count("one").alias("docs"), F.max("doc").alias("last")), 0)
+        own = stored(once.groupBy("key").agg(F.count("one").alias("docs"), F.max("doc").alias("last")), "line-batch")
+        known = self.read()
+        if known is not None:
+            self.repeats.append(stored(own.join(known.select("key").hint("merge"), "key", "left_semi"), "line-repeats"))
+        self._write(self.new_keys(own), 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
-            self._merge(self.levels[level], level + 1)
-            self.levels[level] = []
+            full, self.levels[level] = self.levels[level], []
+            self._write(self.spark.read.parquet(*full), level + 1)
             level += 1
 
-    def _merge(self, paths, level):
-        self._write(merged(self.spark.read.parquet(*paths)), level)
-
-    def compacted(self):
-        """One row per key over all runs."""
-        return merged(self.read())
-
-
-def merged(runs):
-    return runs.groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    def compacted(self, least=1):
+        """One row per key that ``least`` documents hold, over all runs and repeats."""
+        alone = self.read()
+        if not self.repeats:
+            return alone.where(F.col("docs") >= least)
+        again = reduce(DataFrame.union, self.repeats).groupBy("key").agg(
+            F.sum("docs").alias("more"), F.max("last").alias("later"))
+        both = alone.join(again, "key", "left")
+        docs = F.col("docs") + F.coalesce("more", F.lit(0))
+        return both.where(docs >= least).select("key", docs.alias("docs"), F.greatest("last", "later").alias("last"))
 
 
 def dedup_lines(docs, doc_id="doc_id", text="text", min_points=MIN_POINTS, min_docs=MIN_DOCS,
@@ -120,9 +130,13 @@ def dedup_lines(docs, doc_id="doc_id", text="text", min_points=MIN_POINTS, min_d
     runs = LineRuns(spark, fanout)
     for i in range(batches):
         runs.add(rows.where(F.col("batch") == i))
-    repeated = runs.compacted().where(F.col("docs") >= min_docs)
+    repeated = stored(runs.compacted(min_docs), "repeated-lines")
     drops, owner = (fresh(docs.columns, n) for n in ("drops", "owner"))
-    lost = (rows.join(repeated, "key").where(~F.col("doc").eqNullSafe(F.col("last")))
+    hot = F.col("docs") * HOT > rows.count()
+    often = F.broadcast(repeated.where(hot))  # fewer than HOT rows
+    found = rows.join(often, "key").unionByName(
+        rows.join(often.select("key"), "key", "left_anti").join(repeated.where(~hot), "key"))
+    lost = (found.where(~F.col("doc").eqNullSafe(F.col("last")))
             .groupBy(F.col("doc").alias(owner)).agg(F.collect_set("key").alias(drops)))
     joined = docs.join(lost, docs[doc_id].eqNullSafe(lost[owner]), "left").drop(owner)
     return without_lines(joined, text, drops, min_points, counts)

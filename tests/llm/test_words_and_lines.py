@@ -108,6 +108,17 @@ def test_a_new_batch_meets_the_runs(spark):
     assert {(bytes(r.key), r.docs, r["last"]) for r in runs.compacted().collect()} == {(b"a", 3, 3), (b"b", 1, 2), (b"c", 1, 3)}
 
 
+def test_dedup_meets_live_runs_and_compacts(spark, monkeypatch):
+    met, levels = [], []
+    plain_keys, plain_write = line_runs.LineRuns.new_keys, line_runs.LineRuns._write
+    monkeypatch.setattr(line_runs.LineRuns, "new_keys", lambda self, rows: met.append(len(self.runs())) or plain_keys(self, rows))
+    monkeypatch.setattr(line_runs.LineRuns, "_write", lambda self, run, level: levels.append(level) or plain_write(self, run, level))
+    docs = spark.createDataFrame(ROWS, "doc_id int, text string")
+    got = line_runs.dedup_lines(docs).collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute(ROWS)
+    assert met == [0, 1, 1] and levels == [0, 0, 1, 0]
+
+
 def test_hot_line(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("the very same long line everywhere\nx").alias("text"))
     out = line_runs.dedup_lines(docs)
