@@ -91,11 +91,14 @@ def op9_minhash_near_dedup(spark, sf_dir):
 
 
 def op10_quality_rules(spark, sf_dir):
-    """Counts and verdict of the quality rules for every document."""
+    """Counts and verdict of the quality rules for every document. The figures that are not
+    returned are measured inside the chain, for the rows that no earlier rule rejects."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted, figure = cascade.measured(docs, "text", list(cascade.measures(F.col("text"))))
-    order = cascade.ordered(docs, cascade.rules(cascade.measures(F.col("text"))))
-    conditions = cascade.rules(figure)
+    shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    measures = cascade.measures(F.col("text"))
+    counted, figure = cascade.measured(docs, "text", shown)
+    order = cascade.ordered(docs, cascade.rules(measures))
+    conditions = cascade.rules({**measures, **figure})
     base_failed = conditions["base_few_words"] | conditions["base_repeats"]
     return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                           base_failed.alias("base_failed"),

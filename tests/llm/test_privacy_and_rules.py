@@ -5,7 +5,7 @@ import random
 import re
 
 import pytest
-from demandlens.llm import cascade, disclosure, guess_cost
+from demandlens.llm import catalog, cascade, disclosure, guess_cost
 from pyspark.sql import functions as F
 
 
@@ -269,3 +269,11 @@ def test_rules_run_no_python(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, text string")
     for frame in (cascade.apply_rules(docs), disclosure.find(docs)):
         assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().executedPlan().toString().replace("InPython", ""))
+
+
+def test_figures_behind_a_rejection_are_not_measured(spark):
+    plan = catalog.op10_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    top, _, below = plan.partition("Project [doc_id")[2].partition("Project [doc_id")
+    for letters in ("p{L}", "p{Lu}"):
+        assert letters in top and letters not in below
+        assert top.index("CASE WHEN") < top.index(letters)
