@@ -1,6 +1,7 @@
 """Alignment of two tokenizers against a plain version."""
 
 import hashlib
+import json
 from collections import Counter
 
 import pyarrow as pa
@@ -102,3 +103,27 @@ def test_aligned_takes_slices(both):
         want = [plain(t, both) for t in TEXTS[begin:begin + 5]]
         assert [tuple(int(f[i]) for f in figures[:3]) + (spelt[i].as_py(),) for i in range(len(want))] == [w[:4] for w in want]
         assert [(p >> 32, p & 0xFFFFFFFF) for p in pairs.to_pylist()] == [x for w in want for x in w[4]]
+
+
+def test_ids_by_rank_are_those_of_the_tokenizers_library():
+    _, data, _ = alignment.files(alignment.FIRST, alignment.SECOND)
+    ours, plain = alignment.ByteLevel(data), Tokenizer.from_str(data.decode())
+    plain.encode_special_tokens = True
+    assert ours.ranked is not None
+    own = ours.surface
+    entries = [own.data[b:b + n].tobytes() for b, n in zip(own.begin, own.size)]
+    texts = [e.decode() for e in entries if e.decode("utf-8", "replace").encode() == e]
+    assert len(texts) > 45_000
+    letters = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(f"a{c}b 1{c}2 {c}{c} .{c}.'{c}  {c}\n{c} " for c in letters[i:i + 400]) for i in range(0, len(letters), 400)]
+    want = [e.ids for e in plain.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in ours.encode(texts)] == want
+
+
+def test_other_files_go_to_the_tokenizers_library():
+    _, data, _ = alignment.files(alignment.FIRST, alignment.SECOND)
+    model = json.loads(data)
+    core = model["model"]
+    core["merges"][0], core["merges"][1] = core["merges"][1], core["merges"][0]
+    other = alignment.ByteLevel(json.dumps(model).encode())
+    assert other.ranked is None and other.encode(["Hello there"])
