@@ -57,35 +57,53 @@ def sequential_ids(df, id_col, prefix, order_by=None):
 
 
 def _in_file_order(df):
+    """Splits are numbered file by file: places inside a file from the splits of that file, and
+    files by ranges of their paths, so that no task sees all splits."""
     split = ["_file", "_block", "_task"]
     rows = (df.withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start(),
                             "_read": F.monotonically_increasing_id()})
             .withColumn("_task", F.shiftright("_read", 33)))
     # One row per file split.
     sizes = rows.groupBy(*split).agg(F.count("*").alias("_n"), F.min("_read").alias("_first"))
-    before = W.orderBy(*split).rowsBetween(_FIRST, _PREVIOUS)
-    starts = sizes.select(*split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    sizes = durable(sizes)
+    files = running_total(sizes.groupBy("_file").agg(F.sum("_n").alias("_rows")), ["_file"], "_rows", "_earlier")
+    own = W.partitionBy("_file").orderBy("_block", "_task").rowsBetween(_FIRST, _PREVIOUS)
+    starts = (sizes.withColumn("_inside", F.coalesce(F.sum("_n").over(own), F.lit(0)))
+              .join(files.select("_file", "_earlier"), "_file")
+              .select(*split, "_first", (F.col("_earlier") + F.col("_inside")).alias("_before")))
     return (rows.join(broadcast_if_small(starts), split)
             .withColumn("_at", F.col("_before") + F.col("_read") - F.col("_first"))
             .drop(*split, "_read", "_first", "_before"))
 
 
-def value_counts_before(df, value):
-    """Distinct values with their row count and the rows strictly below.
+def strict_percentile(df, value, out):
+    """Share of all rows with a strictly smaller value; null where the value is null.
 
-    Rows are counted per value first, so a value that a third of the rows share
-    is one row from there on.
+    Rows are dealt by ranges of (value, place), so a value that many rows share is cut over
+    many ranges. A row's count is its rank in its range plus the rows before the range; the
+    value that a range begins with may have begun in an earlier one, and takes the count
+    from there. What passes between ranges is one row each; no row is joined on its value.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    return running_total(counts, [value], "n", "n_below")
-
-
-def strict_percentile(df, value, out):
-    """Share of all rows with a strictly smaller value."""
-    below = value_counts_before(df, value).select(value, "n_below")
+    known = F.col(value).isNotNull()
+    ranged = durable(df.where(known).withColumn("_place", F.monotonically_increasing_id())
+                     .repartitionByRange(value, "_place").withColumn("_part", F.spark_partition_id()))
+    by_value = ranged.groupBy("_part", value).agg(F.count("*").alias("_n"))
+    parts = by_value.groupBy("_part").agg(
+        F.sum("_n").alias("_rows"), F.min(value).alias("_first"), F.max(value).alias("_last"),
+        F.max_by("_n", value).alias("_at_last"))
+    earlier = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(_FIRST, _PREVIOUS)  # a row per range
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    begun = parts.groupBy(F.col("_last").alias("_first")).agg(
+        F.min(F.col("_before") + F.col("_rows") - F.col("_at_last")).alias("_begun"))
+    starts = parts.join(begun, "_first", "left").select(
+        "_part", "_first", "_before", F.coalesce("_begun", "_before").alias("_begun"))
     total = df.agg(F.count("*")).scalar()
-    return (df.join(below, value, "left")
-            .withColumn(out, F.col("n_below") / total).drop("n_below"))
+    inside = F.rank().over(W.partitionBy("_part").orderBy(value)) - 1
+    below = F.when(F.col(value) == F.col("_first"), F.col("_begun")).otherwise(F.col("_before") + F.col("_inside"))
+    ranked = (ranged.withColumn("_inside", inside).join(broadcast_if_small(starts), "_part")
+              .withColumn(out, below / total).drop("_part", "_place", "_first", "_before", "_begun", "_inside"))
+    unknown = df.where(~known).withColumn(out, F.lit(None).cast("double"))
+    return ranked.unionByName(unknown.select(ranked.columns))
 
 
 def exact_medians(df, columns, accuracy=20_000):

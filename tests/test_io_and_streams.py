@@ -1,7 +1,9 @@
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandlens.functions.lists import ordered_union, split_cells, split_skills
 from demandlens.fixed_values import PROCESSED_FIELDS
@@ -11,6 +13,7 @@ from demandlens.plans import pipeline as L
 from demandlens.schemas import GAPS, POSTINGS
 from demandlens.sinks import messages as M
 from demandlens.sinks import tables as K
+from demandlens.sinks.snapshots import Snapshots
 from demandlens.sources import external, messages, tables, uploads
 from demandlens.streaming import extraction as E
 from demandlens.streaming.demand import running_demand, start_demand
@@ -223,6 +226,52 @@ def test_a_failure_leaves_all_old_tables(spark, tmp_path):
     assert (spark.read.parquet(one).count(), spark.read.parquet(two).count()) == (2, 1)
 
 
+def test_readers_never_meet_a_missing_table(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"))
+    assert store.read("a", T.StructType().add("id", "long")).count() == 0 and "a" not in store
+    store.replace({"a": spark.range(1), "b": spark.range(1)})
+    stop, seen, failed = threading.Event(), set(), []
+
+    def reading():
+        while not stop.is_set():
+            try:
+                seen.add(store.read("a").count())
+            except Exception as error:
+                failed.append(error)
+
+    reader = threading.Thread(target=reading)
+    reader.start()
+    for n in range(2, 8):
+        store.replace({"a": store.read("a").union(spark.range(1)), "b": spark.range(n)})
+    stop.set()
+    reader.join()
+    assert not failed and seen <= set(range(1, 8))
+    assert (store.read("a").count(), store.read("b").count(), store.current()[0]) == (7, 7, 7)
+    with pytest.raises(Exception):
+        store.replace({"a": spark.range(9), "b": spark.range(5).select(F.raise_error(F.lit("no")).alias("id"))})
+    assert (store.read("a").count(), store.current()[0]) == (7, 7)
+    assert len(store.vacuum(keep=2)) == 10 and store.vacuum(keep=2) == []
+    assert (store.read("a").count(), store.read("b").count()) == (7, 7)
+
+
+def test_two_writers_take_different_numbers(spark, tmp_path):
+    one, two = (Snapshots(spark, str(tmp_path / "store")) for _ in range(2))
+    assert one._commit(1, {"a": "x"}) and not two._commit(1, {"b": "y"})
+    assert two.replace({"b": spark.range(3)}) == 2
+    assert set(one.current()[1]) == {"a", "b"} and one.current()[1]["a"] == "x"
+
+
+def test_uploads_into_a_store(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"))
+    posts, people = tmp_path / "posts.csv", tmp_path / "people.csv"
+    posts.write_text("title,company,description\nEngineer,Firm,Needs Python\n")
+    people.write_text("cgpa,projects_count,certifications_count,internships_count,skills\n8,1,1,1,\n")
+    assert uploads.accept_uploads(spark, store, str(posts)) != [] and store.current()[0] == 0
+    assert uploads.accept_uploads(spark, store, str(posts), str(people)) == []
+    assert uploads.accept_uploads(spark, store, students_csv=str(people)) == [] and store.current()[0] == 2
+    assert store.read("students").first()["skills"] == [] and store.read("postings").count() == 1
+
+
 def test_an_unreadable_table_is_an_error(spark, tmp_path):
     (tmp_path / "bad").mkdir()
     with pytest.raises(Exception):

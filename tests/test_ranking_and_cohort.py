@@ -25,6 +25,20 @@ def test_percentile_with_a_hot_value(spark):
             assert row["pct"] == pytest.approx(below / len(values))
 
 
+@pytest.mark.parametrize("values", [[1.0] * 50, [1.0] * 30 + [2.0] * 30 + [3.0], [float(i // 7) for i in range(200)], []])
+def test_percentile_of_values_over_several_ranges(spark, values):
+    df = spark.createDataFrame(list(enumerate(values)), "id int, p double").repartition(5)
+    got = {r.id: r.pct for r in R.strict_percentile(df, "p", "pct").collect()}
+    assert got == {i: pytest.approx(sum(w < v for w in values) / len(values)) for i, v in enumerate(values)}
+
+
+def test_no_row_is_joined_on_its_value(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.rand(1)).alias("p"))
+    plan = R.strict_percentile(df, "p", "pct")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("_part" in line and "(p#" not in line for line in joins)
+
+
 def test_exact_medians(spark):
     rng = random.Random(2)
     rows = [(rng.randint(0, 5), rng.random() if rng.random() < 0.9 else None) for _ in range(501)]
