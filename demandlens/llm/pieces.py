@@ -16,7 +16,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from demandlens.llm.frames import as_bytes, fresh, steps
+from demandlens.llm.frames import fresh, steps
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
@@ -129,46 +129,21 @@ def backend(model):
     return built
 
 
-class Surface:
-    """The bytes of every piece, to put texts together from ids without a call per text."""
-
-    def __init__(self, model):
-        own = []
-        for text, _, kind in model.pieces:
-            if kind == BYTE:
-                own.append(bytes([int(text[3:5], 16)]))
-            else:
-                own.append(b"" if kind == CONTROL else text.replace(MARK, " ").encode())
-        self.size = np.array([len(x) for x in own])
-        self.begin = np.cumsum(self.size) - self.size
-        self.data = np.frombuffer(b"".join(own), np.uint8)
-        self.lead = int(model.dummy_prefix)
-
-    def joined(self, ids, sizes):
-        """(bytes of all texts, bounds): text i is between bounds i and i + 1, with the
-        blank of the dummy prefix in front."""
-        width = self.size[ids]
-        ends = np.cumsum(width)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[ids] - (ends - width), width)
-        return self.data[at].tobytes(), np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-
-
 _ready = {}
 
 
 def loaded(key, built, data):
-    """Both encoders of a model and its surface, built once per Python worker."""
+    """Both encoders of a model, built once per Python worker."""
     if key not in _ready:
         _ready.clear()
-        _ready[key] = (Tokenizer.from_str(built), sentencepiece.SentencePieceProcessor(model_proto=data),
-                       Surface(parse(data)))
+        _ready[key] = Tokenizer.from_str(built), sentencepiece.SentencePieceProcessor(model_proto=data)
     return _ready[key]
 
 
 def encode(docs, model_path=MODEL, text="text", threads=THREADS,
            names=("ids", "n_tokens", "parity", "round_trip")):
     """``docs`` plus the piece ids of ``text``, their number, whether both libraries agree
-    on them, and whether the pieces give the text back.
+    on them, and whether the decoder gives the text back from them.
 
     Null and empty texts have no ids, agree and come back (null as null). Texts that hold
     the marker character itself, or that the model's normaliser changes, do not come back;
@@ -191,7 +166,7 @@ def encode(docs, model_path=MODEL, text="text", threads=THREADS,
     def each(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        fast, plain, surface = loaded(key, *shared.value)
+        fast, plain = loaded(key, *shared.value)
         for part in steps(batches, text, STEP_BYTES):
             texts = part.column(text).fill_null("").to_pylist()
             ours = [e.ids for e in fast.encode_batch_fast(texts, add_special_tokens=False)]
@@ -200,12 +175,11 @@ def encode(docs, model_path=MODEL, text="text", threads=THREADS,
             ids = [a if s else b for a, b, s in zip(ours, theirs, same)]
             sizes = [len(x) for x in ids]
             flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(sizes))
-            whole, bounds = surface.joined(flat, sizes)
-            back = [whole[a + surface.lead:b] for a, b in zip(bounds[:-1], bounds[1:])]
+            back = fast.decode_batch(ids, skip_special_tokens=False)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, lists, pa.array(sizes, pa.int32()), pa.array(same),
-                 pa.array([a == (b or b"") for a, b in zip(back, as_bytes(part.column(text)))])], names=schema.names)
+                 pa.array([a == b for a, b in zip(back, texts)])], names=schema.names)
 
     return docs.mapInArrow(each, schema)
 
@@ -220,7 +194,7 @@ def decode(rows, model_path=MODEL, ids="ids", name="decoded"):
     schema = StructType(list(rows.schema.fields)).add(out, "string")
 
     def each(batches):
-        fast, *_ = loaded(key, *shared.value)
+        fast, _ = loaded(key, *shared.value)
         for batch in batches:
             lists = batch.column(ids).to_pylist()
             texts = fast.decode_batch([x or [] for x in lists], skip_special_tokens=False)
