@@ -161,9 +161,19 @@ def disclosing_terms(docs, doc_id="doc_id", text="text", min_contexts=MIN_CONTEX
             .distinct().groupBy("entity", "term").agg(F.count("window").alias("windows"))
             .where(F.col("windows") >= min_contexts).select("entity", "term", F.lit(True).alias("near")))
     # Ids that repeat are one document here.
-    both = (words.dropDuplicates(["doc", "term"]).join(own, "doc").where(F.col("holders") <= F.col("most"))
-            .groupBy("entity", "term").agg(F.count("doc").alias("together"), F.count_distinct("content").alias("contents"),
-                                           F.first("holders").alias("holders"), F.first("docs").alias("docs")))
+    words = words.dropDuplicates(["doc", "term"])
+    # Three different contexts need three different texts of the entity and as many documents of
+    # the term; all other pairs can only come from windows, so only those are followed.
+    kinds = own.groupBy("entity").agg(F.count_distinct("content").alias("kinds"))
+    own = stored(own.join(kinds, "entity"), "own-kinds")
+    often, columns = F.col("holders") >= min_contexts, ["entity", "term", "doc", "content", "holders", "docs"]
+    spread = (words.where(often).join(own.where(F.col("kinds") >= min_contexts), "doc")
+              .where(F.col("holders") <= F.col("most")).select(columns))
+    close = (words.join(own.join(near.select("entity", "term"), "entity"), ["doc", "term"])
+             .where((F.col("holders") <= F.col("most")) & ~(often & (F.col("kinds") >= min_contexts))).select(columns))
+    both = spread.union(close).groupBy("entity", "term").agg(
+        F.count("doc").alias("together"), F.count_distinct("content").alias("contents"),
+        F.first("holders").alias("holders"), F.first("docs").alias("docs"))
     share = F.col("together") / F.col("holders")
     degree = F.log2(share * total / F.col("docs")) / F.log2(total / F.col("docs"))
     degrees = (both.withColumn("disclosure", degree).where(F.col("disclosure") >= threshold).join(near, ["entity", "term"], "left")

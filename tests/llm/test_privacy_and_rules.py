@@ -92,6 +92,57 @@ def test_terms_count_over_whole_documents(spark):
     assert not {"plain", "near"} & set(terms)
 
 
+def plain_terms(rows, least=3, threshold=0.75):
+    """Degree per term by definition: every entity against every term."""
+    windows, owners, held, content = {}, {}, {}, {}
+    for i, text in rows:
+        terms = set(re.findall("[a-z]+", text.lower()))
+        content[i] = frozenset(terms)
+        for t in terms:
+            held.setdefault(t, set()).add(i)
+        finds = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+        cuts = [0, *[x for f in finds for x in f], len(text)]
+        for k, (a, b) in enumerate(finds):
+            left, right = text[cuts[2 * k]:a].lower()[-160:], text[b:cuts[2 * k + 3]].lower()[:160]
+            words = [w for p in ("[a-z]{4,}", "[a-z]+") for w in re.findall(p, left)[-6:] + re.findall(p, right)[:6]]
+            owners.setdefault(text[a:b].lower(), set()).add(i)
+            for w in words:
+                windows.setdefault((text[a:b].lower(), w), set()).add(tuple(words))
+    out, total = {}, len(rows)
+    for entity, docs in owners.items():
+        for t, holders in held.items():
+            both = docs & holders
+            if both and len(docs) < total:
+                degree = math.log2(len(both) / len(holders) * total / len(docs)) / math.log2(total / len(docs))
+                enough = len({content[i] for i in both}) >= least or len(windows.get((entity, t), ())) >= least
+                if enough and degree >= threshold:
+                    out[t] = max(out.get(t, 0), degree)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_terms_equal_brute_force(spark, seed):
+    draw = random.Random(seed)
+    words = ["".join(draw.choices("abcdefgh", k=draw.choice([2, 3, 5, 6]))) for _ in range(60)]
+    people = [f"p{k}@mail.org" for k in range(6)]
+    rows = []
+    for i in range(90):
+        text = draw.choices(words, k=draw.randint(3, 25))
+        who = draw.randrange(12)
+        if who < 6:
+            for _ in range(draw.choice([1, 1, 2, 5])):
+                text.insert(draw.randint(0, len(text)), people[who])
+                text.insert(draw.randint(0, len(text)), "zed" + "abcdef"[who] * 3)
+        if who < 6 and draw.random() < 0.8 or draw.random() < 0.03:
+            text.append("kim" + "abcdef"[who % 6])
+        rows.append((i, " ".join(text)))
+    rows += [(100 + i, rows[5][1]) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    found = disclosure.disclosing_terms(docs)
+    got = {} if found is None else {r.term: r.disclosure for r in found.collect()}
+    assert got == {t: pytest.approx(d) for t, d in plain_terms(rows).items()} and got
+
+
 def test_sanitise(spark):
     docs = gossip(spark).withColumn("spans", F.lit(1)).withColumn("terms", F.lit("t"))
     out = disclosure.sanitise(docs)
