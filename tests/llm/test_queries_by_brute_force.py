@@ -10,7 +10,8 @@ from pathlib import Path
 
 import pytest
 from compare import connect
-from demandlens.llm import catalog
+from demandlens.llm import catalog, centroids, kneser_ney
+from pyspark.sql import functions as F
 from test_privacy_and_rules import base as pii
 
 SF = "/root/testdata/sf0.001"
@@ -64,6 +65,46 @@ def test_op2(spark, docs):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def trigrams(text):
+    """Counts of the hashed byte trigrams of a text around each of its letters."""
+    folded = bytearray(b" ")
+    for b in text.encode():
+        b = b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32
+        if b != 32 or folded[-1] != 32:
+            folded.append(b)
+    if folded[-1] != 32:
+        folded.append(32)
+    out = Counter()
+    for i in range(len(folded) - 2):
+        code = folded[i] << 16 | folded[i + 1] << 8 | folded[i + 2]
+        if folded[i + 1] != 32:
+            out[(code * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - centroids.BITS] += 1
+    return out
+
+
+def test_op2_is_the_nearest_centroid(spark, docs):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    learn = {i: d for i, d in docs.items() if zlib.crc32(str(i).encode()) % 4 != 2}
+    model = centroids.train(table.where(F.col("doc_id").isin(list(learn))))
+    known = [trigrams(t) for t, lang in learn.values() if lang and re.search(r"[^\W\d_]", t)]
+    df = Counter(k for x in known for k in x)
+    for k in range(0, centroids.FEATURES, 7):
+        assert model.idf[k] == pytest.approx(math.log((1 + len(known)) / (1 + df[k])) + 1, rel=1e-5)
+    assert len(set(model.languages)) == len({lang for _, lang in learn.values() if lang})
+    for i, r in run(spark, "op2_language_id").items():
+        text = docs[i][0]
+        if not re.search(r"[^\W\d_]", text):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        weights = {k: math.log(1 + n) * float(model.idf[k]) for k, n in trigrams(text).items()}
+        size = math.sqrt(sum(w * w for w in weights.values())) or 1
+        cosines = [sum(w * float(c[k]) for k, w in weights.items()) / size for c in model.centres]
+        assert r.score == pytest.approx(max(cosines), abs=1e-4)
+        assert cosines[[j for j, x in enumerate(model.languages) if x == r.lang_pred][0]] >= 0
+        best = max(c for c, x in zip(cosines, model.languages) if x == r.lang_pred)
+        assert best == pytest.approx(max(cosines), abs=1e-4)
+
+
 def test_op3(spark, docs):
     for i, r in run(spark, "op3_pii").items():
         want = pii(docs[i][0])
@@ -100,6 +141,22 @@ def test_op8(spark, docs):
     good, bad = ([got[i].kept for i in labels if labels[i] == q and i in got] for q in (1, 0))
     assert sum(good) >= 0.9 * len(good) and (not bad or sum(bad) / len(bad) < sum(good) / len(good))
 
+    def quantile(values, share):
+        return sorted(values)[max(math.ceil(share * len(values)), 1) - 1] if values else None
+
+    trusted = [r for i, r in got.items() if labels.get(i) == 1 and r.perplexity is not None]
+    left_out = [r for r in trusted if zlib.crc32(str(r.doc_id).encode()) % kneser_ney.HELD_OUT == 0]
+    low, high = quantile([r.perplexity for r in trusted], kneser_ney.LOW), quantile([r.perplexity for r in left_out], kneser_ney.HIGH)
+    for r in got.values():
+        own = [x.perplexity for x in trusted if x.lang == r.lang]
+        far = [x.perplexity for x in left_out if x.lang == r.lang]
+        a, b = quantile(own, kneser_ney.LOW), quantile(far, kneser_ney.HIGH)
+        a, b = low if a is None else a, high if b is None else b
+        if len(far) < kneser_ney.FEW:
+            a, b = min(a, low), max(b, high)
+        assert (r.low, r.high) == (pytest.approx(a / kneser_ney.SLACK), pytest.approx(b * kneser_ney.SLACK))
+        assert r.kept == (r.perplexity is not None and r.low <= r.perplexity <= r.high)
+
 
 def test_op9(spark, docs):
     got, sets = run(spark, "op9_minhash_near_dedup"), {}
