@@ -294,6 +294,26 @@ def test_pipeline(spark, taxonomy, tmp_path):
     assert len(K.publish(spark, paths.base, "x", str(tmp_path / "bucket"), K.PUBLISHED)) == 6
 
 
+def test_a_rerun_starts_at_the_failed_stage(spark, taxonomy, tmp_path, monkeypatch):
+    ingest = lambda: (posts_of(spark, range(20)).withColumn("true_skills", F.lit(None).cast("array<string>")),
+                      students_of(spark, 30))
+    run = lambda **more: L.run_pipeline(spark, str(tmp_path), taxonomy, ingest, retrain=False, resume=True, **more)
+    with monkeypatch.context() as broken:
+        broken.setattr(L, "features_stage", lambda *_: 1 / 0)
+        done = run()
+    assert (done.finished, done.failed) == (["ingest", "extract"], "features")
+    done = run()
+    assert (done.skipped, done.finished) == (["ingest", "extract"], ["features", "index", "train"])
+    assert run().skipped == ["ingest", "extract", "features", "index", "train"]
+    # a table that was changed since is made again, with what hangs on it
+    K.replace_table(spark.read.parquet(f"{tmp_path}/students").limit(7), f"{tmp_path}/students")
+    assert run().finished[:1] == ["ingest"]
+    done = run(source="2")
+    assert "ingest" in done.finished and "extract" in done.finished
+    other = L.run_pipeline(spark, str(tmp_path), taxonomy_table(spark, {"x": ["Git"]}), ingest, retrain=False, resume=True, source="2")
+    assert other.skipped == ["ingest"] and other.failed is None
+
+
 def test_pipeline_stops_at_the_failing_stage():
     def fail():
         raise RuntimeError("broken")
