@@ -22,6 +22,7 @@ from ..operators import search as S
 from ..operators import validate as V
 from ..operators import whatif as H
 from ..operators.boosting import fit_boosted
+from ..operators.sketches import merged_sketches, sketched_medians, sketched_percentile, store_sketches
 from ..session import durable, scratch_path
 from ..sinks.messages import postings_to_messages, send_to_folder
 from ..sinks.tables import PUBLISHED, export_csv, publish, write_table
@@ -255,6 +256,27 @@ def cohort_medians(spark, sf_dir):
     return _six(R.exact_medians(cohort, list(C.INDICATORS)), *C.INDICATORS)
 
 
+def _sketched(spark, sf_dir, columns):
+    """The cohort and its sketches, stored in three batches."""
+    cohort, path = OrderWorld(spark, sf_dir).cohort, scratch_path(spark, "sketches")
+    batch = F.pmod(F.crc32(F.col("student_id").cast("binary")), F.lit(3))
+    for i in range(3):
+        store_sketches(cohort.where(batch == i), columns, path, i)
+    return cohort, merged_sketches(spark, path)
+
+
+def sketch_medians(spark, sf_dir):
+    """Medians from stored sketches; exact up to as many students as a sketch holds."""
+    columns = list(C.INDICATORS)
+    return _six(sketched_medians(_sketched(spark, sf_dir, columns)[1], columns), *columns)
+
+
+def sketch_percentile(spark, sf_dir):
+    cohort, merged = _sketched(spark, sf_dir, ["probability"])
+    return _six(sketched_percentile(cohort, "probability", "percentile", merged).select("student_id", "percentile"),
+                "percentile")
+
+
 def student_deltas(spark, sf_dir):
     cohort = OrderWorld(spark, sf_dir).cohort
     deltas = C.deltas_to_median(cohort, R.exact_medians(cohort, list(C.INDICATORS)))
@@ -456,7 +478,7 @@ def published_tables(spark, sf_dir):
 def student_lookup(spark, sf_dir):
     """One student out of the stored view."""
     path = scratch_path(spark, "cohort")
-    write_table(OrderWorld(spark, sf_dir).cohort, path)
+    write_table(OrderWorld(spark, sf_dir).cohort, path, ["student_id"])
     found = H.student(spark.read.parquet(path), "S0042")
     return _six(found.select("student_id", "tier", "probability", "skill_count"), "probability")
 
@@ -617,7 +639,7 @@ QUERIES = {f.__name__: f for f in (
     scaled_demand, demand_rollup, demand_with_category, skill_gaps, skill_gaps_long, category_coverage_long, alignment, off_market, gap_detail,
     category_coverage, cohort_coverage, feature_frame, score_cohort, alignment_scatter,
     unscored_cohort, tier_counts, cohort_kpis, prob_histogram, percentile, price_percentile,
-    cohort_medians, student_deltas, common_gaps, intervention_list, scenarios, levers, levers_long, no_lever,
+    cohort_medians, sketch_medians, sketch_percentile, student_deltas, common_gaps, intervention_list, scenarios, levers, levers_long, no_lever,
     student_view, search_documents, search_index, stored_index_lookup, index_report,
     search_postings, postings_with_skill,
     gap_postings, extraction_quality, quality_summary, text_quality,

@@ -451,6 +451,12 @@ ORACLE["boosted_stump"] = _with(
     "round(gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1), 6) + 0.0 AS gain "
     "FROM c WHERE hl >= 1 AND hr >= 1 ORDER BY round(gl * gl / (hl + 1) + gr * gr / (hr + 1), 6) DESC, place, cut LIMIT 1")
 ORACLE["stream_extract"] = ORACLE["process_messages"]
+ORACLE["sketch_medians"] = _with(*_COHORT) + "SELECT " + ", ".join(
+    f"round(quantile_disc({c}::DOUBLE, 0.5), 6) + 0.0 AS {c}" for c in INDICATORS) + " FROM cohort"
+_GRID = "[" + ", ".join(f"{i / 1024}" for i in range(1, 1025)) + "]"
+ORACLE["sketch_percentile"] = _with(*_COHORT, f"g AS (SELECT quantile_disc(p, {_GRID}) AS grid FROM cohort)") + (
+    "SELECT student_id, round(len(list_filter(grid, lambda q: q < p)) / 1024.0::DOUBLE, 6) + 0.0 AS percentile "
+    "FROM cohort, g")
 ORACLE["stream_demand"] = ORACLE["market_demand"]
 ORACLE["stream_demand_by_role"] = ORACLE["demand_by_role"]
 ORACLE["mentions_by_join"] = ORACLE["skill_mentions"]

@@ -48,7 +48,7 @@ def features_stage(spark, paths):
     write_table(market_demand(spark.read.parquet(paths.job_postings_skills)),
                 paths.market_skill_demand)
     gaps = skill_gaps(spark.read.parquet(paths.students), spark.read.parquet(paths.market_skill_demand))
-    write_table(gaps, paths.student_skill_gaps)
+    write_table(gaps, paths.student_skill_gaps, ["student_id"])
 
 
 def index_stage(spark, paths):
@@ -62,7 +62,7 @@ def train_stage(spark, paths, rounds=200):
     trained = train(features, rounds=rounds)
     save_model(trained.model, paths.placement_model)
     write_metrics(metrics_table(spark, trained), paths.model_metrics)
-    write_table(score_cohort(features, model_scorer(trained.model)), paths.placement_scores)
+    write_table(score_cohort(features, model_scorer(trained.model)), paths.placement_scores, ["student_id"])
 
 
 class Manifests:
@@ -154,7 +154,7 @@ def run_pipeline(spark, base, taxonomy, ingest=None, retrain=None, rounds=200, r
     def store():
         postings, students = ingest()
         write_table(postings, paths.postings)
-        write_table(students, paths.students)
+        write_table(students, paths.students, ["student_id"])
 
     def maybe_train():
         wanted = may_retrain(spark.read.parquet(paths.students)) if retrain is None else retrain

@@ -10,8 +10,14 @@ from ..operators.placement import load_model, save_model
 from ..sources.tables import table_exists
 
 
-def write_table(df, path):
-    df.write.mode("overwrite").parquet(path)
+def write_table(df, path, lookup=()):
+    """Overwrite a table. Columns in ``lookup`` get Bloom filters, so that the search for one id
+    skips the row groups that do not hold it, whatever the order of the rows."""
+    writer = df.write.mode("overwrite")
+    for column in lookup:
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+                  .option("parquet.bloom.filter.adaptive.enabled", "true"))
+    writer.parquet(path)
 
 
 def replace_table(df, path):

@@ -272,6 +272,23 @@ def test_uploads_into_a_store(spark, tmp_path):
     assert store.read("students").first()["skills"] == [] and store.read("postings").count() == 1
 
 
+def test_bloom_filters_skip_row_groups(spark, tmp_path):
+    students = spark.range(40_000).select(F.md5(F.col("id").cast("string")).alias("student_id"), F.col("id").alias("x"))
+
+    def rows_read(path, value):
+        found = spark.read.parquet(path).where(F.col("student_id") == value)
+        found.collect()
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return leaf.metrics().apply("numOutputRows").value()
+
+    for name, lookup in (("plain", ()), ("bloom", ["student_id"])):
+        K.write_table(students.repartition(4), f"{tmp_path}/{name}", lookup)
+    known = students.where("x = 7").first().student_id
+    absent = known[:-1] + ("0" if known[-1] != "0" else "1")
+    assert rows_read(f"{tmp_path}/plain", absent) == 40_000 and rows_read(f"{tmp_path}/bloom", absent) < 40_000
+    assert 0 < rows_read(f"{tmp_path}/bloom", known) < 40_000
+
+
 def test_an_unreadable_table_is_an_error(spark, tmp_path):
     (tmp_path / "bad").mkdir()
     with pytest.raises(Exception):
