@@ -72,3 +72,33 @@ def gap_postings(gaps, index, size=6, searched=TOP_GAPS_SEARCHED):
     return (wanted.join(hits, "skill")
             .select("student_id", (F.col("at") + 1).alias("gap_rank"), "skill", "hit_rank",
                     "posting_id", "title", "company"))
+
+
+def nested_hits(index, size):
+    """One row per skill: its first ``size`` postings as a list."""
+    return first_hits(index, size).groupBy("skill").agg(F.sort_array(F.collect_list(F.struct(
+        "hit_rank", "posting_id", "title", "company"))).alias("hits"))
+
+
+def write_hits(index, table, path, size=6, buckets=64):
+    """Store the first hits of every skill at a path, as a table bucketed by skill, a row each.
+    Joins on the skill then read it without a shuffle."""
+    (nested_hits(index, size).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, "skill").sortBy("skill").saveAsTable(table))
+
+
+def gap_hits(gaps, hits, searched=TOP_GAPS_SEARCHED):
+    """One row per student with the first gaps as a list, each with its list of postings:
+    student_id, gaps (gap_rank, skill, hits). Gaps that no posting asks for are left out,
+    students keep an empty list.
+
+    ``hits`` is ``nested_hits`` or a table of ``write_hits``. A gap meets its postings as one
+    row, so what is shuffled does not grow with the number of hits.
+    """
+    wanted = each(gaps, F.slice("missing_skills_ranked", 1, searched), "skill", "student_id",
+                  position="at")
+    found = wanted.join(hits, "skill").groupBy("student_id").agg(F.sort_array(F.collect_list(
+        F.struct((F.col("at") + 1).alias("gap_rank"), "skill", "hits"))).alias("gaps"))
+    empty = F.array().cast(found.schema["gaps"].dataType)
+    return (gaps.select("student_id").join(found, "student_id", "left")
+            .withColumn("gaps", F.coalesce("gaps", empty)))

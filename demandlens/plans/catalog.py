@@ -4,6 +4,7 @@ A query takes (spark, sf_dir). List columns leave as ``;`` text and doubles
 rounded, so that results can be compared by value.
 """
 
+import uuid
 from functools import reduce
 
 from pyspark.ml import Pipeline
@@ -369,6 +370,16 @@ def gap_postings(spark, sf_dir):
     return S.gap_postings(world.gaps, S.posting_index(_order_documents(spark, sf_dir)))
 
 
+def gap_hits(spark, sf_dir):
+    """The postings of a student's gaps in one row, out of a bucketed table."""
+    world, name = OrderWorld(spark, sf_dir), f"hits_{uuid.uuid4().hex}"
+    S.write_hits(S.posting_index(_order_documents(spark, sf_dir)), name, scratch_path(spark, name))
+    found = S.gap_hits(world.gaps, spark.table(name))
+    listed = F.transform("gaps", lambda g: F.concat_ws(":", g["gap_rank"].cast("string"), g["skill"], F.array_join(
+        F.transform(g["hits"], lambda h: h["posting_id"]), ",")))
+    return found.select("student_id", F.array_join(listed, ";").alias("gaps"))
+
+
 # --- extraction quality ------------------------------------------------------
 
 def _predicted_orders(spark, sf_dir):
@@ -642,7 +653,7 @@ QUERIES = {f.__name__: f for f in (
     cohort_medians, sketch_medians, sketch_percentile, student_deltas, common_gaps, intervention_list, scenarios, levers, levers_long, no_lever,
     student_view, search_documents, search_index, stored_index_lookup, index_report,
     search_postings, postings_with_skill,
-    gap_postings, extraction_quality, quality_summary, text_quality,
+    gap_postings, gap_hits, extraction_quality, quality_summary, text_quality,
     text_market, external_postings, external_students, csv_round_trip, students_csv, stage_tables,
     intervention_csv, published_tables, student_lookup, validation_report,
     numeric_coercion, dup_ids, seq_ids, prepared_postings, random_sample, auc_exact, accuracy,

@@ -457,6 +457,15 @@ _GRID = "[" + ", ".join(f"{i / 1024}" for i in range(1, 1025)) + "]"
 ORACLE["sketch_percentile"] = _with(*_COHORT, f"g AS (SELECT quantile_disc(p, {_GRID}) AS grid FROM cohort)") + (
     "SELECT student_id, round(len(list_filter(grid, lambda q: q < p)) / 1024.0::DOUBLE, 6) + 0.0 AS percentile "
     "FROM cohort, g")
+ORACLE["gap_hits"] = _with(
+    *_WORLD, _ORDER_DOCS[1],
+    "hits AS (SELECT skill, posting_id, row_number() OVER (PARTITION BY skill ORDER BY posting_id) AS hit_rank "
+    "FROM docs JOIN order_skills ON o_orderkey = l_orderkey)",
+    "g AS (SELECT student_id, gap_rank, skill, string_agg(posting_id, ',' ORDER BY hit_rank) AS listed FROM gap_rows "
+    "JOIN hits USING (skill) WHERE gap_rank <= 6 AND hit_rank <= 6 GROUP BY ALL)",
+    "s AS (SELECT student_id, string_agg(gap_rank || ':' || skill || ':' || listed, ';' ORDER BY gap_rank) AS gaps "
+    "FROM g GROUP BY student_id)") + (
+    "SELECT student_id, coalesce(gaps, '') AS gaps FROM students LEFT JOIN s USING (student_id)")
 ORACLE["stream_demand"] = ORACLE["market_demand"]
 ORACLE["stream_demand_by_role"] = ORACLE["demand_by_role"]
 ORACLE["mentions_by_join"] = ORACLE["skill_mentions"]

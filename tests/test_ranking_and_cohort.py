@@ -178,6 +178,28 @@ def test_search(spark, tmp_path):
     assert S.postings_with_skill(docs, "rare").count() == 1
 
 
+def test_bucketed_hits_are_joined_without_a_shuffle(spark, tmp_path):
+    index = spark.range(500).select(F.concat(F.lit("s"), (F.col("id") % 40).cast("string")).alias("skill"),
+                                    F.format_string("p%03d", "id").alias("posting_id"), F.lit("t").alias("title"),
+                                    F.lit("c").alias("company"))
+    S.write_hits(index, "hits_of_a_test", f"{tmp_path}/hits", size=3, buckets=8)
+    rows = [("a", ["s1", "none", "s39"]), ("b", None), ("c", ["s1"]), ("d", [])]
+    gaps = spark.createDataFrame(rows, "student_id string, missing_skills_ranked array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        found = S.gap_hits(gaps, spark.table("hits_of_a_test"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r.student_id: [(g.gap_rank, g.skill, [h.posting_id for h in g.hits]) for g in r.gaps]
+               for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE hits_of_a_test")
+    assert plan.count("hashpartitioning(skill") == 1  # of the gaps
+    assert got == {"a": [(1, "s1", ["p001", "p041", "p081"]), (3, "s39", ["p039", "p079", "p119"])], "b": [],
+                   "c": [(1, "s1", ["p001", "p041", "p081"])], "d": []}
+
+
 def test_ids_follow_the_files_without_a_shuffle(spark, tmp_path):
     sizes = (3, 400, 1, 50)
     at = 0
