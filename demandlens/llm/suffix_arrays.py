@@ -7,16 +7,17 @@ every benchmark item is then narrowed down in that array by binary search, one w
 time, for all suffixes at once: the interval at a window's length holds all occurrences of
 that window, the last interval that is not empty the longest verbatim matches.
 
-The benchmark is sent to the tasks in blocks of bounded size; documents pass from block to
-block inside the same task, without a shuffle. Words are compared by 64-bit hashes.
+The benchmark is sent to the tasks in blocks of bounded size, one at a time; documents pass from
+block to block through the shared folder, without a shuffle. Words and windows are
+compared by 64-bit hashes.
 """
 
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from demandlens.llm.frames import fresh, steps
-from demandlens.llm.words import ALPHANUMERIC, Words
+from demandlens.llm.frames import fresh, steps, stored
+from demandlens.llm.words import ALPHANUMERIC, STEP, Words, mix
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
@@ -47,6 +48,29 @@ class TestSuffixes:
         self.window = np.where(self.left >= window, window, short)  # 0: no window starts here
         self.shortest = int(self.window[self.window > 0].min(initial=window))
         self.longest = int(counts.max(initial=0))
+        self._group(window)
+
+    def _group(self, window):
+        """``group``: the number of each different window (-1 where none starts), ``first_of``
+        marks one place of each, and ``holders`` lists the items of group g between
+        ``bounds[g]`` and ``bounds[g + 1]``."""
+        places = np.flatnonzero(self.window > 0)
+        key = self.window[places].astype(np.uint64) * STEP
+        padded = np.concatenate([self.ids, np.zeros(window, np.int64)]).astype(np.uint64)
+        for k in range(window):
+            word = np.where(k < self.window[places], padded[places + k], np.uint64(0))
+            key = mix(key * STEP + word)
+        _, first, number = np.unique(key, return_index=True, return_inverse=True)
+        self.group, self.first_of = np.full(len(self.ids), -1), np.zeros(len(self.ids), bool)
+        self.group[places], self.first_of[places[first]] = number, True
+        pairs = np.unique(number * max(len(self.items), 1) + self.owner[places])
+        self.holders = pairs % max(len(self.items), 1)
+        self.bounds = np.searchsorted(pairs // max(len(self.items), 1), np.arange(len(first) + 1))
+
+    def items_of(self, groups):
+        """The ids of the items that hold any of the windows ``groups``."""
+        numbers = {i for g in groups for i in self.holders[self.bounds[g]:self.bounds[g + 1]].tolist()}
+        return {self.items[i] for i in numbers} - {None}
 
     def known(self, hashes):
         """The id of each hash, 0 for words of no item."""
@@ -119,13 +143,14 @@ def spread(low, high):
     return rows, np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
 
 
-def search(test, shard):
+def search(test, shard, want_longest=True):
     """Narrow all test suffixes down in a shard.
 
-    Returns the occurrences of windows as (test place, document word) and the longest
-    matches of at least a window as (test place, document word, length).
+    Returns the occurrences of windows as (test place, document word, length), each different
+    window at one of its test places only, and the longest matches of at least a window
+    likewise, for every suffix; without ``want_longest`` a suffix is done at its window.
     """
-    suffix = np.arange(len(test.ids))
+    suffix = np.arange(len(test.ids)) if want_longest else np.flatnonzero(test.first_of)
     low, high = np.zeros(len(suffix), np.int64), np.full(len(suffix), len(shard.order), np.int64)
     windows, longest, depth = [], [], 0
 
@@ -138,14 +163,18 @@ def search(test, shard):
         below = shard.bound(low, high, depth, target, False)
         beyond = shard.bound(below, high, depth, target, True)
         found = below < beyond
-        ended = ~found & (depth >= test.window[suffix]) & (test.window[suffix] > 0)
-        report(longest, suffix[ended], low[ended], high[ended])
+        if want_longest:
+            ended = ~found & (depth >= test.window[suffix]) & (test.window[suffix] > 0)
+            report(longest, suffix[ended], low[ended], high[ended])
         suffix, low, high, depth = suffix[found], below[found], beyond[found], depth + 1
-        whole = test.window[suffix] == depth
+        whole = (test.window[suffix] == depth) & test.first_of[suffix]
         report(windows, suffix[whole], low[whole], high[whole])
         done = test.left[suffix] == depth
-        full = done & (test.window[suffix] > 0)
-        report(longest, suffix[full], low[full], high[full])
+        if want_longest:
+            full = done & (test.window[suffix] > 0)
+            report(longest, suffix[full], low[full], high[full])
+        else:
+            done |= test.window[suffix] <= depth
         suffix, low, high = suffix[~done], low[~done], high[~done]
     return [[np.concatenate(x) if x else np.empty(0, np.int64) for x in zip(*part)] or [np.empty(0, np.int64)] * 3
             for part in (windows, longest)]
@@ -182,8 +211,12 @@ def hits(docs, benchmark, window=WINDOW, text="text", item_id="item_id", item_te
     schema = StructType(list(docs.schema.fields))
     schema = (schema.add(out[0], LongType()).add(out[1], LongType()).add(out[2], ArrayType(StringType()))
               .add(spans, ArrayType(LongType())))
-    tests = list(blocks(benchmark, item_id, item_text, window, block_bytes)) or [None]
-    for number, test in enumerate(tests):
+    tests, number, shared = blocks(benchmark, item_id, item_text, window, block_bytes), 0, None
+    test = next(tests, None)
+    while number == 0 or test is not None:
+        if shared is not None:  # the block before is written and let go
+            docs = stored(docs, "hits")
+            shared.destroy()
         shared = docs.sparkSession.sparkContext.broadcast(test)
 
         def each(batches, shared=shared, later=number > 0):
@@ -201,15 +234,14 @@ def hits(docs, benchmark, window=WINDOW, text="text", item_id="item_id", item_te
                         np.add.at(edge, first[i] + np.array(old[1::2], np.int64), -1)
                 if test is not None:
                     shard = Shard(test.known(words.hashes()), first, test.shortest, test.longest)
-                    (place, word, size), _ = search(test, shard)
+                    (place, word, size), _ = search(test, shard, want_longest=False)
                     np.add.at(edge, word, 1)
                     np.add.at(edge, word + size, -1)
                     owner = np.searchsorted(first, word, "right") - 1
-                    pairs = np.unique(owner * len(test.items) + test.owner[place])
-                    for p in pairs.tolist():
-                        item = test.items[p % len(test.items)]
-                        if item is not None:
-                            listed[p // len(test.items)].add(item)
+                    groups = max(len(test.bounds) - 1, 1)
+                    pairs = np.unique(owner * groups + test.group[place])
+                    for i in np.unique(pairs // groups).tolist():
+                        listed[i] |= test.items_of((pairs[pairs // groups == i] % groups).tolist())
                 covered = np.cumsum(edge[:-1]) > 0
                 total = np.concatenate([[0], np.cumsum(covered)])
                 bounds = []
@@ -223,6 +255,7 @@ def hits(docs, benchmark, window=WINDOW, text="text", item_id="item_id", item_te
                        pa.array(bounds, pa.list_(pa.int64()))], names=schema.names)
 
         docs = docs.mapInArrow(each, schema)
+        test, number = next(tests, None), number + 1
     return docs.drop(spans)
 
 
