@@ -1,7 +1,9 @@
-"""Session defaults and the checkpoint location."""
+"""Session defaults, the checkpoint location and the package on the workers."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,21 @@ def build_session(app="demandlens", master=None, **conf):
     return builder.getOrCreate()
 
 
+_shipped = set()
+
+
+def ship_package(spark):
+    """Send this package to the Python workers of a session, which need not have it installed
+    or be started from its folder. Once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix=f'{package.name}-')}/{package.name}", "zip",
+                                      package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def shared_folder(spark):
     """The folder named in ``spark.checkpoint.dir``, which all executors share.
 
