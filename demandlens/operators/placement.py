@@ -175,11 +175,16 @@ def logistic_gradient(training, scaling, learner, features=FEATURES):
     """Gradient of the mean penalised loss at the fitted weights, one row per feature. The
     problem is strictly convex, so zeros prove the fit."""
     model = learner.fit(scaling.transform(training).select("features", "placed"))
-    scored = PipelineModel(stages=[*scaling.stages, model]).transform(training)
+    return gradient(training, PipelineModel(stages=[*scaling.stages, model]), learner.getRegParam(), features)
+
+
+def gradient(training, pipeline, penalty, features=FEATURES):
+    """The same for a fitted logistic pipeline."""
+    scored, model = pipeline.transform(training), pipeline.stages[-1]
     error = F.get(vector_to_array("probability"), 1) - F.col("placed")
     x = vector_to_array("features")
     means = scored.agg(*[F.avg(error * F.get(x, i)).alias(f) for i, f in enumerate(features)]).first()
-    rows = [(f, float(means[f] + learner.getRegParam() * w)) for f, w in zip(features, model.coefficients.toArray())]
+    rows = [(f, float(means[f] + penalty * w)) for f, w in zip(features, model.coefficients.toArray())]
     return training.sparkSession.createDataFrame(rows, "feature string, gradient double")
 
 

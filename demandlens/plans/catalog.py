@@ -7,7 +7,7 @@ rounded, so that results can be compared by value.
 import uuid
 from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,16 +24,20 @@ from ..operators import validate as V
 from ..operators import whatif as H
 from ..operators.boosting import fit_boosted
 from ..operators.sketches import merged_sketches, sketched_medians, sketched_percentile, store_sketches
+from ..operators.validate import may_retrain
 from ..session import durable, scratch_path
 from ..sinks.messages import postings_to_messages, send_to_folder
-from ..sinks.tables import PUBLISHED, export_csv, publish, write_table
-from ..sources.external import normalise_postings, normalise_students
+from ..schemas import STUDENTS
+from ..sinks.snapshots import Snapshots
+from ..sinks.tables import PUBLISHED, export_csv, publish, replace_table, write_metrics, write_table
+from ..sources.external import choose_source, normalise_postings, normalise_students
 from ..sources.messages import decode, folder_stream
-from ..sources.tables import postings_from_csv, read_csv, students_from_csv
+from ..sources.tables import postings_from_csv, read_csv, read_table, students_from_csv
+from ..sources.uploads import accept_uploads
 from ..streaming.demand import running_demand, start_demand
-from ..streaming.extraction import process_postings, start_extraction
+from ..streaming.extraction import process_postings, run_until_idle, start_extraction
 from ..taxonomy import taxonomy_table
-from .pipeline import run_pipeline
+from .pipeline import REQUIRED, Paths, pipeline_ready, run_pipeline
 from .star import (OrderWorld, all_texts, customer_students, document_postings, document_taxonomy,
                    frozen_scorer, order_postings, order_texts, spread, table)
 
@@ -120,6 +124,25 @@ def stream_demand_by_role(spark, sf_dir):
     return _six(_streamed_demand(spark, sf_dir, "e"), "pct_postings")
 
 
+def stream_until_idle(spark, sf_dir):
+    """The stream's results when it ran in batches until no message came."""
+    inbox, out, mark = (scratch_path(spark, n) for n in ("inbox", "idle", "progress"))
+    send_to_folder(postings_to_messages(document_postings(spark, sf_dir)), inbox)
+    query = start_extraction(folder_stream(spark, inbox), document_taxonomy(spark), out, mark,
+                             available_now=False, every="0 seconds")
+    run_until_idle(query, idle_seconds=4)
+    return spark.read.parquet(out).drop("description")
+
+
+def nan_messages(spark, sf_dir):
+    """Order prices as messages, those of urgent orders as NaN."""
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("posting_id"), price.alias("price"))
+    sent = postings_to_messages(orders)
+    return sent.select("key", F.get_json_object("value", "$.price").cast("double").alias("price"),
+                       F.contains("value", F.lit('"price":null')).alias("written_as_null"))
+
+
 def split_text_cells(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.size(split_skills("text")).alias("n_parts"),
@@ -494,6 +517,46 @@ def student_lookup(spark, sf_dir):
     return _six(found.select("student_id", "tier", "probability", "skill_count"), "probability")
 
 
+def uploaded_students(spark, sf_dir):
+    """Uploads of both tables, then of the placed students alone, out of the store."""
+    store = Snapshots(spark, scratch_path(spark, "store"))
+    students, texts = customer_students(spark, sf_dir), order_texts(spark, sf_dir)
+    posts, people, placed = (scratch_path(spark, n) for n in ("posts", "people", "placed"))
+    export_csv(texts.select(F.lit("t").alias("title"), F.lit("c").alias("company"), "description"), posts)
+    export_csv(students, people)
+    export_csv(students.where("placed = 1"), placed)
+    for files in ((posts, people), (None, placed)):
+        errors = accept_uploads(spark, store, *files)
+        if errors:
+            raise ValueError(errors)
+    return _six(_text(store.read("students"), "skills"), "cgpa")
+
+
+def stored_tables(spark, sf_dir):
+    """Rows of stored, absent and chosen tables, and which of them are ready."""
+    base = scratch_path(spark, "base")
+    paths, students = Paths(base), customer_students(spark, sf_dir)
+    files = {n: f"{base}/{n}" for n in ("both", "one", "none")}
+    for name in ("both", "one"):
+        write_table(students.where("placed = 1"), files[name])
+
+    def chosen(*names):
+        return choose_source(spark, [files[n] for n in names], lambda: spark.read.parquet(files["one"]),
+                             lambda: students, "parquet")
+
+    before = pipeline_ready(spark, paths)
+    for name in REQUIRED:
+        replace_table(students, getattr(paths, name))
+        replace_table(read_table(spark, getattr(paths, name)).where("projects_count > 0"), getattr(paths, name))
+    rows = {"absent": read_table(spark, f"{base}/absent", STUDENTS), "replaced": read_table(spark, paths.students),
+            "chosen_external": chosen("both", "one"), "chosen_generated": chosen("one", "none")}
+    ready = {"absent": before, "replaced": pipeline_ready(spark, paths), "chosen_external": may_retrain(students),
+             "chosen_generated": may_retrain(students.withColumn("placed", F.nullif("projects_count", F.lit(0))))}
+    return reduce(lambda a, b: a.unionByName(b), [
+        df.agg(F.lit(k).alias("case"), F.count("*").alias("n_rows"), F.lit(ready[k]).alias("ready"))
+        for k, df in rows.items()])
+
+
 # --- validation --------------------------------------------------------------
 
 def _upload(spark, sf_dir):
@@ -599,6 +662,16 @@ def logistic_optimum(spark, sf_dir):
     return found.withColumn("gradient", F.round("gradient", 3) + F.lit(0.0))
 
 
+def stored_model_optimum(spark, sf_dir):
+    """The gradient at the weights of a model that was stored and loaded again."""
+    training, n, scaling = _scaled(spark, sf_dir)
+    path, learner = scratch_path(spark, "model"), P.logistic_learner(n)
+    model = learner.fit(scaling.transform(training).select("features", "placed"))
+    P.save_model(PipelineModel(stages=[*scaling.stages, model]), path)
+    found = P.gradient(training, P.load_model(spark, path), learner.getRegParam())
+    return found.withColumn("gradient", F.round("gradient", 3) + F.lit(0.0))
+
+
 def placement_rate(spark, sf_dir):
     return _six(C.placement_rate(customer_students(spark, sf_dir)), "placement_rate")
 
@@ -616,7 +689,9 @@ def model_choice(spark, sf_dir):
     best, results = P.judged(held_out, {
         "long_texts": lambda df: df.withColumn("probability", 1.0 / (1.0 + F.exp(-steps))),
         "short_texts": lambda df: df.withColumn("probability", 1.0 / (1.0 + F.exp(steps)))})
-    long = P.metrics_long(P.metrics_table(spark, P.Trained(best, None, results)))
+    metrics, path = P.metrics_table(spark, P.Trained(best, None, results)), scratch_path(spark, "metrics")
+    write_metrics(metrics, path)
+    long = P.metrics_long(spark.read.schema(metrics.schema).json(path))
     return _six(long, "value").withColumn("selected", F.col("model") == best)
 
 
@@ -646,7 +721,7 @@ def train_best(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     skill_mentions, mentions_by_join, posting_skills, market_demand, demand_by_role, market_kpis, messages_json,
-    process_messages, stream_extract, stream_demand, stream_demand_by_role, split_text_cells, market_demand_ranked, top_skills,
+    process_messages, stream_extract, stream_until_idle, nan_messages, stream_demand, stream_demand_by_role, split_text_cells, market_demand_ranked, top_skills,
     scaled_demand, demand_rollup, demand_with_category, skill_gaps, skill_gaps_long, category_coverage_long, alignment, off_market, gap_detail,
     category_coverage, cohort_coverage, feature_frame, score_cohort, alignment_scatter,
     unscored_cohort, tier_counts, cohort_kpis, prob_histogram, percentile, price_percentile,
@@ -655,7 +730,7 @@ QUERIES = {f.__name__: f for f in (
     search_postings, postings_with_skill,
     gap_postings, gap_hits, extraction_quality, quality_summary, text_quality,
     text_market, external_postings, external_students, csv_round_trip, students_csv, stage_tables,
-    intervention_csv, published_tables, student_lookup, validation_report,
+    intervention_csv, published_tables, uploaded_students, stored_tables, student_lookup, validation_report,
     numeric_coercion, dup_ids, seq_ids, prepared_postings, random_sample, auc_exact, accuracy,
-    class_report, class_guard, scaler_stats, logistic_optimum, placement_rate, train_split, model_choice, importance_order,
+    class_report, class_guard, scaler_stats, logistic_optimum, stored_model_optimum, placement_rate, train_split, model_choice, importance_order,
     boosted_stump, train_best)}

@@ -466,6 +466,16 @@ ORACLE["gap_hits"] = _with(
     "s AS (SELECT student_id, string_agg(gap_rank || ':' || skill || ':' || listed, ';' ORDER BY gap_rank) AS gaps "
     "FROM g GROUP BY student_id)") + (
     "SELECT student_id, coalesce(gaps, '') AS gaps FROM students LEFT JOIN s USING (student_id)")
+ORACLE["stream_until_idle"] = ORACLE["process_messages"]
+ORACLE["stored_model_optimum"] = ORACLE["logistic_optimum"]
+ORACLE["nan_messages"] = (
+    "SELECT o_orderkey::VARCHAR AS key, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice::DOUBLE END AS price, "
+    "o_orderpriority = '1-URGENT' AS written_as_null FROM orders")
+ORACLE["stored_tables"] = _with(*_STUDENTS) + (
+    "SELECT 'absent' AS case, 0 AS n_rows, false AS ready UNION ALL "
+    "SELECT 'replaced', count(*) FILTER (projects_count > 0), true FROM students UNION ALL "
+    "SELECT 'chosen_external', count(*) FILTER (placed = 1), count(*) = count(placed) FROM students UNION ALL "
+    "SELECT 'chosen_generated', count(*), count(*) = count(nullif(projects_count, 0)) FROM students")
 ORACLE["stream_demand"] = ORACLE["market_demand"]
 ORACLE["stream_demand_by_role"] = ORACLE["demand_by_role"]
 ORACLE["mentions_by_join"] = ORACLE["skill_mentions"]
@@ -478,6 +488,7 @@ ORACLE["students_csv"] = _with(*_STUDENTS, "s AS (SELECT student_id, string_agg(
                                "FROM own GROUP BY ALL)") + (
     "SELECT student_id, round(cgpa, 6) + 0.0 AS cgpa, projects_count, certifications_count, internships_count, "
     "coalesce(skills, '') AS skills, placed FROM students LEFT JOIN s USING (student_id)")
+ORACLE["uploaded_students"] = ORACLE["students_csv"] + " WHERE placed = 1"
 ORACLE["stage_tables"] = _with(*_DOC) + (
     "SELECT 'job_postings_skills' AS stored, count(*) AS n_rows FROM documents UNION ALL "
     "SELECT 'market_skill_demand', count(DISTINCT skill) FROM mentions UNION ALL "
