@@ -29,6 +29,8 @@ QUANTILE_ACCURACY = 20_000
 REFRESH = 10
 #: Binary places of a gradient; sums of 2**33 rows fit into 64 bits.
 PLACES = 30
+#: Sums of single tasks that the driver may add up itself, 32 bytes each; more go through Spark.
+DIRECT = 1 << 18
 #: Rows of a block.
 BLOCK_ROWS = 1 << 16
 
@@ -112,7 +114,7 @@ def fixed(values):
     return np.rint(values * float(1 << PLACES))
 
 
-def level_sums(blocks, features, base, trees, tree, level):
+def level_sums(blocks, features, base, trees, tree, level, tasks=None):
     """Gradient and curvature per node, feature and bin over the rows at a level's nodes."""
     first, nodes = (1 << level) - 1, 1 << level
 
@@ -135,12 +137,14 @@ def level_sums(blocks, features, base, trees, tree, level):
             names=["node", "feature", "bin", "g", "h"])
 
     parts = blocks.mapInArrow(each, "node int, feature int, bin int, g long, h long")
-    rows = parts.groupBy("node", "feature", "bin").sum("g", "h").toArrow()
-    out = np.zeros((2, nodes, features, BINS))
+    if tasks is None or tasks * nodes * features * BINS > DIRECT:
+        parts = parts.groupBy("node", "feature", "bin").sum("g", "h").toDF("node", "feature", "bin", "g", "h")
+    rows = parts.toArrow()
+    out = np.zeros((2, nodes, features, BINS), np.int64)
     at = tuple(rows.column(c).to_numpy() for c in ("node", "feature", "bin"))
-    for k, c in enumerate(("sum(g)", "sum(h)")):
-        out[(k, *at)] = rows.column(c).to_numpy() / float(1 << PLACES)
-    return out
+    for k, c in enumerate(("g", "h")):
+        np.add.at(out[k], at, rows.column(c).to_numpy())
+    return out / float(1 << PLACES)
 
 
 def split_level(tree, level, sums, bins, penalty, least_weight, rate):
@@ -176,7 +180,7 @@ def fit_boosted(df, features, label="placed", rounds=200, depth=3, rate=0.1, pen
 
     Newton boosting of the log loss: a leaf is -g / (h + ``penalty``) times ``rate``, a split needs
     ``least_weight`` of curvature on both sides and a gain above zero. It starts from the share of
-    ones. ``tasks`` sets how many tasks the blocks are kept in.
+    ones. ``tasks`` is the largest number of tasks that the blocks are kept in.
     """
     features = list(features)
     cuts = cut_points(df, features)
@@ -190,7 +194,7 @@ def fit_boosted(df, features, label="placed", rounds=200, depth=3, rate=0.1, pen
     for number in range(rounds):
         tree = Tree(depth)
         for level in range(depth):
-            sums = level_sums(blocks, len(features), base, fresh, tree, level)
+            sums = level_sums(blocks, len(features), base, fresh, tree, level, tasks)
             split_level(tree, level, sums, [len(c) + 1 for c in cuts], penalty, least_weight, rate)
             if not (tree.feature[(1 << level) - 1:(2 << level) - 1] >= 0).any():
                 break

@@ -67,8 +67,9 @@ def test_equals_plain_newton_boosting(spark):
 def test_same_model_for_any_partitioning(spark):
     x, y = rows(300)
     df = frame(spark, x, y)
-    models = [B.fit_boosted(d, NAMES, rounds=12).getOrDefault("trees") for d in (df.repartition(7), df.coalesce(1))]
-    assert models[0] == models[1]
+    models = [B.fit_boosted(d, NAMES, rounds=12, tasks=k).getOrDefault("trees")
+              for d, k in ((df.repartition(7), None), (df.repartition(7), 3), (df.coalesce(1), None))]
+    assert models[0] == models[1] == models[2]
 
 
 def test_loss_falls_with_rounds(spark):
