@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import OTHER_CATEGORY, TOP_GAPS_STORED
 from ..functions.lists import each, or_empty
+from ..functions.lookup import lookup
 from ..functions.sizing import fetch_small
 from .demand import DemandProfile, with_category
 
@@ -130,16 +131,24 @@ def category_coverage(students, market, taxonomy):
         return _category_coverage_long(students, market, taxonomy)
     known = {r["skill"]: r["category"] for r in fetch_small(
         with_category(market.select("skill"), taxonomy))}
-    mine = own_skills()
-
-    def row(entry):
-        inside = DemandProfile([r for r in profile.rows if known[r["skill"]] == entry["category"]])
-        return F.struct(F.lit(entry["category"]).alias("category"),
-                        F.lit(entry["category_pos"]).alias("category_pos"),
-                        inside.alignment(mine).alias("coverage"))
+    # One lookup for all categories: skill -> its category and posting count.
+    entry = lookup({r["skill"]: {"category": known[r["skill"]], "n": r["posting_count"]} for r in profile.rows},
+                   "struct<category:string,n:bigint>")
+    totals = {}
+    for r in profile.rows:
+        totals[known[r["skill"]]] = totals.get(known[r["skill"]], 0) + r["posting_count"]
+
+    def row(at, found):
+        own = F.aggregate(F.filter(found, lambda e: e["category"] == at["category"]), F.lit(0).cast("bigint"),
+                          lambda total, e: total + e["n"])
+        total = totals.get(at["category"])
+        return F.struct(F.lit(at["category"]).alias("category"), F.lit(at["category_pos"]).alias("category_pos"),
+                        (own / F.lit(float(total)) if total else F.lit(0.0)).alias("coverage"))
 
     ordered = sorted(listed, key=lambda r: r["category_pos"])
-    return students.select("student_id", F.inline(F.array(*[row(e) for e in ordered])))
+    found = F.filter(F.transform(own_skills(), entry), lambda e: e.isNotNull())
+    rows = F.get(F.transform(F.array(found), lambda f: F.array(*[row(e, f) for e in ordered])), 0)
+    return students.select("student_id", F.inline(rows))
 
 
 def _category_coverage_long(students, market, taxonomy):
