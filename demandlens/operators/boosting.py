@@ -1,11 +1,13 @@
 """Second-order boosted trees for a 0/1 outcome, on histograms.
 
 Every feature is cut once at quantiles of all training rows, and rows become blocks of bin
-numbers that stay where they are. A level of a tree is one grouped aggregate: each task
-adds up gradient and curvature per (node, feature, bin) of its blocks, Spark sums these, and
-the driver, which sees no more than nodes x features x bins sums, picks the splits with the
-largest gain. Gradients are rounded to a fixed number of binary places before they are
-added, so the sums do not depend on their order and a model is the same in every run.
+numbers that stay where they are. A level of a tree is one aggregate: each task adds up
+gradient and curvature per (node, feature, bin) of its blocks, Spark sums these, and
+the driver, which sees nodes x features x bins sums, picks the splits with the
+largest gain. These are hundreds of small jobs over the same rows, so they run on the blocks'
+RDD: planning a DataFrame for each took longer than its work. Gradients are rounded to a
+fixed number of binary places before they are added, so the sums do not depend on their
+order and a model is the same in every run.
 
 The margin of a block is that of the last refresh plus the trees grown since; every
 ``REFRESH`` trees the blocks are checkpointed with their margins.
@@ -16,7 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -26,11 +28,9 @@ from ..session import durable
 
 BINS = 256
 QUANTILE_ACCURACY = 20_000
-REFRESH = 10
+REFRESH = 20
 #: Binary places of a gradient; sums of 2**33 rows fit into 64 bits.
 PLACES = 30
-#: Sums of single tasks that the driver may add up itself, 32 bytes each; more go through Spark.
-DIRECT = 1 << 18
 #: Rows of a block.
 BLOCK_ROWS = 1 << 16
 
@@ -96,9 +96,9 @@ class Tree:
         return at
 
 
-def opened(block, features):
-    """Codes, labels and margins of the blocks of an Arrow batch."""
-    for n, codes, label, margin in zip(*(block.column(c).to_pylist() for c in ("n", "codes", "label", "margin"))):
+def opened(rows, features):
+    """Codes, labels and margins of block rows."""
+    for n, codes, label, margin in rows:
         yield (np.frombuffer(codes, np.uint8).reshape(features, n), np.frombuffer(label, np.uint8),
                np.frombuffer(margin))
 
@@ -114,37 +114,32 @@ def fixed(values):
     return np.rint(values * float(1 << PLACES))
 
 
-def level_sums(blocks, features, base, trees, tree, level, tasks=None):
-    """Gradient and curvature per node, feature and bin over the rows at a level's nodes."""
+def level_sums(rows, features, base, trees, tree, level):
+    """Gradient and curvature per node, feature and bin over the rows at a level's nodes.
+
+    Tasks add up their blocks, and a tree of further tasks their sums; the driver gets a few
+    of the size of the result."""
     first, nodes = (1 << level) - 1, 1 << level
 
-    def each(batches):
-        total = np.zeros((3, nodes, features, BINS), np.int64)
-        for batch in batches:
-            for codes, y, margin in opened(batch, features):
-                p = 1 / (1 + np.exp(-base - grown_margin(codes, margin, trees)))
-                at = tree.place(codes, level) - first
-                here = np.flatnonzero(at >= 0)  # the others ended higher up
-                g, h, at = fixed(p - y)[here], fixed(p * (1 - p))[here], at[here]
-                for f in range(features):
-                    slot = at * BINS + codes[f][here]
-                    for k, weights in enumerate((g, h, None)):
-                        total[k, :, f, :] += np.bincount(slot, weights, nodes * BINS).astype(np.int64).reshape(nodes, BINS)
-        node, feature, code = np.nonzero(total[2])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(node, pa.int32()), pa.array(feature, pa.int32()), pa.array(code, pa.int32()),
-             *[pa.array(total[k, node, feature, code]) for k in range(2)]],
-            names=["node", "feature", "bin", "g", "h"])
-
-    parts = blocks.mapInArrow(each, "node int, feature int, bin int, g long, h long")
-    if tasks is None or tasks * nodes * features * BINS > DIRECT:
-        parts = parts.groupBy("node", "feature", "bin").sum("g", "h").toDF("node", "feature", "bin", "g", "h")
-    rows = parts.toArrow()
-    out = np.zeros((2, nodes, features, BINS), np.int64)
-    at = tuple(rows.column(c).to_numpy() for c in ("node", "feature", "bin"))
-    for k, c in enumerate(("g", "h")):
-        np.add.at(out[k], at, rows.column(c).to_numpy())
-    return out / float(1 << PLACES)
+    def each(part):
+        total = np.zeros((2, nodes, features, BINS), np.int64)
+        for codes, y, margin in opened(part, features):
+            p = 1 / (1 + np.exp(-base - grown_margin(codes, margin, trees)))
+            at = tree.place(codes, level) - first
+            here = np.flatnonzero(at >= 0)  # the others ended higher up
+            g, h, at = fixed(p - y)[here], fixed(p * (1 - p))[here], at[here]
+            for f in range(features):
+                slot = at * BINS + codes[f][here]
+                for k, weights in enumerate((g, h)):
+                    total[k, :, f, :] += np.bincount(slot, weights, nodes * BINS).astype(np.int64).reshape(nodes, BINS)
+        yield total
+
+    return rows.mapPartitions(each).treeReduce(np.add) / float(1 << PLACES)
+
+
+def kept(blocks):
+    """The rows of checkpointed blocks in memory, for the many small jobs of the rounds."""
+    return blocks.rdd.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def split_level(tree, level, sums, bins, penalty, least_weight, rate):
@@ -189,12 +184,12 @@ def fit_boosted(df, features, label="placed", rounds=200, depth=3, rate=0.1, pen
         raise ValueError("training needs rows of both outcomes")
     base = math.log(share / (1 - share))
     blocks = blocked(df if tasks is None else df.coalesce(tasks), features, label, cuts)
-    blocks, fresh, trees = durable(blocks).persist(), [], []
-    schema = blocks.schema
+    blocks, fresh, trees = durable(blocks), [], []
+    schema, rows = blocks.schema, kept(blocks)
     for number in range(rounds):
         tree = Tree(depth)
         for level in range(depth):
-            sums = level_sums(blocks, len(features), base, fresh, tree, level, tasks)
+            sums = level_sums(rows, len(features), base, fresh, tree, level)
             split_level(tree, level, sums, [len(c) + 1 for c in cuts], penalty, least_weight, rate)
             if not (tree.feature[(1 << level) - 1:(2 << level) - 1] >= 0).any():
                 break
@@ -205,14 +200,15 @@ def fit_boosted(df, features, label="placed", rounds=200, depth=3, rate=0.1, pen
         if len(fresh) == REFRESH and number + 1 < rounds:
             def renewed(batches, fresh=tuple(fresh)):
                 for batch in batches:
-                    margins = [grown_margin(c, m, fresh).tobytes() for c, _, m in opened(batch, len(features))]
+                    own = zip(*(c.to_pylist() for c in batch.columns))
+                    margins = [grown_margin(c, m, fresh).tobytes() for c, _, m in opened(own, len(features))]
                     yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(margins, pa.binary())],
                                                      names=schema.names)
 
-            after = durable(blocks.mapInArrow(renewed, schema)).persist()
-            blocks.unpersist()
-            blocks, fresh = after, []
-    blocks.unpersist()
+            blocks, fresh = durable(blocks.mapInArrow(renewed, schema)), []
+            rows.unpersist()
+            rows = kept(blocks)
+    rows.unpersist()
     return BoostedTreesModel(inputCols=features, base=base, trees=stored_trees(trees, cuts))
 
 

@@ -58,9 +58,9 @@ def test_equals_plain_newton_boosting(spark):
     df = frame(spark, x, y)
     cuts = B.cut_points(df, NAMES)
     assert [len(c) for c in cuts[1:]] == [3, 10] and len(cuts[0]) >= 200
-    model = B.fit_boosted(df.repartition(5), NAMES, rounds=13)
+    model = B.fit_boosted(df.repartition(5), NAMES, rounds=23)
     got = model.transform(df).orderBy("id").select("probability").toPandas()["probability"].to_numpy()
-    want = 1 / (1 + np.exp(-plain(x, y, cuts, 13)))
+    want = 1 / (1 + np.exp(-plain(x, y, cuts, 23)))
     assert np.allclose(got, want, atol=1e-6)
 
 
