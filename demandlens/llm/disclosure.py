@@ -39,7 +39,9 @@ TERM, LONG_TERM = r"\p{L}+", r"\p{L}{4,}"
 WIDTH, REACH = 6, 160
 MIN_CONTEXTS = 3
 GENERALISE, REMOVE = 0.75, 0.95
-BUCKETS = 1 << 16
+#: Hash values by which words are sorted out before they are shuffled: so many per term, within
+#: bounds; the table that is broadcast has one row a term at most and never more than these.
+PER_TERM, FEWEST, BUCKETS = 256, 1 << 16, 1 << 22
 SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
@@ -182,8 +184,8 @@ def disclosing_terms(docs, doc_id="doc_id", text="text", min_contexts=MIN_CONTEX
     return None if terms.isEmpty() else terms
 
 
-def bucket(term):
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+def bucket(term, buckets):
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def words_in(docs, text):
@@ -197,8 +199,9 @@ def candidate_words(docs, text, terms):
     """``words_in``, only terms that are among ``terms``. Most words are dropped by a
     broadcast table of at most ``BUCKETS`` numbers before the exact join."""
     wanted = terms.distinct()
-    marks = wanted.select(bucket("term").alias("b")).distinct()
-    return (words_in(docs, text).join(F.broadcast(marks), bucket("term") == F.col("b"), "left_semi")
+    buckets = min(BUCKETS, max(FEWEST, wanted.count() * PER_TERM))
+    marks = wanted.select(bucket("term", buckets).alias("b")).distinct()
+    return (words_in(docs, text).join(F.broadcast(marks), bucket("term", buckets) == F.col("b"), "left_semi")
             .join(wanted, "term", "left_semi"))
 
 
