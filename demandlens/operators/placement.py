@@ -4,7 +4,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import FEATURES
 from ..functions.hashing import draw_long
 from ..functions.numbers import logistic
-from ..session import durable
+from ..session import durable, scratch_path
 from .boosting import BoostedTreesModel, fit_boosted
 from .cohort import feature_frame
 from .ranking import running_total
@@ -76,10 +76,21 @@ def feature_stages(n_train, features=FEATURES):
     ]
 
 
+class StoredLogisticRegression(LogisticRegression):
+    """Logistic regression whose model is stored and loaded once. A model as fitted holds its
+    training summary and with it the session, which no task can take once the session has
+    observed a query (``DataFrame.observe``); the loaded model is the same without it."""
+
+    def _fit(self, dataset):
+        path = scratch_path(dataset.sparkSession, "logistic")
+        super()._fit(dataset).write().save(path)
+        return LogisticRegressionModel.load(path)
+
+
 def logistic_learner(n_train):
     """Logistic regression with an L2 penalty of weight 1 on the summed loss."""
-    return LogisticRegression(labelCol="placed", maxIter=1000, tol=1e-9, regParam=1.0 / n_train,
-                              elasticNetParam=0.0, standardization=False)
+    return StoredLogisticRegression(labelCol="placed", maxIter=1000, tol=1e-9, regParam=1.0 / n_train,
+                                    elasticNetParam=0.0, standardization=False)
 
 
 def with_probability(model, df):

@@ -119,6 +119,18 @@ def test_linear_form_equals_the_pipeline(spark):
     assert both.agg(F.max(F.abs(F.col("probability") - F.col("q")))).first()[0] < 1e-9
 
 
+def test_fitted_model_scores_in_a_session_that_observed(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.sql import Observation
+    spark.range(3).observe(Observation(), F.count("*").alias("n")).collect()
+    df = learnable(spark, 50)
+    scaling = Pipeline(stages=P.feature_stages(50)).fit(df)
+    found = P.logistic_gradient(df, scaling, P.logistic_learner(50)).collect()
+    assert len(found) == len(P.FEATURES) and all(abs(r.gradient) < 1e-3 for r in found)
+    model = Pipeline(stages=[*P.feature_stages(50), P.logistic_learner(50)]).fit(df)
+    assert P.with_probability(model, df).where("probability IS NOT NULL").count() == 50
+
+
 def test_population_scaling(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
