@@ -1,13 +1,15 @@
 """A quality classifier: interpolated modified Kneser-Ney over byte n-grams.
 
-The model is fitted on a bounded sample of trusted texts (``SAMPLE_BYTES`` per language).
-Counts, continuation counts, discounts and the joins of each order with its contexts and
-its next lower order are Spark jobs; an n-gram is a whole number, its bytes. The finished
-table (log probability of each seen n-gram, weight of each seen context) is cut into shards
-by the last byte of the context, so that all a position needs is in one shard, and texts
-pass from shard to shard inside their task without a shuffle. Each text gets its
-perplexity, and is kept between two quantiles of the trusted texts of its language; the
-upper one is taken from those that were left out of the fit.
+The model is fitted on all trusted texts but those left out for the quantiles. Counts,
+continuation counts, discounts and the joins of each order with its contexts and its next
+lower order are Spark jobs; an n-gram is a whole number, its bytes. The finished table (log
+probability of each seen n-gram, weight of each seen context) grows with the texts and stays
+a Spark table: the different n-grams of a chunk of texts are packed and sent to the shards
+of the model, which are cut by the last bytes of the context, so that all an n-gram needs is
+in one shard; the values come back to the chunk. Only orders 1 and 2, which are of fixed
+size, are broadcast. Each text gets its perplexity, and is kept between two quantiles of the
+trusted texts of its language; the upper one is taken from those that were left out of the
+fit.
 """
 
 from math import ceil
@@ -16,15 +18,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from demandlens.llm.frames import doc_bucket, fresh, steps, stored
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
 ORDER = 6
-#: Trusted text per language that the model is fitted on, chosen by the hash of the id.
-SAMPLE_BYTES = 4 << 20
 MAX_LANGUAGES = 500
-#: Bytes of a shard of the model, at 20 a row.
+#: Bytes of a shard, of the model or of the n-grams sent to it, at 20 a row.
 SHARD_BYTES, ROW_BYTES = 32 << 20, 20
+#: Into how many shards the third last byte of the context divides those of the last two.
+THIRDS = 16
+#: Text whose different n-grams are looked up together, and text that is packed together.
+CHUNK_BYTES, PART_BYTES = 32 << 20, 2 << 20
 #: One trusted document in so many is left out of the fit, for the quantiles.
 HELD_OUT = 5
 LOW, HIGH = 0.002, 0.99
@@ -104,12 +109,12 @@ def fit(docs, text="text"):
 
 
 class Shard:
-    """The part of a model whose contexts end in certain bytes, as sorted tables."""
+    """Sorted tables of a part of a model, by order."""
 
-    def __init__(self, rows, number, count):
-        order = rows.column("order").to_numpy()
-        gram, value = rows.column("gram").to_numpy(), rows.column("value").to_numpy().astype(np.float32)
-        self.number, self.count, self.tables = number, count, {}
+    def __init__(self, rows, more=None):
+        order = rows["order"].to_numpy()
+        gram, value = rows["gram"].to_numpy(), rows["value"].to_numpy().astype(np.float32)
+        self.tables = dict(more.tables) if more else {}
         for k in np.unique(order).tolist():
             own = order == k
             by = np.argsort(gram[own])
@@ -123,9 +128,6 @@ class Shard:
         at = np.minimum(np.searchsorted(gram, keys), len(gram) - 1)
         return gram[at] == keys, value[at]
 
-    def mine(self, keys):
-        return ((keys >> 8) & 255) % self.count == self.number
-
     def log_probability(self, keys):
         """ln p of the last byte of each n-gram: from the longest seen suffix, times the
         weights of the longer contexts."""
@@ -142,43 +144,130 @@ class Shard:
         return total
 
 
-def shards(model):
-    """The model in pieces of about ``SHARD_BYTES``, one at a time; what has no context is
-    in all of them."""
-    rows = model.count()
-    count = min(256, max(1, ceil(rows * ROW_BYTES / SHARD_BYTES)))
-    last = F.when(F.col("order") > 0, F.shiftright("gram", 8)).otherwise(F.col("gram")).bitwiseAND(255)
-    for number in range(count):
-        yield Shard(model.where((last % count == number) | F.col("order").isin(0, 1)).toArrow(), number, count)
+def packed(values):
+    """Numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data, size, kind):
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, size * width, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, size).T).view(kind).reshape(size)
+
+
+def packed_grams(keys):
+    """Sorted n-grams as packed differences."""
+    return packed(np.diff(keys, prepend=0))
+
+
+def unpacked_grams(data, size):
+    return np.cumsum(unpacked(data, size, np.int64))
+
+
+def chunks(docs, text):
+    """All rows of ``docs``, packed, and the different n-grams of each chunk of them: chunk,
+    rows (an Arrow stream) or n and grams."""
+    schema = StructType().add("chunk", "long").add("rows", "binary").add("n", "long").add("grams", "binary")
+
+    def row(chunk, rows, n, found):
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([rows], pa.binary()),
+                                           pa.array([n], pa.int64()), pa.array([found], pa.binary())], names=schema.names)
+
+    def each(batches):
+        chunk, held, found = TaskContext.get().partitionId() << 32, 0, np.empty(0, np.int64)
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            for part in steps([batch], text, PART_BYTES):
+                keys = grams(part.column(text))[0]
+                if held and held + len(keys) > CHUNK_BYTES:
+                    yield row(chunk, None, len(found), packed_grams(found))
+                    chunk, held, found = chunk + 1, 0, np.empty(0, np.int64)
+                held += len(keys)
+                found = np.union1d(found, np.unique(keys))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=options) as stream:
+                    stream.write_batch(part)
+                yield row(chunk, sink.getvalue().to_pybytes(), None, None)
+        if held:
+            yield row(chunk, None, len(found), packed_grams(found))
+
+    return docs.mapInArrow(each, schema)
+
+
+def answers(table, model):
+    """(chunk, n, grams, value): the log probabilities of the n-grams of each chunk."""
+    most = max(model.count(), table.agg(F.sum("n")).first()[0] or 0)
+    count = max(1, ceil(most * ROW_BYTES / SHARD_BYTES))
+    thirds = min(THIRDS, count)
+    pairs = ceil(count / thirds) | 1
+    context = F.when(F.col("order") > 0, F.shiftright("gram", 8)).otherwise(F.col("gram"))
+    size = F.when(F.col("order") > 0, F.col("order") - 1).otherwise(-F.col("order"))  # bytes of the context
+    third = (F.shiftright(context, 16).bitwiseAND(255) % thirds).cast("int")
+    every = F.sequence(F.lit(0), F.lit(thirds - 1))  # a context of two bytes is in all shards of these
+    longer = (model.where(size >= 2).select("*", F.explode(F.when(size == 2, every).otherwise(F.array(third))).alias("third"))
+              .select((context.bitwiseAND(65535) % pairs * thirds + F.col("third")).alias("shard"), "order", "gram", "value"))
+    shorter = Shard(model.where(size < 2).toArrow())  # at most 65,536 + 2 * 256 + 1 rows
+    shared = table.sparkSession.sparkContext.broadcast(shorter)
+
+    def ask(batches):
+        for batch in batches:
+            for chunk, n, data in zip(*(batch.column(c).to_pylist() for c in ("chunk", "n", "grams"))):
+                keys = unpacked_grams(data, n)
+                at = keys >> 8
+                shard = (at & 65535) % pairs * thirds + ((at >> 16) & 255) % thirds
+                order = np.argsort(shard, kind="stable")
+                numbers, first = np.unique(shard[order], return_index=True)
+                parts = np.split(keys[order], first[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers, pa.int64()), pa.array([chunk] * len(parts), pa.int64()),
+                     pa.array([len(x) for x in parts], pa.int64()),
+                     pa.array([packed_grams(x) for x in parts], pa.binary())], names=["shard", "chunk", "n", "grams"])
+
+    asked = table.where("n > 0").select("chunk", "n", "grams").mapInArrow(
+        ask, "shard long, chunk long, n long, grams binary")
+
+    def answer(rows, asked):
+        shard = Shard(rows, shared.value)
+        value = [packed(shard.log_probability(unpacked_grams(data.as_py(), n.as_py())).astype(np.float32))
+                 for n, data in zip(asked["n"], asked["grams"])]
+        return pa.table({"chunk": asked["chunk"], "n": asked["n"], "grams": asked["grams"],
+                         "value": pa.array(value, pa.binary())})
+
+    return longer.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(
+        answer, "chunk long, n long, grams binary, value binary")
 
 
 def perplexities(docs, model, text="text", names=("n_bytes", "perplexity")):
     """``docs`` plus the number of bytes of ``text`` and its perplexity per byte; null and
     empty texts have 0 and null. ``names`` get leading underscores where ``docs`` has such
     columns."""
-    size, result = fresh(docs.columns, names[0]), None
+    size = fresh(docs.columns, names[0])
     result = fresh([*docs.columns, size], names[1])
-    kept, total = docs.columns, fresh([*docs.columns, size, result], "total")
+    total = fresh([*docs.columns, size, result], "total")
     schema = StructType(list(docs.schema.fields)).add(total, DoubleType()).add(size, LongType())
-    table = docs
-    for number, shard in enumerate(shards(model)):
-        shared = docs.sparkSession.sparkContext.broadcast(shard)
-
-        def each(batches, shared=shared, later=number > 0):
-            shard = shared.value
-            for part in steps(batches, text, 2 << 20):
-                keys, owner = grams(part.column(text))
-                mine = shard.mine(keys)
-                some, back = np.unique(keys[mine], return_inverse=True)
-                sums = np.bincount(owner[mine], shard.log_probability(some)[back], part.num_rows).astype(float)
-                if later:
-                    sums += part.column(total).to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in kept] + [pa.array(sums, pa.float64()),
-                     pa.array(np.bincount(owner, minlength=part.num_rows), pa.int64())], names=schema.names)
+    table = stored(chunks(docs, text), "chunks")
+
+    def settle(rows, found):
+        pairs = [(unpacked_grams(g.as_py(), n.as_py()), unpacked(v.as_py(), n.as_py(), np.float32))
+                 for n, g, v in zip(found["n"], found["grams"], found["value"])]
+        keys = np.concatenate([np.empty(0, np.int64), *(g for g, _ in pairs)])
+        value = np.concatenate([np.empty(0, np.float32), *(v for _, v in pairs)])
+        order = np.argsort(keys)
+        keys, value, out = keys[order], value[order], []
+        for data in rows["rows"]:
+            for part in pa.ipc.open_stream(data.as_py()):
+                own, owner = grams(part.column(text))
+                some, back = np.unique(own, return_inverse=True)
+                sums = np.bincount(owner, value[np.searchsorted(keys, some)][back], part.num_rows).astype(float)
+                out.append(pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(sums, pa.float64()),
+                     pa.array(np.bincount(owner, minlength=part.num_rows), pa.int64())], names=schema.names))
+        return pa.Table.from_batches(out)
 
-        table = table.mapInArrow(each, schema)
-    return table.withColumn(result, F.when(F.col(size) > 0, F.exp(-F.col(total) / F.col(size)))).drop(total)
+    rows = table.where("rows IS NOT NULL").select("chunk", "rows")
+    scored = rows.groupBy("chunk").cogroup(answers(table, model).groupBy("chunk")).applyInArrow(settle, schema)
+    return scored.withColumn(result, F.when(F.col(size) > 0, F.exp(-F.col(total) / F.col(size)))).drop(total)
 
 
 def classify(docs, labels, doc_id="doc_id", text="text", lang="lang", quality="quality"):
@@ -195,18 +284,9 @@ def classify(docs, labels, doc_id="doc_id", text="text", lang="lang", quality="q
     trusted = labels.where(F.col(quality) == 1).select(F.col(doc_id).alias("doc")).distinct()
     table = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     out = doc_bucket("doc", HELD_OUT) == 0
-    sizes = table.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
+    if table.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages; raise MAX_LANGUAGES or merge labels")
-    # which share of a language's documents may hold SAMPLE_BYTES of trusted text
-    narrow = table.select("doc", "lang", F.octet_length("text").alias("bytes")).where(~out)
-    held = {r["lang"]: r["bytes"] for r in narrow.join(trusted, "doc").groupBy("lang").agg(F.sum("bytes").alias("bytes")).collect()}
-    share = F.lit(0.0)
-    for known, size in held.items():
-        share = F.when(F.col("lang").eqNullSafe(known), min(1.0, SAMPLE_BYTES / max(size or 1, 1))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.col("doc").cast("string"), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    sample = table.where(~out & (draw < share)).join(trusted, "doc", "left_semi")
-    model = fit(sample, "text")
+    model = fit(table.where(~out).join(trusted, "doc", "left_semi"), "text")
     judged = stored(perplexities(table, model).select("doc", "lang", "n_bytes", "perplexity"), "perplexities")
     known = judged.join(trusted, "doc", "left_semi").where("perplexity IS NOT NULL")
     left_out = F.when(out, F.col("perplexity"))

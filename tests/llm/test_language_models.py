@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -151,6 +152,36 @@ def test_perplexity_equals_a_plain_model(spark, monkeypatch, shard):
     assert sum(p(history, bytes([b]), kn.ORDER) for b in range(256)) == pytest.approx(1)
 
 
+def test_model_is_fitted_on_all_trusted_texts(spark, monkeypatch):
+    rows = spark.range(1500).select(F.col("id").alias("doc_id"), F.lit("xx").alias("lang"),
+                                    F.repeat(F.concat(F.sha2(F.col("id").cast("string"), 256), F.lit(" ")), 70).alias("text"))
+    fitted, fit = [], kn.fit
+
+    def counted(docs, text="text"):
+        fitted.extend(r.doc for r in docs.select("doc").collect())
+        return fit(docs, text)
+
+    monkeypatch.setattr(kn, "fit", counted)
+    got = kn.classify(rows, rows.select("doc_id", F.lit(1).alias("quality"))).collect()
+    wanted = [i for i in range(1500) if zlib.crc32(str(i).encode()) % kn.HELD_OUT]
+    assert len(got) == 1500 and sorted(fitted) == wanted
+
+
+@pytest.mark.parametrize("chunk", [300, 100_000])
+def test_chunks_and_shards_do_not_change_perplexities(spark, monkeypatch, chunk):
+    corpus = texts(9, 60)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(corpus + ["", None, "zz"])], "doc_id int, text string").coalesce(2)
+    model = kn.fit(docs.where("doc_id < 30"))
+    whole = {r.doc_id: (r.n_bytes, r.perplexity) for r in kn.perplexities(docs, model).collect()}
+    monkeypatch.setattr(kn, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(kn, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(kn, "PART_BYTES", 200)
+    cut = {r.doc_id: (r.n_bytes, r.perplexity) for r in kn.perplexities(docs, model).collect()}
+    assert cut.keys() == whole.keys() == set(range(63)) and cut[60] == cut[61] == (0, None)
+    for i, (n, value) in whole.items():
+        assert cut[i] == (n, value and pytest.approx(value, rel=1e-6))
+
+
 def test_classifier_keeps_clean_and_drops_junk(spark):
     draw = random.Random(4)
     rows = [(i, t, "xx") for i, t in enumerate(texts(6, 200))]
