@@ -38,6 +38,8 @@ SLACK = 1.2
 #: Texts left out of the fit that a language's own quantiles need.
 FEW = 50
 ACCURACY = 10_000
+#: Bits of the map of trusted ids, 8 MB.
+ID_BITS = 1 << 26
 
 
 def grams(texts):
@@ -270,6 +272,20 @@ def perplexities(docs, model, text="text", names=("n_bytes", "perplexity")):
     return scored.withColumn(result, F.when(F.col(size) > 0, F.exp(-F.col(total) / F.col(size)))).drop(total)
 
 
+def likely_among(docs, ids, key="doc"):
+    """The rows of ``docs`` whose ``key`` may be among ``ids``: those whose hash has its bit
+    set. All that are among them pass, so a join on the ids behind it gives the same rows
+    and shuffles few others."""
+    if docs.schema[key].dataType != ids.schema[key].dataType:
+        return docs  # equal ids of two types may have two hashes
+    place = F.pmod(F.xxhash64(key), F.lit(ID_BITS))
+    bucket, at = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bits = ids.where(F.col(key).isNotNull()).groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(at).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2
+    return docs.join(F.broadcast(bits), bucket == F.col("_bucket")).where(bit == 1).select(*docs.columns)  # 8 MB at most
+
+
 def classify(docs, labels, doc_id="doc_id", text="text", lang="lang", quality="quality"):
     """One row per row of ``docs``: doc, lang, n_bytes, perplexity, low, high, kept.
 
@@ -286,7 +302,8 @@ def classify(docs, labels, doc_id="doc_id", text="text", lang="lang", quality="q
     out = doc_bucket("doc", HELD_OUT) == 0
     if table.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages; raise MAX_LANGUAGES or merge labels")
-    model = fit(table.where(~out).join(trusted, "doc", "left_semi"), "text")
+    # an inner join on different ids: a semi join would be moved in front of the bitmap
+    model = fit(likely_among(table.where(~out), trusted).join(trusted, "doc"), "text")
     judged = stored(perplexities(table, model).select("doc", "lang", "n_bytes", "perplexity"), "perplexities")
     known = judged.join(trusted, "doc", "left_semi").where("perplexity IS NOT NULL")
     left_out = F.when(out, F.col("perplexity"))

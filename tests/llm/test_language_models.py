@@ -167,6 +167,17 @@ def test_model_is_fitted_on_all_trusted_texts(spark, monkeypatch):
     assert len(got) == 1500 and sorted(fitted) == wanted
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_likely_ids_hold_all_wanted_ones(spark, monkeypatch, bits):
+    monkeypatch.setattr(kn, "ID_BITS", bits)
+    docs, ids = spark.range(3000).select(F.col("id").alias("doc")), spark.range(0, 3000, 7).select(F.col("id").alias("doc"))
+    found = [r.doc for r in kn.likely_among(docs, ids).collect()]
+    assert len(found) == len(set(found)) and set(found) >= set(range(0, 3000, 7))
+    assert bits == 64 or len(found) == len(range(0, 3000, 7))
+    assert kn.likely_among(docs, ids.select(F.col("doc").cast("string").alias("doc"))).count() == 3000
+    assert kn.likely_among(docs, ids.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("chunk", [300, 100_000])
 def test_chunks_and_shards_do_not_change_perplexities(spark, monkeypatch, chunk):
     corpus = texts(9, 60)
