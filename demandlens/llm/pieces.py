@@ -2,7 +2,7 @@
 
 The model file is parsed here (protobuf wire format), and its normaliser, metaspace
 marker, scores, merge order and byte fallback are rebuilt as a tokenizers pipeline, which
-encodes batches on several threads. Every text is also encoded by the sentencepiece
+encodes batches on as many threads as a task has cores. Every text is also encoded by the sentencepiece
 library; where the two differ, its ids are returned and ``parity`` is false, so the ids
 are the model's in any case.
 """
@@ -23,7 +23,6 @@ from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_toke
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The model is sent to every task.
 MAX_MODEL_BYTES = 64 << 20
-THREADS = 2
 STEP_BYTES = 2 << 20
 MARK = "▁"
 #: Fixed values of the model format: piece types and model types.
@@ -116,46 +115,65 @@ def backend(model):
         rules += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
     if model.dummy_prefix:
         rules.append(normalizers.Prepend(MARK if model.escape else " "))
-    if model.escape:
-        rules.append(normalizers.Replace(" ", MARK))
     built.normalizer = normalizers.Sequence(rules)
-    if not any(MARK in text.lstrip(MARK) for text, _, _ in model.pieces):
-        # no piece has a marker behind another character, so a word is encoded on its own
-        built.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    own = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+    if model.escape:
+        # a text stays whole: to cut it into words and encode these costs more than merging it at once
+        built.pre_tokenizer = pre_tokenizers.Metaspace(MARK, "never", split=False)
+    own = [decoders.Metaspace(MARK, "never"), decoders.ByteFallback(), decoders.Fuse()]
     if model.dummy_prefix:
         own.append(decoders.Strip(" ", 1, 0))
     built.decoder = decoders.Sequence(own)
     return built
 
 
+def decoding(model):
+    """A tokenizers pipeline that only decodes, as ``backend`` does: its pieces hold blanks in
+    place of markers, so that none has to be replaced in every piece of every text."""
+    vocabulary = {text.replace(MARK, " "): i for i, (text, _, _) in enumerate(model.pieces)}
+    if len(vocabulary) < len(model.pieces):
+        return backend(model)  # two pieces differ in blank and marker only
+    built = Tokenizer(models.BPE(vocabulary, []))
+    own = [decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []
+    built.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse(), *own])
+    return built
+
+
 _ready = {}
 
 
-def loaded(key, built, data):
-    """Both encoders of a model, built once per Python worker."""
+def shipped(spark, model_path):
+    """(key, broadcast pipelines and model) of a model file."""
+    with open(model_path, "rb") as file:
+        data = file.read(MAX_MODEL_BYTES + 1)
+    if len(data) > MAX_MODEL_BYTES:
+        raise ValueError(f"{model_path} has more than {MAX_MODEL_BYTES} bytes")
+    model = parse(data)
+    shared = spark.sparkContext.broadcast((backend(model).to_str(), decoding(model).to_str(), data))
+    return hashlib.sha256(data).hexdigest(), shared
+
+
+def loaded(key, built, back, data):
+    """Encoder, decoder and library of a model, built once per Python worker."""
     if key not in _ready:
         _ready.clear()
-        _ready[key] = Tokenizer.from_str(built), sentencepiece.SentencePieceProcessor(model_proto=data)
+        _ready[key] = (Tokenizer.from_str(built), Tokenizer.from_str(back),
+                       sentencepiece.SentencePieceProcessor(model_proto=data))
     return _ready[key]
 
 
-def encode(docs, model_path=MODEL, text="text", threads=THREADS,
+def encode(docs, model_path=MODEL, text="text", threads=None,
            names=("ids", "n_tokens", "parity", "round_trip")):
     """``docs`` plus the piece ids of ``text``, their number, whether both libraries agree
     on them, and whether the decoder gives the text back from them.
 
     Null and empty texts have no ids, agree and come back (null as null). Texts that hold
     the marker character itself, or that the model's normaliser changes, do not come back;
-    that is the model's rule. ``names`` get leading underscores where ``docs`` has such
+    that is the model's rule. A task encodes on ``threads`` threads, by default as many as it
+    has cores (``spark.task.cpus``). ``names`` get leading underscores where ``docs`` has such
     columns.
     """
-    with open(model_path, "rb") as file:
-        data = file.read(MAX_MODEL_BYTES + 1)
-    if len(data) > MAX_MODEL_BYTES:
-        raise ValueError(f"{model_path} has more than {MAX_MODEL_BYTES} bytes")
-    key = hashlib.sha256(data).hexdigest()
-    shared = docs.sparkSession.sparkContext.broadcast((backend(parse(data)).to_str(), data))
+    threads = threads or int(docs.sparkSession.conf.get("spark.task.cpus", "1"))
+    key, shared = shipped(docs.sparkSession, model_path)
     out = []
     for name in names:
         out.append(fresh(docs.columns + out, name))
@@ -166,7 +184,7 @@ def encode(docs, model_path=MODEL, text="text", threads=THREADS,
     def each(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        fast, plain = loaded(key, *shared.value)
+        fast, decoder, plain = loaded(key, *shared.value)
         for part in steps(batches, text, STEP_BYTES):
             texts = part.column(text).fill_null("").to_pylist()
             ours = [e.ids for e in fast.encode_batch_fast(texts, add_special_tokens=False)]
@@ -175,7 +193,7 @@ def encode(docs, model_path=MODEL, text="text", threads=THREADS,
             ids = [a if s else b for a, b, s in zip(ours, theirs, same)]
             sizes = [len(x) for x in ids]
             flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(sizes))
-            back = fast.decode_batch(ids, skip_special_tokens=False)
+            back = decoder.decode_batch(ids, skip_special_tokens=False)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, lists, pa.array(sizes, pa.int32()), pa.array(same),
@@ -186,18 +204,15 @@ def encode(docs, model_path=MODEL, text="text", threads=THREADS,
 
 def decode(rows, model_path=MODEL, ids="ids", name="decoded"):
     """``rows`` plus the text of its column of piece ids; null stays null."""
-    with open(model_path, "rb") as file:
-        data = file.read(MAX_MODEL_BYTES + 1)
-    key = hashlib.sha256(data).hexdigest()
-    shared = rows.sparkSession.sparkContext.broadcast((backend(parse(data)).to_str(), data))
+    key, shared = shipped(rows.sparkSession, model_path)
     out = fresh(rows.columns, name)
     schema = StructType(list(rows.schema.fields)).add(out, "string")
 
     def each(batches):
-        fast, _ = loaded(key, *shared.value)
+        _, decoder, _ = loaded(key, *shared.value)
         for batch in batches:
             lists = batch.column(ids).to_pylist()
-            texts = fast.decode_batch([x or [] for x in lists], skip_special_tokens=False)
+            texts = decoder.decode_batch([x or [] for x in lists], skip_special_tokens=False)
             texts = [None if x is None else t for x, t in zip(lists, texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 

@@ -222,6 +222,21 @@ def test_pieces_agree_and_come_back(spark):
     assert pieces.encode(docs.limit(0)).count() == 0
 
 
+def test_texts_are_merged_whole():
+    import sentencepiece
+    with open(pieces.MODEL, "rb") as file:
+        data = file.read()
+    ours, theirs = pieces.backend(pieces.parse(data)), sentencepiece.SentencePieceProcessor(model_proto=data)
+    back = pieces.decoding(pieces.parse(data))
+    assert len(ours.pre_tokenizer.pre_tokenize_str("▁one▁▁two\nthree▁")) == 1  # words are not cut apart
+    for text in [t or "" for t in EDGES] + ["one two " * 40_000, " " * 999 + "x" + " " * 40, "▁ ▁▁ x▁y", "(  a  )\t " * 500]:
+        ids = ours.encode(text, add_special_tokens=False).ids
+        assert ids == theirs.encode(text)
+        assert all(x.decode(ids, skip_special_tokens=False) == text.replace("▁", " ") for x in (ours, back))
+    fake = [theirs.piece_to_id(p) for p in ("a", "<0xE2>", "<0x96>", "<0x81>", "▁▁", "b")]
+    assert all(x.decode(fake, skip_special_tokens=False) == "a▁  b" for x in (ours, back))  # bytes of a marker are no blank
+
+
 def varint(value):
     out = b""
     while value > 127:
