@@ -60,19 +60,20 @@ def replace_tables(spark, tables):
         at[path].getFileSystem(conf).delete(jvm.org.apache.hadoop.fs.Path(f"{at[path]}.{mark}.old"), True)
 
 
-def with_text_lists(df):
-    """List columns as ``;`` text; an empty or null list is empty text."""
+def with_text_lists(df, missing=""):
+    """List columns as ``;`` text; an empty list is empty text, a null one ``missing``."""
     def column(field):
         if isinstance(field.dataType, T.ArrayType):
-            return F.coalesce(join_skills(F.col(field.name)), F.lit("")).alias(field.name)
+            return F.coalesce(join_skills(F.col(field.name)), F.lit(missing)).alias(field.name)
         return field.name
     return df.select(*[column(f) for f in df.schema])
 
 
 def export_csv(df, path):
-    """CSV with a header, quotes doubled, white space kept; lists joined by ``;``."""
-    (with_text_lists(df).write.mode("overwrite").option("header", True)
-     .option("quote", '"').option("escape", '"').option("emptyValue", "")
+    """CSV with a header, quotes doubled, white space kept; lists joined by ``;``. An empty list
+    or text is a quoted empty cell, null is a cell without anything."""
+    (with_text_lists(df, missing=None).write.mode("overwrite").option("header", True)
+     .option("quote", '"').option("escape", '"').option("emptyValue", '""')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

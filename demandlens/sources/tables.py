@@ -37,22 +37,25 @@ def read_table(spark, path, schema=None, columns=None):
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark, path, columns=None, multi_line=False):
-    """Text columns of a CSV file with a header; missing-value texts are null.
+def read_csv(spark, path, columns=None, multi_line=False, lists=()):
+    """Text columns of a CSV file with a header; missing-value texts are null, in columns of
+    ``lists`` all but a quoted empty cell, which is an empty list there.
 
     Quoted line breaks need ``multi_line``, which reads a file in one piece; without it
     one file feeds many tasks.
     """
     raw = (spark.read.option("header", True).option("multiLine", multi_line)
-           .option("quote", '"').option("escape", '"').csv(path))
+           .option("quote", '"').option("escape", '"')
+           .option("nullValue", "#N/A").csv(path))  # one of the missing texts: the default makes a quoted empty cell null
     raw = raw.select(*columns) if columns else raw
-    return raw.select(*[F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c)
+    return raw.select(*[F.when((F.col(f"`{c}`") == "") | ~F.col(f"`{c}`").isin(*CSV_MISSING) if c in lists
+                               else ~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c)
                         for c in raw.columns])
 
 
 def typed_columns(df, schema, lists):
     """Cast text columns to the schema; columns the file lacks become null. ``lists`` makes a list
-    of a cell, also of a missing one."""
+    of a cell, and decides what a missing one is."""
     def column(field):
         if field.name not in df.columns:
             return F.lit(None).cast(field.dataType).alias(field.name)
@@ -72,7 +75,7 @@ def postings_from_csv(spark, path, multi_line=False):
 
 
 def students_from_csv(spark, path, multi_line=False):
-    """Ids stay text. Skill lists keep every non-blank element; a student without a cell has
-    no skills, an empty list."""
-    return typed_columns(read_csv(spark, path, multi_line=multi_line), STUDENTS,
-                  lambda v: split_cells(v, trim=True))
+    """Ids stay text. Skill lists keep every non-blank element; a quoted empty cell is an empty
+    list, a missing one null (which counts as no skills wherever lists are used)."""
+    return typed_columns(read_csv(spark, path, multi_line=multi_line, lists=("skills",)), STUDENTS,
+                         lambda v: F.when(v.isNotNull(), split_cells(v, trim=True)))

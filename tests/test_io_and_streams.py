@@ -91,6 +91,14 @@ def test_csv_edge(spark, tmp_path):
     assert rows["x"]["skills"] is None and rows["x"]["placed"] is None
 
 
+def test_empty_and_missing_lists_survive_a_csv(spark, tmp_path):
+    path = str(tmp_path / "students")
+    df = spark.createDataFrame([("a", []), ("b", None), ("c", ["x"])], "student_id string, skills array<string>")
+    K.export_csv(df, path)
+    rows = {r["student_id"]: r["skills"] for r in tables.students_from_csv(spark, path).collect()}
+    assert rows == {"a": [], "b": None, "c": ["x"]}
+
+
 def test_csv_with_line_breaks(spark, tmp_path):
     (tmp_path / "p.csv").write_text('posting_id,title,description,true_skills\n'
                                     '1,"a ""q""","two\nlines; x",A;B\n2,NaN,N/A,\n')
