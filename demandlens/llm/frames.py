@@ -28,6 +28,19 @@ def stored(df, name, arrow_rows=None):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df, name, key):
+    """``df`` written once like ``stored``, in as many buckets of ``key`` as a shuffle has
+    partitions: what groups or joins it by ``key`` reads it without a shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    label = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(label)
+    found = spark.table(label)
+    spark.sql(f"DROP TABLE {label}")  # the name only: the files are at a path of their own
+    return found
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from demandlens.llm.frames import doc_bucket, fresh, steps, stored
+from demandlens.llm.frames import bucketed, doc_bucket, fresh, steps, stored
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
@@ -248,7 +248,7 @@ def perplexities(docs, model, text="text", names=("n_bytes", "perplexity")):
     result = fresh([*docs.columns, size], names[1])
     total = fresh([*docs.columns, size, result], "total")
     schema = StructType(list(docs.schema.fields)).add(total, DoubleType()).add(size, LongType())
-    table = stored(chunks(docs, text), "chunks")
+    table = bucketed(chunks(docs, text), "chunks", "chunk")  # the packed texts stay where they are
 
     def settle(rows, found):
         pairs = [(unpacked_grams(g.as_py(), n.as_py()), unpacked(v.as_py(), n.as_py(), np.float32))

@@ -237,6 +237,15 @@ def test_texts_are_merged_whole():
     assert all(x.decode(fake, skip_special_tokens=False) == "a▁  b" for x in (ours, back))  # bytes of a marker are no blank
 
 
+def test_packed_texts_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of some words") for i in range(300)] + [(300, None), (301, "")], "doc_id int, text string")
+    model = kn.fit(docs.where("doc_id < 30"))
+    found = kn.perplexities(docs.repartition(5), model)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(chunk", plan)) == 1  # the answers only
+    assert len(found.collect()) == 302 and not spark.catalog.listTables()
+
+
 def varint(value):
     out = b""
     while value > 127:
